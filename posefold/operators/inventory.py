@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -76,7 +77,11 @@ def inventory_fingerprint(inventory: DataFrame) -> DataFrame:
         state, entries = hashlib.sha256(b"["), 0
         for batch in batches:
             for line in batch["line"]:
-                state.update((b"," if entries else b"") + line.encode())
+                # JSON escapes everything outside ASCII; Spark writes it as it is.
+                plain = line if line.isascii() else "".join(
+                    c if c.isascii() else json.dumps(c)[1:-1] for c in line
+                )
+                state.update((b"," if entries else b"") + plain.encode())
                 entries += 1
         state.update(b"]")
         yield pd.DataFrame({"entries": [entries], "fingerprint": [state.hexdigest()]})
