@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from posefold.functions.rotation import POSE_SCALARS, with_canonical_quaternion
+from posefold.functions.rotation import matrix_from_quaternion, with_canonical_quaternion
 
 _SNAP = 1e-15
 
@@ -200,14 +200,14 @@ class ChainKinematics:
     def attach(
         self, df: DataFrame, joints: Sequence[str], prefix: str, ok: str, arm: str | None = None
     ) -> DataFrame:
-        """Add the twelve pose scalars and ``<prefix>ok``, true where ``ok`` holds and the pose is finite."""
-        df = with_chain_pose(df, joints, prefix, self.model)
-        return df.withColumn(f"{prefix}ok", F.expr(ok) & all_finite(prefix, POSE_SCALARS))
+        """Add the twelve pose scalars and ``<prefix>ok``, which is ``ok`` itself.
 
-
-def all_finite(prefix: str, names: Sequence[str]) -> Column:
-    """True when every named scalar is finite: zero times a NaN or an infinity is not zero."""
-    return F.expr(f"coalesce({' + '.join(f'{prefix}{n} * 0D' for n in names)} = 0D, false)")
+        Sines and cosines of finite angles are finite, and so is every sum of their products with
+        constants: usable joints always give a finite pose. Keeping the flag free of the pose also
+        keeps filters on it cheap, since Catalyst moves them below the stages by substitution.
+        """
+        df = df.withColumn(f"{prefix}ok", F.expr(ok))
+        return with_chain_pose(df, joints, prefix, self.model)
 
 
 class FunctionKinematics:
@@ -256,8 +256,6 @@ class FunctionKinematics:
             ),
         )
         df = with_canonical_quaternion(df, prefix)
-        from posefold.functions.rotation import matrix_from_quaternion
-
         return df.select(
             *carried,
             f"{prefix}ok",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from posefold import contracts as C
 from posefold.functions import classify as K
 from posefold.functions.kinematics import SIX_JOINT_ARM, ChainModel, joint_limit_flags
-from posefold.operators.scale import first_rows_per_key, lookup_join, ordinal_within
+from posefold.operators.scale import first_rows_per_key, hold, lookup_join, ordinal_within
 
 CLASS_OF_STATUS = (
     "CASE WHEN startswith(recovery_status, 'source_pose_intact') THEN 'observed_valid'"
@@ -65,7 +65,8 @@ def residual_quantiles(
     Values are first counted per distinct value. Ranks come from a distributed numbering of those
     distinct values, so no group's values are ever held in one task.
     """
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    present = hold(rows, [value]).where(F.col(value).isNotNull())
+    counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     # The running total up to each distinct value needs the order; rank rows carry their weight.
     ranked = _running_totals(counts, keys, value)
     totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
@@ -97,9 +98,8 @@ def _running_totals(counts: DataFrame, keys: list[str], value: str) -> DataFrame
 
 
 def worst_residuals(rows: DataFrame, value: str, keys: list[str], k: int, tie: list[str]) -> DataFrame:
-    """The ``k`` largest residuals of every group."""
-    ranked = rows.where(F.col(value).isNotNull()).withColumn("_worst", -F.col(value))
-    return first_rows_per_key(ranked, keys, ["_worst", *tie], k).drop("_worst")
+    """The ``k`` largest residuals of every group. Rows without a residual must be filtered out first."""
+    return first_rows_per_key(rows, keys, [F.desc_nulls_last(value), *tie], k)
 
 
 def plant_canaries(messages: DataFrame, every: int = 50) -> DataFrame:
@@ -109,7 +109,10 @@ def plant_canaries(messages: DataFrame, every: int = 50) -> DataFrame:
     """
     rows = messages.where(F.col("decode_error").isNull() & K.is_target_topic())
     rows = K.pose_status_only(rows)
-    pick = F.expr(f"pmod(xxhash64(source_uri, topic, log_time_ns, sequence), {every})")
+    pick = F.expr(
+        "cast(conv(substring(md5(concat_ws('|', source_uri, topic, log_time_ns, sequence)), 1, 8), 16, 10)"
+        f" AS bigint) % {every}"
+    )
     rows = rows.withColumn("plant", F.when(F.col("pose_status") == "intact", pick))
     damaged = (
         "CASE plant WHEN 0 THEN cast(array() AS array<double>) WHEN 1 THEN slice(pose, 1, 15)"

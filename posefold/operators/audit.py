@@ -16,7 +16,7 @@ from posefold import contracts as C
 from posefold.functions import classify as K
 from posefold.functions.kinematics import ChainKinematics
 from posefold.functions.rotation import rotation_error_deg, translation_error
-from posefold.operators.scale import first_rows_per_key
+from posefold.operators.scale import first_rows_per_key, hold
 
 POSE_COUNTS = (
     "missing_pose",
@@ -84,11 +84,12 @@ def score_messages(
     wanted = ("source_uri", "topic", "arm", "stream", "role", "log_time_ns", *keep)
     rows = rows.select(
         *dict.fromkeys(wanted),
+        *(["decode_error"] if details else []),
         F.when(target, F.col("pose")).alias("pose"),
         F.when(target, F.col("position")).alias("position"),
     )
     rows = K.with_joint_status(K.with_pose_status(rows, "rec_", details), "q", details)
-    extra = ["pose_detail", "joint_detail"] if details else []
+    extra = ["pose_detail", "joint_detail", "decode_error"] if details else []
     rows = rows.drop("position", *(["pose"] if "pose" not in keep else []))
     joints = [f"q{i}" for i in range(C.JOINT_COUNT)]
     usable = "joint_status = 'intact' AND role = 'target'"
@@ -107,6 +108,7 @@ def score_messages(
         "fk_ok",
         (F.col("pose_status") == "intact").alias("pose_ok"),
         (F.col("joint_status") == "intact").alias("joints_ok"),
+        F.expr(compared).alias("compared"),
         F.when(F.expr(compared), translation_error("rec_", "fk_", offset)).alias("translation_m"),
         F.when(F.expr(compared), rotation_error_deg("rec_", "fk_")).alias("rotation_deg"),
         *(
@@ -138,7 +140,7 @@ def counter_columns() -> list[Column]:
         _count("NOT pose_ok AND fk_ok", "recoverable_invalid_pose"),
         _count("NOT pose_ok AND NOT fk_ok", "unrecoverable_invalid_pose"),
         _count("joints_ok AND NOT fk_ok", "fk_failures"),
-        F.count("translation_m").alias("fk_compared"),
+        F.count_if("compared").alias("fk_compared"),
         _count("outside", "fk_outside_tolerance"),
     ]
 
@@ -269,7 +271,7 @@ def batch_audit(files: DataFrame) -> DataFrame:
 def issues(scored: DataFrame) -> DataFrame:
     """Every issue of every row, as (source, order keys, code, detail).
 
-    ``scored`` needs ``details=True`` and the order columns in ``keep``.
+    ``scored`` needs ``details=True`` and ``sequence`` in ``keep``.
     """
     candidates = [
         ("role = 'decode_error'", "'<decoder>'", "'decode_error'", "concat('payload: ', decode_error)"),
@@ -289,7 +291,7 @@ def issues(scored: DataFrame) -> DataFrame:
         f" {detail}), NULL)"
         for i, (when, topic, code, detail) in enumerate(candidates)
     ]
-    rows = scored.where("role IN ('decode_error', 'record_error') OR (role = 'target' AND"
+    rows = hold(scored, ["outside"]).where("role IN ('decode_error', 'record_error') OR (role = 'target' AND"
                         " (NOT pose_ok OR NOT joints_ok OR NOT fk_ok OR outside))")
     exploded = rows.withColumn(
         "issue", F.explode(F.expr(f"array_compact(array({', '.join(entries)}))"))

@@ -117,7 +117,7 @@ def attach_cohort_offset(scored: DataFrame, file_offsets: DataFrame) -> DataFram
 
 def cohort_corrected(scored: DataFrame, file_offsets: DataFrame) -> DataFrame:
     """Residual translation after the right arm is moved by its file's own observed offset."""
-    rows = attach_cohort_offset(scored.where(F.col("translation_m").isNotNull()), file_offsets)
+    rows = attach_cohort_offset(scored.where("compared"), file_offsets)
     deltas = [
         f"(offset_{a} - IF(arm = 'right', coalesce(base_{a}, 0D), 0D))" for a in OFFSET_AXES
     ]

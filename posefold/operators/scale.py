@@ -116,8 +116,19 @@ def ordinal_within(
     return numbered.select(*df.columns, (F.col("_place") + F.col("_shift")).cast("bigint").alias(out))
 
 
+def hold(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Keep filters on ``columns`` above this point.
+
+    Catalyst moves a filter below a projection by writing the projected expression into it. For a
+    value at the end of the kinematic stages that would unfold all of them into one huge expression.
+    A column that depends on the partition id cannot be moved; the test itself costs nothing.
+    """
+    held = {name: F.expr(f"IF(spark_partition_id() >= 0, {name}, NULL)") for name in columns}
+    return df.withColumns(held)
+
+
 def first_rows_per_key(
-    df: DataFrame, key: list[str], order: list[str], k: int, salts: int = SALTS
+    df: DataFrame, key: list[str], order: list[str | Column], k: int, salts: int = SALTS
 ) -> DataFrame:
     """The first ``k`` rows of every key, exactly.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from posefold import contracts as C
 from posefold.functions.kinematics import with_chain_pose
-from posefold.operators.scale import lookup_join
+from posefold.operators.scale import hold, lookup_join
 
 VECTORS = 500
 FILES = 40
@@ -119,7 +119,7 @@ def arm_messages(spark: SparkSession, sf_dir: str, clean_only: bool = False) ->
         3: "transform(q, (v, i) -> IF(i = 0, double('NaN'), v))",
         4: "transform(q, (v, i) -> IF(i = 0, cast(NULL AS double), v))",
     }
-    return rows.selectExpr(
+    rows = rows.selectExpr(
         "source_uri",
         "topic",
         "log_time_ns",
@@ -134,6 +134,8 @@ def arm_messages(spark: SparkSession, sf_dir: str, clean_only: bool = False) ->
         + " ELSE q END AS position",
         "IF(undecodable, 'payload', NULL) AS decode_error",
     )
+    # As with a stored table, filters on the payload end here instead of in the making of it.
+    return hold(rows, ["pose", "position"])
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,10 +37,10 @@ MANIFEST = (
 
 def describe_columns(df: DataFrame, columns: Mapping[str, str], model: Mapping[str, str | None]) -> DataFrame:
     """Rename to contract names and attach layout, frame, units and mask bits as column metadata."""
-    out = df.select(*(F.col(name).alias(published) for name, published in columns.items()))
-    for published in columns.values():
+    described = []
+    for name, published in columns.items():
         facts: dict[str, str] = {}
-        if "pose" in published and published.endswith("arm_local"):
+        if published.endswith("arm_local"):
             facts = {
                 "layout": json.dumps(C.POSE_LAYOUT),
                 "frame": "arm_local",
@@ -56,9 +56,8 @@ def describe_columns(df: DataFrame, columns: Mapping[str, str], model: Mapping[s
             facts = {"bits": json.dumps(dict(C.LIMB_BITS), sort_keys=True)}
         elif published.endswith("_ns"):
             facts = {"units": "nanoseconds", "range": f"0..{C.UINT64_MAX}"}
-        if facts:
-            out = out.withMetadata(f"`{published}`" if "." not in published else published, facts)
-    return out
+        described.append(F.col(name).alias(published, metadata=facts))
+    return df.select(*described)
 
 
 def model_facts(kinematics) -> dict[str, str | None]:
