@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from posefold import contracts as C
 from posefold.functions.rotation import ROTATION
+from posefold.functions.spans import end_of_span
 
 _NAN = "double('NaN')"
 
@@ -109,7 +110,8 @@ def with_pose_status(df: DataFrame, prefix: str = "rec_", details: bool = False)
     added = [f"{_case(rules, 1, repr('intact'))} AS pose_status"]
     if details:
         added.append(f"{_case(rules, 2, 'NULL')} AS pose_detail")
-    return df.selectExpr(*carried, *(f"{p}{n}" for n in (*"xyz", *ROTATION)), *added)
+    df = df.selectExpr(*carried, *(f"{p}{n}" for n in (*"xyz", *ROTATION)), *added)
+    return end_of_span(df, f"{p}x")
 
 
 def with_joint_status(df: DataFrame, prefix: str = "q", details: bool = False) -> DataFrame:

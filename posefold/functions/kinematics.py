@@ -3,8 +3,8 @@
 A :class:`ChainModel` holds the constants of the chain. :func:`with_chain_pose` turns it into a few
 staged projections: one for the sines and cosines and one per joint. Each stage carries twelve scalar
 columns (three for position, nine for rotation), so the expression size grows linearly with the
-number of joints, and all stages land in the same generated-code span. The inputs are made
-non-nullable up front, which keeps null handling out of the inner arithmetic.
+number of joints. The inputs are made non-nullable up front, which keeps null handling out of the
+inner arithmetic, and the stages form a generated-code span of their own, small enough for the JIT.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from posefold.functions.spans import end_of_span
 from posefold.functions.rotation import matrix_from_quaternion, with_canonical_quaternion
 
 _SNAP = 1e-15
@@ -136,11 +137,12 @@ def with_chain_pose(
     if len(joints) != len(model.hinges):
         raise ValueError(f"{model.name} needs {len(model.hinges)} joints, got {len(joints)}")
     carried = [f"`{name}`" for name in df.columns]
-    safe = [f"coalesce({joint}, 0D)" for joint in joints]
+    angles = [f"{prefix}a{i}" for i in range(len(joints))]
+    df = df.selectExpr(*carried, *(f"coalesce({j}, 0D) AS {a}" for j, a in zip(joints, angles)))
     df = df.selectExpr(
         *carried,
-        *(f"sin({joint}) AS {prefix}s{i}" for i, joint in enumerate(safe)),
-        *(f"cos({joint}) AS {prefix}c{i}" for i, joint in enumerate(safe)),
+        *(f"sin({angle}) AS {prefix}s{i}" for i, angle in enumerate(angles)),
+        *(f"cos({angle}) AS {prefix}c{i}" for i, angle in enumerate(angles)),
     )
 
     position: list[float | str] = [0.0, 0.0, 0.0]
@@ -176,7 +178,7 @@ def with_chain_pose(
         rotation = [
             [_name_or_value(named, kept, f"{prefix}r{r}{c}") for c in range(3)] for r in range(3)
         ]
-    return df
+    return end_of_span(df, f"{prefix}x")
 
 
 def _name_or_value(named: dict, kept: dict, name: str) -> float | str:

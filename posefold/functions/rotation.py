@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from posefold.functions.spans import end_of_span
+
 ROTATION = tuple(f"r{i}{j}" for i in range(3) for j in range(3))
 POSE_SCALARS = ("x", "y", "z", *ROTATION)
 QUATERNION = ("qw", "qx", "qy", "qz")
@@ -70,6 +72,7 @@ def with_canonical_quaternion(df: DataFrame, prefix: str) -> DataFrame:
     df = df.selectExpr(
         *carried, *parts, f"sqrt({squares}) * IF({p}qw < 0D, -1D, 1D) AS {p}norm"
     )
+    df = end_of_span(df, f"{p}norm")
     # A zero quaternion has no direction: leave it as it is, the caller's validity flag refuses it.
     return df.selectExpr(
         *carried, *(f"{q} / IF({p}norm = 0D, 1D, {p}norm) AS {q}" for q in parts)

@@ -12,6 +12,7 @@ from posefold import contracts as C
 from posefold.functions import classify as K
 from posefold.functions.kinematics import ChainKinematics
 from posefold.functions.rotation import pose_vector, with_quaternion
+from posefold.functions.spans import end_of_span
 from posefold.operators.scale import key_counts, lookup_join
 
 
@@ -30,47 +31,50 @@ def augment_frames(
 ) -> DataFrame:
     """The pose sidecar under internal names, one row per frame.
 
-    ``sources`` may give ``source_uri, source_sha256``. Limbs are derived one after the other, so at
-    any point only one limb's scalars ride along with the finished pose arrays.
+    ``sources`` may give ``source_uri, source_sha256``. Limbs are derived one after the other, each in
+    generated-code spans of its own; a limb's six angles give way to its seven pose values.
     """
     kinematics = kinematics or ChainKinematics()
     if kinematics.frame != "arm_local":
         raise ValueError("the sidecar emits arm-local poses only; the adapter reports another frame")
-    base = ("source_uri", "source_row", *C.FRAME_KEYS)
-    done: list[str] = []
-    rows = frames.select(*base, "state", "action")
+    base = ["source_uri", "source_row", *C.FRAME_KEYS]
+    angles = {limb: [f"{limb.pose}_q{i}" for i in range(C.JOINT_COUNT)] for limb in C.LIMBS}
+    # Both vectors are taken apart once; from here on every column has a fixed width.
+    rows = frames.select(
+        *base,
+        *(
+            F.expr(text).alias(name)
+            for limb in C.LIMBS
+            for text, name in zip(K.limb_joints(limb), angles[limb])
+        ),
+        *(
+            F.expr(f"coalesce(size({v}) = {C.VECTOR_LENGTH}, false)").alias(f"{v}_sized")
+            for v in C.FRAME_INPUT_COLUMNS.values()
+        ),
+    )
+    rows = end_of_span(rows, angles[C.LIMBS[0]][0])
+    rows = rows.select(
+        *base,
+        *(name for limb in C.LIMBS for name in angles[limb]),
+        *(
+            F.expr(f"{limb.vector}_sized AND {K.finite(angles[limb])}").alias(f"{limb.pose}_usable")
+            for limb in C.LIMBS
+        ),
+    )
     for limb in C.LIMBS:
-        names = [f"q{i}" for i in range(C.JOINT_COUNT)]
-        rows = rows.select(
-            *rows.columns, *(F.expr(t).alias(n) for t, n in zip(K.limb_joints(limb), names))
-        )
-        # The three outcomes of a limb fit in one small code: 0 refused, 1 failed, 2 valid.
-        rows = rows.withColumn(
-            "usable",
-            F.expr(f"coalesce(size({limb.vector}) = {C.VECTOR_LENGTH}, false) AND {K.finite(names)}"),
-        )
-        spent = [limb.vector] if limb.arm == "right" else []
-        rows = rows.drop(*spent)
-        rows = kinematics.attach(rows, names, "p_", "usable", f"'{limb.arm}'").drop(*names)
-        rows = with_quaternion(rows, "p_")
-        keep = [c for c in (*base, "state", "action", *done) if c in rows.columns]
-        code = f"code{limb.bit}"
-        rows = rows.select(
-            *keep,
-            F.when(F.col("p_ok"), pose_vector("p_")).alias(limb.pose),
-            F.expr("CASE WHEN p_ok THEN 2 WHEN usable THEN 1 ELSE 0 END").alias(code),
-        )
-        done += [limb.pose, code]
+        prefix = f"{limb.pose}_"
+        rows = kinematics.attach(rows, angles[limb], prefix, f"{prefix}usable", f"'{limb.arm}'")
+        rows = with_quaternion(rows.drop(*angles[limb]), prefix)
 
-    def mask(value: int):
-        return K.bit_mask({limb.bit: f"code{limb.bit} = {value}" for limb in C.LIMBS})
+    def mask(fact: str):
+        return K.bit_mask({limb.bit: fact.format(p=f"{limb.pose}_") for limb in C.LIMBS})
 
     rows = rows.select(
         *base,
-        *(limb.pose for limb in C.LIMBS),
-        mask(2).alias("valid_mask"),
-        mask(0).alias("invalid_input_mask"),
-        mask(1).alias("derivation_failure_mask"),
+        *(F.when(F.col(f"{limb.pose}_ok"), pose_vector(f"{limb.pose}_")).alias(limb.pose) for limb in C.LIMBS),
+        mask("{p}ok").alias("valid_mask"),
+        mask("NOT {p}usable").alias("invalid_input_mask"),
+        mask("{p}usable AND NOT {p}ok").alias("derivation_failure_mask"),
     )
     if sources is None:
         rows = rows.withColumn("source_sha256", F.lit(None).cast("string"))
