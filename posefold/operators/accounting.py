@@ -69,8 +69,8 @@ def residual_quantiles(
     counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     # The running total up to each distinct value needs the order; rank rows carry their weight.
     ranked = _running_totals(counts, keys, value)
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
-    wanted = lookup_join(ranked, totals, keys, how="inner", null_safe=True)
+    totals = ranked.groupBy(*keys).agg(F.sum("n").alias("total"))
+    wanted = lookup_join(ranked, totals, keys, how="inner", null_safe=True, derived=True)
     probes = F.array(*(F.lit(float(p)) for p in probabilities))
     needed = wanted.withColumn("probability", F.explode(probes)).withColumn(
         "rank", F.greatest(F.lit(1), F.ceil(F.col("probability") * F.col("total")))
@@ -93,7 +93,7 @@ def _running_totals(counts: DataFrame, keys: list[str], value: str) -> DataFrame
         *keys, "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base")
     )
     rows = rows.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    joined = lookup_join(rows, blocks, [*keys, "_block"], how="inner", null_safe=True)
+    joined = lookup_join(rows, blocks, [*keys, "_block"], how="inner", null_safe=True, derived=True)
     return joined.select(*counts.columns, (F.col("_base") + F.col("_inside")).alias("before"))
 
 

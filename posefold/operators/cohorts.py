@@ -112,7 +112,7 @@ def attach_cohort_offset(scored: DataFrame, file_offsets: DataFrame) -> DataFram
     table = file_offsets.where(F.col("offset_count") > 0).select(
         "source_uri", *(F.col(f"offset_mean_{a}").alias(f"base_{a}") for a in OFFSET_AXES)
     )
-    return lookup_join(scored, table, ["source_uri"], how="left")
+    return lookup_join(scored, table, ["source_uri"], how="left", derived=True)
 
 
 def cohort_corrected(scored: DataFrame, file_offsets: DataFrame) -> DataFrame:
@@ -134,7 +134,7 @@ def shared_frame_or_refusal(derived: DataFrame, assigned: DataFrame) -> DataFram
     is refused too: the frame itself is unproven for that file.
     """
     table = assigned.where(F.col("offset_count") > 0).select("source_uri", *COHORT)
-    rows = lookup_join(derived, table, ["source_uri"], how="left")
+    rows = lookup_join(derived, table, ["source_uri"], how="left", derived=True)
     known = F.col("cohort_x").isNotNull()
     return rows.select(
         *derived.columns,

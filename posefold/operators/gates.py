@@ -78,7 +78,7 @@ def select_release(messages: DataFrame, facts: DataFrame) -> DataFrame:
     from posefold.operators.scale import lookup_join
 
     chosen = facts.where(F.col("decision") == "selected").select("source_uri")
-    return lookup_join(messages, chosen, ["source_uri"], how="inner")
+    return lookup_join(messages, chosen, ["source_uri"], how="inner", derived=True)
 
 
 def recovery_only(rows: DataFrame) -> DataFrame:

@@ -76,7 +76,7 @@ def inventory_fingerprint(inventory: DataFrame) -> DataFrame:
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         state, entries = hashlib.sha256(b"["), 0
         for batch in batches:
-            for line in batch["line"]:
+            for line in batch["line"].dropna():
                 # JSON escapes everything outside ASCII; Spark writes it as it is.
                 plain = line if line.isascii() else "".join(
                     c if c.isascii() else json.dumps(c)[1:-1] for c in line
@@ -86,7 +86,9 @@ def inventory_fingerprint(inventory: DataFrame) -> DataFrame:
         state.update(b"]")
         yield pd.DataFrame({"entries": [entries], "fingerprint": [state.hexdigest()]})
 
-    one = lines.repartition(1).sortWithinPartitions("path").select("line")
+    # A null line makes sure that an empty inventory is digested too, as an empty list.
+    start = lines.sparkSession.range(1).selectExpr("string(NULL) AS path", "string(NULL) AS line")
+    one = lines.unionByName(start).repartition(1).sortWithinPartitions("path").select("line")
     return one.mapInPandas(digest, "entries bigint, fingerprint string")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posefold import contracts as C
@@ -22,17 +22,15 @@ def target_messages(messages: DataFrame) -> DataFrame:
     return with_topic_roles(messages).where(F.col("role") == "target").drop("role")
 
 
-def has_stored_ordinals(targets: DataFrame) -> bool:
-    return targets.where(F.col("message_ordinal").isNull()).limit(1).count() == 0
-
-
-def with_ordinals(targets: DataFrame) -> DataFrame:
+def with_ordinals(targets: DataFrame, stored: bool | None = None) -> DataFrame:
     """Fill ``message_ordinal``: 0-based per source over target topics.
 
-    An ordinal stored at ingestion is kept and costs nothing. Otherwise rows are numbered by log time,
-    topic and sequence.
+    Ordinals stored at ingestion are kept and cost nothing. Otherwise rows are numbered by log time,
+    topic and sequence. ``stored`` says which, if the caller knows.
     """
-    if has_stored_ordinals(targets):
+    if stored is None:
+        stored = targets.where(F.col("message_ordinal").isNull()).limit(1).count() == 0
+    if stored:
         return targets
     rows = targets.drop("message_ordinal")
     return ordinal_within(rows, ["source_uri"], list(READER_ORDER), "message_ordinal")
@@ -104,17 +102,27 @@ def status_histogram(rows: DataFrame) -> DataFrame:
     ).agg(F.sum("n").alias("n"))
 
 
-def envelope_violations(messages: DataFrame) -> DataFrame:
-    """Per source: rows whose times or sequence are absent or outside their unsigned range."""
-    targets = target_messages(messages)
+def message_facts(messages: DataFrame) -> DataFrame:
+    """Everything a run must know about each source before deriving: one narrow pass, no payload read.
+
+    Target rows, undecodable and unusable rows, target rows without a stored ordinal, and target rows
+    whose times or sequence are absent or outside their unsigned range.
+    """
+    rows = with_topic_roles(messages)
+
+    def target(condition: Column) -> Column:
+        return F.count_if((F.col("role") == "target") & condition)
 
-    def bad(name: str, top: int):
+    def bad(name: str, top: int) -> Column:
         limit = F.lit(str(top)).cast("decimal(20,0)")
         inside = F.col(name).cast("decimal(20,0)").between(F.lit(0), limit)
-        return F.count_if(~F.coalesce(inside, F.lit(False))).alias(f"bad_{name}")
+        return target(~F.coalesce(inside, F.lit(False))).alias(f"bad_{name}")
 
-    return targets.groupBy("source_uri").agg(
-        F.count(F.lit(1)).alias("rows"),
+    return rows.groupBy("source_uri").agg(
+        target(F.lit(True)).alias("rows"),
+        F.count_if(F.col("role") == "decode_error").alias("decode_errors"),
+        F.count_if(F.col("role") == "record_error").alias("record_errors"),
+        target(F.col("message_ordinal").isNull()).alias("unnumbered"),
         bad("log_time_ns", C.UINT64_MAX),
         bad("publish_time_ns", C.UINT64_MAX),
         bad("sequence", C.UINT32_MAX),
@@ -143,7 +151,11 @@ def resolve_sources(
         rows = rows.join(sessions, "source_uri", "left")
     given = X.blank_to_null("given_episode")
     return rows.select(
-        *(c for c in rows.columns if c not in ("given_task", "given_episode", "session_uuid", "conflicting")),
+        *(
+            c
+            for c in rows.columns
+            if c not in ("given_task", "given_episode", "session_uuid", "conflicting", "copies", "conflict")
+        ),
         F.coalesce(X.blank_to_null("given_task"), X.task_from_path("path")).alias("task"),
         F.coalesce(given, X.episode_from_session("session_uuid"), X.episode_from_path("path")).alias("episode"),
         F.expr(

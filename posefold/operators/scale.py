@@ -48,15 +48,19 @@ def lookup_join(
     limit: int = BROADCAST_ROW_LIMIT,
     salts: int = SALTS,
     null_safe: bool = False,
+    derived: bool = False,
 ) -> DataFrame:
     """Join a large table to a per-key table without letting a hot key land in one task.
 
     A ``dim`` whose size is checked to be small is broadcast, so the fact side is not shuffled at
     all. Otherwise each ``dim`` row is repeated once per salt and fact rows are spread over the
-    salts of their key. With ``null_safe`` a null key finds a null key.
+    salts of their key. With ``null_safe`` a null key finds a null key. A ``derived`` dim is the
+    short result of a long computation: it is written once before it is counted and joined.
     """
     if how not in ("left", "inner"):
         raise ValueError("only left and inner lookups keep the fact side's rows apart")
+    if derived:
+        dim = cut_lineage(dim, "lookup")
     if fits_in_broadcast(dim, limit):
         return _equi_join(fact, F.broadcast(dim), on, how, null_safe)
     salted_fact = fact.withColumn("_salt", F.monotonically_increasing_id() % salts)
@@ -112,7 +116,7 @@ def ordinal_within(
         "_part",
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_start") + first).alias("_shift"),
     )
-    numbered = lookup_join(staged, shifts, [*group, "_part"], how="inner", null_safe=True)
+    numbered = lookup_join(staged, shifts, [*group, "_part"], how="inner", null_safe=True, derived=True)
     return numbered.select(*df.columns, (F.col("_place") + F.col("_shift")).cast("bigint").alias(out))
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from posefold import contracts as C
 from posefold.functions.kinematics import ChainKinematics
-from posefold.operators import audit, augment, cohorts, corpus, gates, inventory, reconcile, recovery
+from posefold.operators import audit, augment, cohorts, corpus, gates, inventory, recovery
+from posefold.operators.scale import cut_lineage
 from posefold.sources import frames as frame_source
 from posefold.sources import sinks
 from posefold.sources.files import file_fingerprints
@@ -160,9 +161,8 @@ def run_recovery(
     identity = inventory.source_identity(
         unique.select("source_uri", "expected_sha256", "expected_size_bytes"), unique
     )
-    roles = audit.with_topic_roles(messages)
-    known = unique.select("source_uri")
-    strangers = roles.select("source_uri").distinct().join(known, "source_uri", "left_anti")
+    facts = cut_lineage(recovery.message_facts(messages), "facts")
+    strangers = facts.join(unique.select("source_uri"), "source_uri", "left_anti")
     gates.require(
         gates.all_gates(
             gates.no_rows_where(unique, "source_identity_is_unique", F.col("conflict")),
@@ -171,27 +171,21 @@ def run_recovery(
             gates.no_rows_where(resolved, "one_session_per_source", F.col("conflict")),
             gates.no_rows_where(resolved, "identity_is_not_blank", F.col("blank_identity")),
             gates.no_rows_where(strangers, "every_source_is_listed", F.lit(True)),
+            gates.no_rows_where(facts, "no_decode_error", F.expr("decode_errors + record_errors > 0")),
             gates.no_rows_where(
-                roles, "no_decode_error", F.col("role").isin("decode_error", "record_error")
-            ),
-            gates.no_rows_where(
-                recovery.envelope_violations(messages),
-                "envelope_in_range",
-                F.expr("bad_log_time_ns + bad_publish_time_ns + bad_sequence > 0"),
+                facts, "envelope_in_range", F.expr("bad_log_time_ns + bad_publish_time_ns + bad_sequence > 0")
             ),
         )
     )
     before = file_fingerprints(spark, *source_files, glob="*.parquet") if source_files else None
     if before is not None:
-        from posefold.operators.scale import cut_lineage
-
         before = cut_lineage(before, "fingerprints")
 
+    totals = facts.agg(F.sum("rows").alias("rows"), F.sum("unnumbered").alias("unnumbered")).first()
+    expected, stored = totals["rows"] or 0, totals["unnumbered"] == 0
     targets = recovery.target_messages(messages)
-    stored = recovery.has_stored_ordinals(targets)
-    expected = targets.count()
     table = resolved.withColumn("source_sha256", F.col("sha256"))
-    rows = recovery.recovery_rows(messages, table, kinematics, recovery.with_ordinals(targets))
+    rows = recovery.recovery_rows(messages, table, kinematics, recovery.with_ordinals(targets, stored))
     if stored:  # numbering already leaves rows in sidecar order
         rows = rows.repartitionByRange("source_uri", "message_ordinal").sortWithinPartitions(
             "source_uri", "message_ordinal"
@@ -267,23 +261,22 @@ def run_augmentation(
     contract = frame_source.feature_contract(spark, info_path, info_uri)
     sinks.check_output(output, list(inputs))
     rows = frame_source.read_frames(spark, *inputs)
+    facts = cut_lineage(augment.key_violations(rows), "facts")
     gates.require(
         gates.no_rows_where(
-            augment.key_violations(rows),
+            facts,
             "frame_keys_are_valid",
             F.expr("null_episode_index + null_frame_index + null_index + bad_timestamp > 0"),
         )
     )
     before = None
     if hash_sources:
-        from posefold.operators.scale import cut_lineage
-
         roots = [frame_source.dataset_root(spark, p) if not p.endswith(".parquet") else p for p in inputs]
         before = cut_lineage(file_fingerprints(spark, *roots, glob="*.parquet"), "fingerprints")
     sources = None
     if before is not None:
         sources = before.select(_same_uri("path").alias("source_uri"), F.col("sha256").alias("source_sha256"))
-    expected = rows.count()
+    expected = facts.agg(F.sum("rows")).first()[0] or 0
     derived = augment.augment_frames(rows.withColumn("source_uri", _same_uri("source_uri")), sources, kinematics)
     published = sinks.describe_columns(derived, C.SIDECAR_COLUMNS, sinks.model_facts(kinematics))
 

@@ -203,15 +203,8 @@ def decode_error_counts(spark, sf):
     rows = fixtures.arm_messages(spark, sf)
     # A second variant loses the topic of some rows, which makes them unusable records.
     lost = rows.withColumn("topic", F.when(F.col("sequence") % 89 != 0, F.col("topic")))
-    both = tag(rows, "clean").unionByName(tag(lost, "lost_topics"))
-    return (
-        audit.with_topic_roles(both)
-        .groupBy("variant", "source_uri")
-        .agg(
-            F.count_if(F.col("role") == "decode_error").alias("decode_errors"),
-            F.count_if(F.col("role") == "record_error").alias("record_errors"),
-        )
-    )
+    both = tag(recovery.message_facts(rows), "clean").unionByName(tag(recovery.message_facts(lost), "lost_topics"))
+    return both.select("variant", "source_uri", "decode_errors", "record_errors")
 
 
 # --- kinematics ----------------------------------------------------------------------------------
@@ -310,8 +303,8 @@ def envelope_range_violations(spark, sf):
             "sequence": F.expr("IF(sequence % 30 = 0, sequence + 4294967296, sequence)"),
         }
     )
-    clean = tag(recovery.envelope_violations(rows), "clean")
-    return clean.unionByName(tag(recovery.envelope_violations(broken), "broken"))
+    both = tag(recovery.message_facts(rows), "clean").unionByName(tag(recovery.message_facts(broken), "broken"))
+    return both.select("variant", "source_uri", "rows", "bad_log_time_ns", "bad_publish_time_ns", "bad_sequence")
 
 
 def _sessions(spark, sf, conflicting=False) -> DataFrame:

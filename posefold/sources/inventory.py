@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from posefold.functions.text import hex_digest, is_episode_path
 
-TREE = T.StructType.fromDDL(
-    "type string, path string, size bigint, oid string, lfs struct<oid: string, size: bigint>"
-)
-SAMPLES = T.StructType.fromDDL(
+TREE = "type string, path string, size bigint, oid string, lfs struct<oid: string, size: bigint>"
+SAMPLES = (
     "samples array<struct<filepath: string, split: string, task: string, episode_id: string,"
     " n_messages: bigint, station: string, duration_s: double, source_fps: double,"
     " reencoded_to_30fps: boolean>>"
