@@ -20,8 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from posefold.functions.rotation import matrix_from_quaternion, with_quaternion
 from posefold.functions.spans import end_of_span
-from posefold.functions.rotation import matrix_from_quaternion, with_canonical_quaternion
 
 _SNAP = 1e-15
 
@@ -211,6 +211,12 @@ class ChainKinematics:
         df = df.withColumn(f"{prefix}ok", F.expr(ok))
         return with_chain_pose(df, joints, prefix, self.model)
 
+    def attach_vector(
+        self, df: DataFrame, joints: Sequence[str], prefix: str, ok: str, arm: str | None = None
+    ) -> DataFrame:
+        """Add ``<prefix>ok`` and the pose as ``<prefix>x .. <prefix>z, <prefix>qw .. <prefix>qz``."""
+        return with_quaternion(self.attach(df, joints, prefix, ok, arm), prefix)
+
 
 class FunctionKinematics:
     """Adapter for any Python model: ``fn(joints[n, 6], arms[n]) -> poses[n, 7]`` (xyz + wxyz).
@@ -235,9 +241,10 @@ class FunctionKinematics:
         self.model_name = name or getattr(fn, "__name__", type(fn).__name__)
         self.model_digest, self.model_revision = digest, revision
 
-    def attach(
+    def attach_vector(
         self, df: DataFrame, joints: Sequence[str], prefix: str, ok: str, arm: str | None = None
     ) -> DataFrame:
+        """Add ``<prefix>ok`` and the pose as ``<prefix>x .. <prefix>z, <prefix>qw .. <prefix>qz``."""
         fn = self.fn
 
         @F.pandas_udf("array<double>")
@@ -249,15 +256,21 @@ class FunctionKinematics:
         inputs = F.when(F.expr(ok), F.expr(f"array({', '.join(joints)})"))
         df = df.withColumn(f"{prefix}v", call(inputs, arms))
         parts = ("x", "y", "z", "qw", "qx", "qy", "qz")
-        df = df.select(
+        return df.select(
             *carried,
-            (F.col(f"{prefix}v").isNotNull() & F.expr(ok)).alias(f"{prefix}ok"),
+            F.col(f"{prefix}v").isNotNull().alias(f"{prefix}ok"),
             *(
                 F.expr(f"coalesce(get({prefix}v, {i}), 0D) AS {prefix}{part}")
                 for i, part in enumerate(parts)
             ),
         )
-        df = with_canonical_quaternion(df, prefix)
+
+    def attach(
+        self, df: DataFrame, joints: Sequence[str], prefix: str, ok: str, arm: str | None = None
+    ) -> DataFrame:
+        """Add ``<prefix>ok`` and the twelve pose scalars."""
+        carried = df.columns
+        df = self.attach_vector(df, joints, prefix, ok, arm)
         return df.select(
             *carried,
             f"{prefix}ok",
@@ -284,10 +297,16 @@ def _call_rows(fn: Callable, values: pd.Series, arms: pd.Series) -> list:
     except Exception:
         poses = [_call_one(fn, joints[k : k + 1], sides[k : k + 1]) for k in range(len(present))]
     for i, pose in zip(present, poses):
-        out[i] = pose if _usable(pose) else None
+        out[i] = _canonical(pose) if _usable(pose) else None
     return out
 
 
+def _canonical(pose: np.ndarray) -> np.ndarray:
+    """The same pose with a unit quaternion whose scalar part is not negative."""
+    scale = np.linalg.norm(pose[3:]) * (-1.0 if pose[3] < 0 else 1.0)
+    return np.r_[pose[:3], pose[3:] / scale]
+
+
 def _call_one(fn: Callable, joints: np.ndarray, arm: np.ndarray) -> np.ndarray | None:
     try:
         return np.asarray(fn(joints, arm), dtype=np.float64).reshape(-1)

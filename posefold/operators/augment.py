@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from posefold import contracts as C
 from posefold.functions import classify as K
 from posefold.functions.kinematics import ChainKinematics
-from posefold.functions.rotation import pose_vector, with_quaternion
+from posefold.functions.rotation import pose_vector
 from posefold.functions.spans import end_of_span
 from posefold.operators.scale import key_counts, lookup_join
 
@@ -63,8 +63,8 @@ def augment_frames(
     )
     for limb in C.LIMBS:
         prefix = f"{limb.pose}_"
-        rows = kinematics.attach(rows, angles[limb], prefix, f"{prefix}usable", f"'{limb.arm}'")
-        rows = with_quaternion(rows.drop(*angles[limb]), prefix)
+        rows = kinematics.attach_vector(rows, angles[limb], prefix, f"{prefix}usable", f"'{limb.arm}'")
+        rows = rows.drop(*angles[limb])
 
     def mask(fact: str):
         return K.bit_mask({limb.bit: fact.format(p=f"{limb.pose}_") for limb in C.LIMBS})

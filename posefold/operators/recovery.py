@@ -9,7 +9,7 @@ from posefold import contracts as C
 from posefold.functions import classify as K
 from posefold.functions import text as X
 from posefold.functions.kinematics import ChainKinematics
-from posefold.functions.rotation import pose_vector, with_quaternion
+from posefold.functions.rotation import pose_vector
 from posefold.operators.audit import with_topic_roles
 from posefold.operators.scale import lookup_join, ordinal_within
 
@@ -45,8 +45,7 @@ def with_statuses(targets: DataFrame, kinematics=None) -> DataFrame:
     rows = K.pose_status_only(targets)
     rows = K.with_joint_status(rows, "q").drop("pose", "position")
     joints = [f"q{i}" for i in range(C.JOINT_COUNT)]
-    rows = kinematics.attach(rows, joints, "fk_", "joint_status = 'intact'", "arm").drop(*joints)
-    rows = with_quaternion(rows, "fk_")
+    rows = kinematics.attach_vector(rows, joints, "fk_", "joint_status = 'intact'", "arm").drop(*joints)
     rows = rows.withColumn("fk_status", K.fk_status())
     return rows.select(
         *base,

@@ -116,7 +116,7 @@ def test_function_adapter_refuses_unusable_poses(spark, bad):
 
 def test_function_adapter_pose_is_canonical(spark):
     adapter = FunctionKinematics(lambda j, a: np.array([[1, 2, 3, -2.0, 0, 0, 0]] * len(j)))
-    posed = with_quaternion(adapter.attach(frame(spark, [[0] * 6]), ANGLES, "p_", "true"), "p_")
+    posed = adapter.attach_vector(frame(spark, [[0] * 6]), ANGLES, "p_", "true")
     assert posed.select(pose_vector("p_").alias("v")).first()["v"] == [1, 2, 3, 1, 0, 0, 0]
 
 
