@@ -35,6 +35,15 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that has fewer splits than there are cores, as one small file does.
+
+    A large table has more splits than cores and passes through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def fits_in_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
     """Whether ``df`` has at most ``limit`` rows; the count stops one row past the limit."""
     return df.limit(limit + 1).count() <= limit

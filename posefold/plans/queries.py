@@ -16,6 +16,7 @@ from posefold.functions import classify as K
 from posefold.functions import text as X
 from posefold.functions.kinematics import ChainKinematics
 from posefold.functions.rotation import matrix_from_quaternion
+from posefold.functions.spans import end_of_span
 from posefold.operators import accounting, audit, augment, cohorts, corpus, gates, inventory
 from posefold.operators import reconcile, recovery, series
 from posefold.operators.scale import checkpoint_root
@@ -402,12 +403,15 @@ def frame_mask_bit_counts(spark, sf):
 def frame_sidecar_poses(spark, sf):
     rows = augment.augment_frames(fixtures.frames(spark, sf))
     parts = ("x", "y", "z", "qw", "qx", "qy", "qz")
-    return round_all(
-        rows.select(
-            "source_uri", "source_row", *C.FRAME_KEYS,
-            *(F.get(limb.pose, F.lit(i)).alias(f"{limb.pose}_{part}") for limb in C.LIMBS for i, part in enumerate(parts)),
-            "valid_mask", "invalid_input_mask", "derivation_failure_mask",
-        )
+    for limb in C.LIMBS:  # rounding is bulky code, so each limb's seven values get their own span
+        rows = rows.select(
+            "*", *(rounded(F.get(limb.pose, F.lit(i))).alias(f"{limb.pose}_{part}") for i, part in enumerate(parts))
+        ).drop(limb.pose)
+        rows = end_of_span(rows, "timestamp")
+    masks = ("valid_mask", "invalid_input_mask", "derivation_failure_mask")
+    return rows.select(
+        *(c for c in rows.columns if c not in ("source_sha256", *masks)),
+        *(F.col(m).cast("bigint").alias(m) for m in masks),
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from posefold import contracts as C
 from posefold.functions.kinematics import with_chain_pose
-from posefold.operators.scale import hold, lookup_join
+from posefold.operators.scale import hold, lookup_join, spread_small_scan
 
 VECTORS = 500
 FILES = 40
@@ -39,7 +39,9 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "events").withColumn("vec_id", F.expr(f"event_id % {VECTORS}"))
+    rows = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    rows = spread_small_scan(rows, "event_id")
+    return rows.withColumn("vec_id", F.expr(f"event_id % {VECTORS}"))
 
 
 def _file_columns(ep: str = "ep") -> dict[str, str]:
