@@ -136,11 +136,11 @@ def with_chain_pose(
     """
     if len(joints) != len(model.hinges):
         raise ValueError(f"{model.name} needs {len(model.hinges)} joints, got {len(joints)}")
-    carried = [f"`{name}`" for name in df.columns]
     angles = [f"{prefix}a{i}" for i in range(len(joints))]
-    df = df.selectExpr(*carried, *(f"coalesce({j}, 0D) AS {a}" for j, a in zip(joints, angles)))
+    trig = [f"{prefix}{f}{i}" for i in range(len(joints)) for f in "sc"]
+    df = df.selectExpr("*", *(f"coalesce({j}, 0D) AS {a}" for j, a in zip(joints, angles)))
     df = df.selectExpr(
-        *carried,
+        f"* EXCEPT ({', '.join(angles)})",
         *(f"sin({angle}) AS {prefix}s{i}" for i, angle in enumerate(angles)),
         *(f"cos({angle}) AS {prefix}c{i}" for i, angle in enumerate(angles)),
     )
@@ -148,6 +148,7 @@ def with_chain_pose(
     position: list[float | str] = [0.0, 0.0, 0.0]
     rotation: list[list[float | str]] = [[1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]]
     last = len(model.hinges)
+    current: list[str] = []
     for i in range(last + 1):
         hinge = model.hinges[i] if i < last else None
         offset = hinge.offset if hinge else model.site_offset
@@ -167,13 +168,14 @@ def with_chain_pose(
                 ]
                 for row in rotation
             ]
-        # Materialise this joint's frame as twelve named columns; later sines/cosines ride along.
-        pending = [f"{prefix}{f}{j}" for f in "sc" for j in range(i + 1, last)]
+        # Materialise this joint's frame as named columns in place of the previous one; constants stay
+        # constants until the last stage. Sines and cosines leave once they are used.
         named = {f"{prefix}{axis}": position[k] for k, axis in enumerate("xyz")}
         named |= {f"{prefix}r{r}{c}": rotation[r][c] for r in range(3) for c in range(3)}
-        final = i == last
-        kept = {n: v for n, v in named.items() if final or isinstance(v, str)}
-        df = df.selectExpr(*carried, *pending, *(f"{_text(v)} AS {n}" for n, v in kept.items()))
+        kept = {n: v for n, v in named.items() if i == last or isinstance(v, str)}
+        spent = current + (trig[2 * i : 2 * i + 2] if hinge else [])
+        df = df.selectExpr(f"* EXCEPT ({', '.join(spent)})", *(f"{_text(v)} AS {n}" for n, v in kept.items()))
+        current = list(kept)
         position = [_name_or_value(named, kept, f"{prefix}{axis}") for axis in "xyz"]
         rotation = [
             [_name_or_value(named, kept, f"{prefix}r{r}{c}") for c in range(3)] for r in range(3)

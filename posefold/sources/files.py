@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from posefold.functions.text import git_blob_oid
 
-NATIVE_LIMIT_BYTES = 256 * 1024 * 1024
+NATIVE_LIMIT_BYTES = 64 * 1024 * 1024
 _CHUNK = 8 * 1024 * 1024
 
 
@@ -52,7 +53,9 @@ def _hash_in_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _stream_digest(path: str) -> str:
     from pyarrow import fs
 
-    system, inner = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file:///") else path)
+    # Hadoop writes file:/x and s3a://; Arrow expects file:///x and s3://.
+    uri = re.sub(r"^file:/+", "file:///", re.sub(r"^s3[an]://", "s3://", path))
+    system, inner = fs.FileSystem.from_uri(uri)
     digest = hashlib.sha256()
     with system.open_input_stream(inner) as stream:
         while block := stream.read(_CHUNK):
