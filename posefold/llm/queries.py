@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from posefold.llm.common import table
+from posefold.llm.exact_dedup import dedup_exact
 from posefold.llm.token_counts import count_tokens
 
 QUERIES = {}
@@ -19,3 +20,16 @@ def query(function):
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_exact(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op4_exact_dedup"] = r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+  row_number() OVER (PARTITION BY body ORDER BY doc_id) = 1 AS kept, sha256(body) AS text_sha256
+FROM n WINDOW w AS (PARTITION BY body)
+"""
