@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from posefold.llm.common import table
 from posefold.llm.exact_dedup import dedup_exact
+from posefold.llm.packing import pack_documents
 from posefold.llm.token_counts import count_tokens
+from posefold.llm.token_files import read_documents, token_folder, write_tokens
 
 QUERIES = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -33,3 +35,15 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
   row_number() OVER (PARTITION BY body ORDER BY doc_id) = 1 AS kept, sha256(body) AS text_sha256
 FROM n WINDOW w AS (PARTITION BY body)
 """
+
+
+@query
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_folder(spark)
+    write_tokens(table(spark, sf_dir, "documents"), path)
+    return read_documents(spark, path)
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
