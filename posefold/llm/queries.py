@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from posefold.llm.common import table
 from posefold.llm.exact_dedup import dedup_exact
 from posefold.llm.packing import pack_documents
+from posefold.llm.sharding import shard_by_bytes
 from posefold.llm.token_counts import count_tokens
 from posefold.llm.token_files import read_documents, token_folder, write_tokens
 
@@ -47,3 +48,8 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_by_bytes(table(spark, sf_dir, "documents"))
