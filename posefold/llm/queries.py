@@ -8,6 +8,7 @@ from posefold.llm.common import table
 from posefold.llm.exact_dedup import dedup_exact
 from posefold.llm.packing import pack_documents
 from posefold.llm.sharding import shard_by_bytes
+from posefold.llm.simhash import near_duplicates
 from posefold.llm.token_counts import count_tokens
 from posefold.llm.token_files import read_documents, token_folder, write_tokens
 
@@ -53,3 +54,8 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
