@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from posefold.llm.common import table
 from posefold.llm.exact_dedup import dedup_exact
 from posefold.llm.packing import pack_documents
+from posefold.llm.quality import classify
 from posefold.llm.sharding import shard_by_bytes
 from posefold.llm.simhash import near_duplicates
 from posefold.llm.token_counts import count_tokens
@@ -59,3 +60,8 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
