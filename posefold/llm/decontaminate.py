@@ -14,6 +14,7 @@ import string
 import uuid
 from collections.abc import Iterator
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ RESULT = (
     " tiles array<struct<item_start:int,doc_start:int,length:int>>"
 )
 _SPACED = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
+_FEW_BITS = 20
 _PRIME = 0x9E3779B97F4A7C15
 _INVERSE = pow(_PRIME, -1, 1 << 64)
 _indexes: dict[str, "Index"] = {}
@@ -136,27 +138,32 @@ class Index:
             for code in set(Rolling(codes).windows(width).tolist()):
                 seeds.setdefault(width, {}).setdefault(code, []).append(len(self.items))
             self.items.append((item_id, codes, width))
-        self.seeds = {width: (np.array(sorted(found), dtype=np.uint64), found) for width, found in seeds.items()}
+        self.seeds = {}
+        for width, found in seeds.items():
+            # A bit for the leading bits of every seed tells most other windows off at once.
+            few = np.zeros(1 << _FEW_BITS, dtype=bool)
+            few[np.array(list(found), dtype=np.uint64) >> np.uint64(64 - _FEW_BITS)] = True
+            self.seeds[width] = (few, found)
 
     def matches(self, text: str, coverage: float) -> Iterator[tuple[int, int, int, float, list[tuple[int, int, int]]]]:
-        number = self.numbers.get
         words = tokens(text)
-        codes = np.fromiter((number(w, -1) for w in words), np.int64, len(words))
-        for width, (known, items) in self.seeds.items():
+        codes = np.fromiter(map(self.numbers.get, words, repeat(-1)), np.int64, len(words))
+        known = codes >= 0
+        for width, (few, items) in self.seeds.items():
             if len(codes) < width:
                 continue
-            # Windows all of whose tokens occur in the benchmark; few, so that hashing is cheap.
-            runs = np.cumsum(np.concatenate([[0], codes < 0]))
-            windows = np.flatnonzero(runs[width:] == runs[:-width])
-            if not len(windows):
-                continue
+            # Windows all of whose tokens occur in the benchmark.
+            whole = known[: len(codes) - width + 1].copy()
+            for k in range(1, width):
+                whole &= known[k : len(codes) - width + 1 + k]
+            windows = np.flatnonzero(whole)
             sums = np.zeros(len(windows), dtype=np.uint64)
             for k in reversed(range(width)):
                 sums = sums * np.uint64(_INVERSE) + (codes[windows + k] + 2).astype(np.uint64)
-            hits = windows[np.isin(sums, known)]
+            maybe = np.flatnonzero(few[sums >> np.uint64(64 - _FEW_BITS)])
             by_item: dict[int, list[int]] = {}
-            for place, code in zip(hits.tolist(), sums[np.isin(sums, known)].tolist()):
-                for item in items[code]:
+            for place, code in zip(windows[maybe].tolist(), sums[maybe].tolist()):
+                for item in items.get(code, ()):
                     by_item.setdefault(item, []).append(place)
             for item, places in by_item.items():
                 yield from self._tile(item, np.array(places), codes, coverage)
