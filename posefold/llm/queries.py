@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from posefold.llm.common import table
 from posefold.llm.decontaminate import contaminated
 from posefold.llm.exact_dedup import dedup_exact
+from posefold.llm.html_text import extract_text
 from posefold.llm.packing import pack_documents
 from posefold.llm.quality import classify
 from posefold.llm.sharding import shard_by_bytes
@@ -71,3 +72,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
