@@ -14,6 +14,7 @@ from posefold.llm.sharding import shard_by_bytes
 from posefold.llm.simhash import near_duplicates
 from posefold.llm.token_counts import count_tokens
 from posefold.llm.token_files import read_documents, token_folder, write_tokens
+from posefold.llm.tool_calls import format_chat
 
 QUERIES = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -77,3 +78,31 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chat(table(spark, sf_dir, "conversations"))
+
+
+ORACLE_SQL["op7_chat_format"] = """
+WITH t AS (SELECT conv_id, turn, role, text, role = 'assistant' AS is_result FROM conversations),
+calls AS (SELECT conv_id, turn, min(role) AS name, min(text) AS text, count(*) AS n_calls FROM t WHERE NOT is_result GROUP BY ALL),
+answers AS (SELECT conv_id, turn - 1 AS turn, min(text) AS content, count(*) AS n_results FROM t WHERE is_result GROUP BY ALL),
+islands AS (
+  SELECT *, sum(begins::INT) OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM (
+    SELECT *, coalesce(turn - lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) > 2, true) AS begins FROM calls)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id, island ORDER BY turn) - 1 AS level FROM islands),
+linked AS (
+  SELECT conv_id || ':' || turn AS call_id, name, text, turn, level, n_calls, n_results, content,
+    CASE WHEN n_calls IS NULL THEN 'orphan_result' WHEN n_results IS NULL THEN 'unanswered' ELSE 'answered' END AS status,
+    CASE WHEN n_calls IS NULL THEN '' WHEN name NOT IN ('user', 'system') THEN 'unknown tool'
+      WHEN text IS NULL THEN 'text: missing' WHEN text = '' THEN 'text: beyond the minLength' ELSE '' END AS errors
+  FROM placed FULL JOIN answers USING (conv_id, turn))
+SELECT call_id, name, status, level, n_calls IS NOT NULL AND errors = '' AS valid, errors,
+  coalesce(n_calls, 0) AS n_calls, coalesce(n_results, 0) AS n_results,
+  json_object('arguments', CASE WHEN n_calls IS NOT NULL THEN json_object('text', text, 'turn', turn) END, 'call_id', call_id,
+    'content', content, 'errors', CASE WHEN errors = '' THEN []::VARCHAR[] ELSE [errors] END, 'level', level, 'name', name,
+    'status', status, 'valid', n_calls IS NOT NULL AND errors = '')::VARCHAR AS record
+FROM linked
+"""
