@@ -66,3 +66,28 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     nodes = pairs.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     roots = nodes.select(F.col("component").alias("node")).distinct()
     return nodes.unionByName(roots.selectExpr("node", "node AS component"))
+
+
+BROADCAST_KEYS = 500_000
+
+
+def without(documents: DataFrame, dropped: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``documents`` whose ``keys`` (nulls are equal) are not in ``dropped``.
+
+    The dropped keys are staged and counted; few are sent to every task, many meet the rows in a shuffle.
+    """
+    gone = stage(dropped.select(*(F.col(k).alias(f"_gone_{k}") for k in keys)).distinct(), "dropped")
+    if gone.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        gone = F.broadcast(gone)
+    return documents.join(gone, [F.col(k).eqNullSafe(F.col(f"_gone_{k}")) for k in keys], "left_anti")
+
+
+def filtered(documents: DataFrame, text_column: str, keep) -> DataFrame:
+    """Whole rows of ``documents`` for whose texts (null as empty) ``keep(texts)`` gives a true flag."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = [text or "" for text in batch.column(text_column).to_pylist()]
+            yield batch.filter(pa.array(keep(texts), pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)

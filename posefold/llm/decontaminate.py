@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posefold.llm.common import slices, stage, text_or_empty
+from posefold.llm.common import filtered, slices, stage, text_or_empty
 
 LEAST_MATCH = 4
 COVERAGE = 0.6
@@ -197,6 +197,33 @@ def _blocks(benchmark: DataFrame, most: int) -> Iterator[list[tuple[int, str]]]:
         yield held
 
 
+def _index(name: str, block, least: int) -> Index:
+    """A worker's index of a broadcast block; it keeps the last one it has built."""
+    if name not in _indexes:
+        _indexes.clear()
+        _indexes[name] = Index(block.value, least)
+    return _indexes[name]
+
+
+def clean_documents(
+    documents: DataFrame, benchmark: DataFrame, least: int = LEAST_MATCH, coverage: float = COVERAGE, text_column: str = "text",
+    item_column: str = "item_id", item_text_column: str = "text", block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows, with all their columns, that no benchmark item contaminates (see ``contaminated``)."""
+    items = benchmark.select(F.col(item_column).cast("bigint"), F.col(item_text_column)).where(F.col(item_text_column).isNotNull())
+
+    def clean(block):
+        name = uuid.uuid4().hex
+        return lambda texts: [not any(True for _ in _index(name, block, least).matches(t, coverage)) for t in texts]
+
+    left = documents
+    for i, block in enumerate(_blocks(items, block_bytes)):
+        # Each block filters what the one before has left; staged, so that only one index is alive.
+        left = stage(left, "clean") if i else left
+        left = filtered(left, text_column, clean(documents.sparkSession.sparkContext.broadcast(block)))
+    return left
+
+
 def contaminated(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -222,13 +249,10 @@ def contaminated(
     tile = pa.struct([("item_start", pa.int32()), ("doc_start", pa.int32()), ("length", pa.int32())])
 
     def matched(block):
-        name = uuid.uuid4().hex  # by which a worker knows an index it has built
+        name = uuid.uuid4().hex
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            if name not in _indexes:
-                _indexes.clear()
-                _indexes[name] = Index(block.value, least)
-            index = _indexes[name]
+            index = _index(name, block, least)
             for batch in slices(batches):
                 found = [
                     (i, *row) for i, text in enumerate(batch.column("body").to_pylist()) for row in index.matches(text, coverage)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posefold.llm import rice
-from posefold.llm.common import stage, text_or_empty
+from posefold.llm.common import stage, text_or_empty, without
 
 OWNER_VALUES = 1 << 19
 BLOCK_VALUES = 1 << 20
@@ -181,3 +181,29 @@ def dedup_exact(documents: DataFrame, id_column: str = "doc_id", text_column: st
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
     )
     return single.unionByName(compared).withColumnRenamed("id", id_column)
+
+
+def unique_documents(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows, with all their columns, that ``dedup_exact`` keeps; of rows that repeat id and text, one."""
+    columns = documents.columns
+    verdicts = (
+        dedup_exact(documents, id_column, text_column)
+        .groupBy(F.col(id_column).alias("_id"), F.col("text_sha256").alias("_sha"))
+        .agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
+        .where("n > 1 OR NOT stays")
+    )
+    verdicts = stage(verdicts, "verdicts")
+    keyed = documents.withColumns(
+        {"_id": F.col(id_column).cast("bigint"), "_sha": F.sha2(normalised(text_column), 256)}
+    )
+    once = without(keyed, verdicts, ["_id", "_sha"]).select(*columns)
+    repeated = verdicts.where("stays").select("_id", "_sha")
+    if repeated.limit(1).count() == 0:
+        return once
+    again = keyed.join(
+        repeated.select(F.col("_id").alias("_i"), F.col("_sha").alias("_s")),
+        F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_sha") == F.col("_s")),
+        "left_semi",
+    )
+    one = again.groupBy("_id", "_sha").agg(F.first(F.struct(*columns)).alias("row")).select("row.*")
+    return once.unionByName(one)

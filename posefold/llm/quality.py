@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posefold.llm.common import slices, stage, text_or_empty
+from posefold.llm.common import filtered, slices, stage, text_or_empty
 
 FEATURE_BITS = 16
 FIT_ROWS = 20_000
@@ -210,6 +210,22 @@ def train(
     return pickle.loads(model["model"]) if model else constant(0.5, 1 << bits)
 
 
+def scores_of(texts: list[str], model: dict, bits: int = FEATURE_BITS) -> np.ndarray:
+    margins = np.array([model["weights"][indicators(t, bits)].sum() for t in texts], dtype=float)
+    return 1 / (1 + np.exp(-np.clip(model["a"] * (margins + model["bias"]) + model["c"], -35, 35)))
+
+
+def accepted(
+    documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+    label_column: str = "quality", threshold: float = THRESHOLD, bits: int = FEATURE_BITS, fit_rows: int = FIT_ROWS,
+) -> DataFrame:
+    """The rows, with all their columns, that ``classify`` predicts 1 for."""
+    model = documents.sparkSession.sparkContext.broadcast(
+        train(documents, labels, id_column, text_column, label_column, bits, fit_rows)
+    )
+    return filtered(documents, text_column, lambda texts: scores_of(texts, model.value, bits) >= threshold)
+
+
 def classify(
     documents: DataFrame,
     labels: DataFrame,
@@ -234,10 +250,8 @@ def classify(
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
         for batch in slices(batches):
-            margins = np.array([m["weights"][indicators(t, bits)].sum() for t in batch.column("body").to_pylist()])
-            scores = 1 / (1 + np.exp(-np.clip(m["a"] * (margins + m["bias"]) + m["c"], -35, 35)))
+            scores = scores_of(batch.column("body").to_pylist(), model.value, bits)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores, pa.float64())], ["id", "score"])
 
     rows = documents.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("body"))

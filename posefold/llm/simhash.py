@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posefold.llm.common import components, slices, stage, text_or_empty
+from posefold.llm.common import components, slices, stage, text_or_empty, without
 
 RADIUS = 4
 BITS = 64
@@ -208,3 +208,14 @@ def near_duplicates(
     return rows.join(named, "fp").select(
         F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(
+    documents: DataFrame, words: int = 5, radius: int = RADIUS, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The rows, with all their columns, that stay when one document of each component does: the one with
+    the smallest id. An id of which some row stays keeps all its rows; rows without an id stay."""
+    found = near_duplicates(documents, words, radius, id_column, text_column)
+    key = F.col(id_column)
+    judged = found.where(key.isNotNull()).groupBy(key).agg(F.max(key == F.col("component_id")).alias("stays"))
+    return without(documents, judged.where("NOT stays"), [id_column])
