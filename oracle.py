@@ -99,14 +99,14 @@ def slot(i: int, value: str, base: str = "clean") -> str:
 
 
 NAN, INF = "'NaN'::DOUBLE", "'Infinity'::DOUBLE"
-TWO = "lpad(ep::VARCHAR, 2, '0')"
+TWO = "lpad(ep::VARCHAR, greatest(8, length(ep::VARCHAR))::INT, '0')"
 PATH = f"'data/val/task_' || {TWO} || '/episode_' || {TWO} || '/episode.fo.mcap'"
 EP_OF = "regexp_extract({0}, 'episode_(\\d+)/', 1)::INT"
 
 CTES: dict[str, str] = {
     "emb": "SELECT vec_id, list_transform(embedding[1:28], lambda v: v::DOUBLE * 3) AS e FROM embeddings"
-    " WHERE vec_id >= 0 AND vec_id < 500",
-    "ev": "SELECT event_id, user_id, event_type, epoch_us(ts) AS us, event_id % 500 AS vec_id, user_id % 40 AS ep,"
+    "",
+    "ev": "SELECT event_id, user_id, event_type, epoch_us(ts) AS us, event_id % (SELECT max(vec_id) + 1 FROM embeddings) AS vec_id, user_id AS ep, props,"
     " event_id % 20 AS h, (event_id // 20) % 10 AS g FROM events",
     **fk_ctes("fkm", "emb", 17),
     "placed": f"""SELECT ev.*, {PATH} AS path, 'fx://' || {PATH} AS source_uri,
@@ -209,7 +209,7 @@ CTES["rec"] = f"""SELECT *, CASE WHEN joint_status = 'intact' THEN 'derived' ELS
     WHEN pose_status = 'intact' THEN 'source_pose_intact_invalid_joints' ELSE 'unrecoverable_invalid_joints' END AS recovery_status,
   (CASE WHEN pose_status = 'intact' THEN 1 ELSE 0 END + CASE WHEN joint_status = 'intact' THEN 6 ELSE 0 END
     + CASE WHEN joint_status = 'intact' AND pose_status <> 'intact' THEN 8 ELSE 0 END)::BIGINT AS status_mask FROM joined WHERE role = 'target'"""
-CTES["eps"] = f"SELECT ep, count(*) AS n_events, {PATH} AS path, 'fx://' || {PATH} AS source_uri, 'task_' || {TWO} AS task, 'episode_' || {TWO} AS episode_id FROM ev GROUP BY ep"
+CTES["eps"] = f"SELECT *, sha256(path || ':' || mark) AS lfs_oid, substr(sha256('git' || path || ':' || mark), 1, 40) AS oid FROM (SELECT ep, count(*) AS n_events, sum(event_id)::BIGINT AS mark, (1000 + sum(strlen(props)))::BIGINT AS size, {PATH} AS path, 'fx://' || {PATH} AS source_uri, 'task_' || {TWO} AS task, 'episode_' || {TWO} AS episode_id FROM ev GROUP BY ep)"
 CTES["chan0"] = "SELECT source_uri, path, ep, topic, count(*) AS n FROM placed GROUP BY ALL"
 CTES["chan"] = f"SELECT * FROM chan0 UNION ALL SELECT source_uri, path, ep, topic || '.plot', n FROM chan0 WHERE topic IN ({TOPIC_LIST})"
 CTES["summ"] = "SELECT source_uri, ep, sum(n)::BIGINT AS all_messages, coalesce(sum(n) FILTER (topic LIKE '%.plot'), 0)::BIGINT AS plot_messages FROM chan GROUP BY ALL"
@@ -309,7 +309,7 @@ ORACLE_SQL: dict[str, str] = {
         " GROUP BY ROLLUP (t.topic)"
     ),
     "corpus_totals": sql(
-        "SELECT count(*) AS files, sum(1000 + ep)::BIGINT AS bytes, sum(n_events)::BIGINT AS declared_all_messages,"
+        "SELECT count(*) AS files, sum(size)::BIGINT AS bytes, sum(n_events)::BIGINT AS declared_all_messages,"
         " sum(all_messages)::BIGINT AS summary_all_messages, sum(plot_messages)::BIGINT AS plot_messages, "
         + ", ".join(f"sum({n})::BIGINT AS {n}" for n in COUNTS)
         + ", sum(decode_errors)::BIGINT AS decode_errors, sum(missing_topic_count)::BIGINT AS missing_topic_occurrences,"
@@ -368,7 +368,7 @@ UNION ALL SELECT source_uri, topic, log_time_ns, sequence, 'fk_residual_outside_
         " FROM rec JOIN cohort USING (source_uri)"
     ),
     "recovery_rows": sql(
-        f"""SELECT source_uri, sha256(path) AS source_sha256, regexp_extract(path, '(task_\\d+)', 1) AS task,
+        f"""SELECT source_uri, (SELECT lfs_oid FROM eps WHERE eps.ep = rec.ep) AS source_sha256, regexp_extract(path, '(task_\\d+)', 1) AS task,
   CASE WHEN ep % 2 = 0 THEN 'episode_s' || {TWO} ELSE 'episode_' || {TWO} END AS episode, topic, log_time_ns, publish_time_ns, sequence,
   row_number() OVER (PARTITION BY source_uri ORDER BY log_time_ns, topic, sequence) - 1 AS message_ordinal, arm, stream, pose_status, joint_status,
   fk_status, recovery_status, status_mask, pose_status <> 'intact' AND fk_status = 'derived' AS recovered, """
@@ -472,8 +472,8 @@ UNION ALL SELECT path, CASE WHEN ep = 2 THEN 2 ELSE 1 END, CASE WHEN ep IN (1, 4
 UNION ALL SELECT 'data/val/task_99/episode_99/other.mcap', 0, 1, false, 'not_in_inventory', 'broken' FROM eps WHERE ep = 4"""
     ),
     "inventory_fingerprint": sql(
-        """SELECT count(*) AS entries, sha256('[' || string_agg('{"lfs":{"oid":"' || sha256(path) || '","size":' || (1000 + ep) || '},"oid":"' ||
-  substr(sha256('git' || path), 1, 40) || '","path":"' || path || '","size":' || (1000 + ep) || '}', ',' ORDER BY path) || ']') AS fingerprint FROM eps"""
+        """SELECT count(*) AS entries, sha256('[' || string_agg('{"lfs":{"oid":"' || lfs_oid || '","size":' || size || '},"oid":"' ||
+  oid || '","path":"' || path || '","size":' || size || '}', ',' ORDER BY path) || ']') AS fingerprint FROM eps"""
     ),
     "inventory_file_identity": sql("SELECT path, ep NOT IN (7, 9) AS size_matches, ep NOT IN (6, 9) AS sha256_matches FROM eps"),
     "inventory_gates": sql(
@@ -481,7 +481,7 @@ UNION ALL SELECT 'data/val/task_99/episode_99/other.mcap', 0, 1, false, 'not_in_
         " UNION ALL SELECT 'broken', count(*), count(*) - count(*) FILTER (ep = 2), count(*) FILTER (ep = 2), count(*) FILTER (ep IN (1, 5, 6)) FROM eps"
     ),
     "source_identity": sql(
-        "SELECT source_uri, (1000 + ep)::BIGINT AS size_bytes, CASE WHEN ep IN (3, 7) THEN 'mismatch' WHEN ep % 4 = 0 THEN 'not_supplied' ELSE 'verified' END AS status FROM eps"
+        "SELECT source_uri, size AS size_bytes, CASE WHEN ep IN (3, 7) THEN 'mismatch' WHEN ep % 4 = 0 THEN 'not_supplied' ELSE 'verified' END AS status FROM eps"
     ),
     "source_deduplication": sql("SELECT path, (1 + CASE WHEN ep % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN ep = 6 THEN 1 ELSE 0 END)::BIGINT AS copies, ep = 6 AS conflict FROM eps"),
     "canonical_uris": sql(

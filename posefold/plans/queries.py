@@ -504,7 +504,7 @@ def inventory_gates(spark, sf):
     )
     broken = entries.select(
         F.when(number == 1, "directory").otherwise(F.col("type")).alias("type"),
-        F.when(number == 2, F.lit("data/val/task_03/episode_03/episode.fo.mcap")).otherwise(F.col("path")).alias("path"),
+        F.when(number == 2, F.expr(fixtures.file_path("3"))).otherwise(F.col("path")).alias("path"),
         F.when(number == 5, F.col("size") + 1).otherwise(F.col("size")).alias("size"),
         F.when(number == 6, F.lit("xyz")).otherwise(F.upper("oid")).alias("oid"),
         F.struct(F.concat(F.lit("sha256:"), F.col("lfs.oid")).alias("oid"), F.col("lfs.size").alias("size")).alias("lfs"),

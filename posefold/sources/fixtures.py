@@ -1,7 +1,7 @@
 """Telemetry-shaped tables that Spark derives from the ``events`` and ``embeddings`` tables.
 
-The event stream becomes decoded arm messages and 14-value frames; forty episode files follow from
-``user_id``. The amount of work grows with ``events``.
+The event stream becomes decoded arm messages and 14-value frames; every ``user_id`` is an episode file.
+All events, users and vectors take part, so the work grows with both tables.
 """
 
 from __future__ import annotations
@@ -13,8 +13,7 @@ from posefold import contracts as C
 from posefold.functions.kinematics import with_chain_pose
 from posefold.operators.scale import hold, lookup_join, spread_small_scan
 
-VECTORS = 500
-FILES = 40
+NUMBER_WIDTH = 8
 TOPIC_OF_EVENT = {
     "view": "/left-arm-state",
     "click": "/right-arm-state",
@@ -32,27 +31,41 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _table(spark, sf_dir, "embeddings")
-        .where(f"vec_id >= 0 AND vec_id < {VECTORS}")
         .withColumn("e", F.transform(F.slice("embedding", 1, 28), lambda v: v.cast("double") * 3))
         .select("vec_id", "e")
     )
 
 
+def _vector_count(spark: SparkSession, sf_dir: str) -> int:
+    """Vectors that events are dealt over: one more than the largest number."""
+    top = _table(spark, sf_dir, "embeddings").agg(F.max("vec_id")).first()[0]
+    return (top or 0) + 1
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
     rows = spread_small_scan(rows, "event_id")
-    return rows.withColumn("vec_id", F.expr(f"event_id % {VECTORS}"))
+    return rows.withColumn("vec_id", F.expr(f"event_id % {_vector_count(spark, sf_dir)}"))
 
 
 def _file_columns(ep: str = "ep") -> dict[str, str]:
-    two = f"lpad(cast({ep} AS string), 2, '0')"
+    number = episode_text(ep)
     return {
-        "task": f"concat('task_', {two})",
-        "episode_id": f"concat('episode_', {two})",
-        "path": f"concat('data/val/task_', {two}, '/episode_', {two}, '/episode.fo.mcap')",
+        "task": f"concat('task_', {number})",
+        "episode_id": f"concat('episode_', {number})",
+        "path": f"concat('data/val/task_', {number}, '/episode_', {number}, '/episode.fo.mcap')",
     }
 
 
+def episode_text(ep: str = "ep") -> str:
+    """The number with leading zeros; a longer one keeps all its digits."""
+    return f"lpad(cast({ep} AS string), greatest({NUMBER_WIDTH}, length(cast({ep} AS string))), '0')"
+
+
+def file_path(ep: str = "ep") -> str:
+    return _file_columns(ep)["path"]
+
+
 def source_uri_of(path: str) -> str:
     return f"concat('fx://', {path})"
 
@@ -67,7 +80,7 @@ def arm_messages(spark: SparkSession, sf_dir: str, clean_only: bool = False) ->
         f"CASE event_type "
         + " ".join(f"WHEN '{kind}' THEN '{topic}'" for kind, topic in TOPIC_OF_EVENT.items())
         + " END AS plain_topic",
-        f"user_id % {FILES} AS ep",
+        "user_id AS ep",
         "event_id % 20 AS h",
         "event_id DIV 20 % 10 AS g",
     )
@@ -167,20 +180,25 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _table(spark, sf_dir, "events")
-        .groupBy(F.expr(f"user_id % {FILES}").alias("ep"))
-        .agg(F.count(F.lit(1)).alias("n_events"))
+        .groupBy(F.col("user_id").alias("ep"))
+        .agg(
+            F.count(F.lit(1)).alias("n_events"),
+            F.sum("event_id").alias("mark"),
+            (F.sum(F.octet_length("props")) + 1000).alias("size"),
+        )
     )
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One listed file per episode: ``path, size, oid, lfs_oid, lfs_size``."""
+    """One listed file per episode: ``path, size, oid, lfs_oid, lfs_size``; sizes and digests follow from
+    the file's events."""
     return _episodes(spark, sf_dir).selectExpr(
-        f"{_file_columns()['path']} AS path", "1000 + ep AS size", "ep"
+        f"{_file_columns()['path']} AS path", "size", "mark"
     ).selectExpr(
         "path",
         "size",
-        "substring(sha2(concat('git', path), 256), 1, 40) AS oid",
-        "sha2(path, 256) AS lfs_oid",
+        "substring(sha2(concat('git', path, ':', mark), 256), 1, 40) AS oid",
+        "sha2(concat(path, ':', mark), 256) AS lfs_oid",
         "size AS lfs_size",
     )
 
@@ -202,7 +220,7 @@ def channel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = (
         _table(spark, sf_dir, "events")
         .selectExpr(
-            f"user_id % {FILES} AS ep",
+            "user_id AS ep",
             "CASE event_type "
             + " ".join(f"WHEN '{kind}' THEN '{topic}'" for kind, topic in TOPIC_OF_EVENT.items())
             + " END AS t",
@@ -220,11 +238,10 @@ def channel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def session_metadata(spark: SparkSession, sf_dir: str, conflicting: bool = False) -> DataFrame:
     """Session records: one uuid for even episodes; ``conflicting`` adds a second one to episode 2."""
-    two = "lpad(cast(ep AS string), 2, '0')"
     rows = _episodes(spark, sf_dir).selectExpr(
         f"{source_uri_of(_file_columns()['path'])} AS source_uri",
         "'session-metadata' AS name",
-        f"IF(ep % 2 = 0, map('session-uuid', concat('s', {two})), map('operator', 'none')) AS metadata",
+        f"IF(ep % 2 = 0, map('session-uuid', concat('s', {episode_text()})), map('operator', 'none')) AS metadata",
         "ep",
     )
     base = rows.drop("ep")
