@@ -39,9 +39,13 @@ def corpus_totals(files: DataFrame, inventory: DataFrame, samples: DataFrame, su
     )
 
 
-def conclusion_facts(files: DataFrame, cohort_count: Column | None = None) -> DataFrame:
-    """What the corpus shows, as one row computed from the file audits."""
-    return files.agg(
+def conclusion_facts(files: DataFrame, cohorts: DataFrame) -> DataFrame:
+    """What the corpus shows, as one row computed from the file audits and the rig cohorts."""
+    seen = cohorts.agg(
+        F.count_if(F.col("cohort_x").isNotNull()).alias("observed_cohorts"),
+        (F.count_if(F.col("cohort_x").isNotNull()) > 1).alias("several_base_offsets"),
+    )
+    facts = files.agg(
         (F.sum("missing_pose") > 0).alias("missing_poses_exist"),
         (F.sum("malformed_pose") > 0).alias("malformed_poses_exist"),
         (F.sum("nonfinite_pose") > 0).alias("nonfinite_poses_exist"),
@@ -52,15 +56,15 @@ def conclusion_facts(files: DataFrame, cohort_count: Column | None = None) -> Da
         F.sum("recoverable_invalid_pose").alias("recoverable_invalid_pose"),
         F.sum("unrecoverable_invalid_pose").alias("unrecoverable_invalid_pose"),
         F.count_if(F.col("fk_outside_tolerance") > 0).alias("episodes_outside_tolerance"),
-        *([cohort_count] if cohort_count is not None else []),
     )
+    return facts.join(F.broadcast(seen))  # one row each
 
 
 def named_checks(row: DataFrame, checks: dict[str, Column], keep: list[str] = ()) -> DataFrame:
-    """Turn boolean columns into (name, passed) rows. A check over no rows holds."""
+    """Turn boolean columns into (name, passed) rows. A check that cannot be told, as over no rows, fails."""
     entries = F.array(
         *(
-            F.struct(F.lit(name).alias("name"), F.coalesce(check, F.lit(True)).alias("passed"))
+            F.struct(F.lit(name).alias("name"), F.coalesce(check, F.lit(False)).alias("passed"))
             for name, check in checks.items()
         )
     )
@@ -68,22 +72,22 @@ def named_checks(row: DataFrame, checks: dict[str, Column], keep: list[str] = ()
 
 
 def corpus_invariants(evidence: DataFrame, expected_files: int, uri_prefix: str, keep: list[str] = ()) -> DataFrame:
-    """Eleven named checks over one evidence row per file.
+    """Eleven named checks over one evidence row per file that is listed, audited or both.
 
-    ``evidence`` has the file audit plus ``size_matches, sha256_matches, unchanged, n_messages,
-    all_messages, plot_messages, counts_match, pinned_uri``; the checks compare accounting, not data
-    quality, so a corpus full of missing poses can still pass all of them.
+    ``evidence`` has the file audit plus ``listed, audited, size_matches, sha256_matches, unchanged,
+    n_messages, all_messages, plot_messages, counts_match``; the checks compare accounting, not data
+    quality, so a corpus full of missing poses can still pass all of them. What is null fails.
     """
     def every(text: str) -> Column:
         return F.every(F.coalesce(F.expr(text), F.lit(False)))
 
     checks = {
-        "expected_file_count": F.count(F.lit(1)) == expected_files,
+        "expected_file_count": F.count_if(F.expr("listed AND audited")) == expected_files,
         "sizes_match_inventory": every("size_matches"),
         "digests_match_inventory": every("sha256_matches"),
         "sources_unchanged_by_audit": every("unchanged"),
         "audit_sources_are_pinned_uris": every(
-            f"source_uri = pinned_uri AND startswith(pinned_uri, '{uri_prefix}')"
+            f"listed AND audited AND startswith(source_uri, '{uri_prefix}')"
         ),
         "declared_plus_plot_equals_summary": every("n_messages + plot_messages = all_messages"),
         "decoded_counts_match_summary": every("counts_match"),
@@ -97,16 +101,19 @@ def corpus_invariants(evidence: DataFrame, expected_files: int, uri_prefix: str,
 
 
 def corpus_audit_row(
-    files: DataFrame, invariants: DataFrame, dataset_id: str, revision: str
+    files: DataFrame, invariants: DataFrame, reconciliation: DataFrame, dataset_id: str, revision: str
 ) -> DataFrame:
-    """Integrity verdict (accounting is sound) beside the data verdict (every file also passed)."""
+    """Integrity verdict (accounting is sound) beside the data verdict (every file also passed) and
+    whether the independent profile reconciles with the audit."""
     sound = invariants.agg(F.every("passed").alias("integrity_passed"))
+    agreed = reconciliation.agg(F.every("passed").alias("reconciled"))
     passed = files.agg(F.every("passed").alias("files_passed"), F.count(F.lit(1)).alias("files"))
-    return sound.crossJoin(F.broadcast(passed)).select(
+    return sound.join(F.broadcast(passed)).join(F.broadcast(agreed)).select(  # one row each
         F.lit(C.AUDIT_SCHEMA_VERSION).alias("schema_version"),
         F.lit(dataset_id).alias("dataset_id"),
         F.lit(revision).alias("dataset_revision"),
         "files",
         "integrity_passed",
+        "reconciled",
         (F.col("integrity_passed") & F.col("files_passed")).alias("passed"),
     )

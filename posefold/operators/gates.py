@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SHOWN = 20
-
 
 class Refused(RuntimeError):
     """A gate did not hold; nothing was published."""
@@ -23,8 +21,8 @@ def gate(df: DataFrame, name: str, passed: Column, detail: Column | None = None)
 
 
 def require(gates: DataFrame) -> None:
-    """Raise :class:`Refused` naming the gates that failed. At most a few rows reach the driver."""
-    failed = gates.where(~F.col("passed")).limit(_SHOWN).collect()
+    """Raise :class:`Refused` naming the gates that failed. A table of gates has a row for each gate."""
+    failed = gates.where(~F.col("passed")).collect()
     if failed:
         raise Refused("; ".join(f"{r['gate']}: {r['detail'] or 'failed'}" for r in failed))
 

@@ -92,13 +92,15 @@ def inventory_fingerprint(inventory: DataFrame) -> DataFrame:
     return one.mapInPandas(digest, "entries bigint, fingerprint string")
 
 
-def file_identity(inventory: DataFrame, observed: DataFrame) -> DataFrame:
+def file_identity(inventory: DataFrame, observed: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Per listed path: do the observed size and digest equal the listed ones?
 
     ``observed`` has ``path, size_bytes, sha256``. A listed file that was not observed matches nothing.
+    ``keep`` names extra key columns of both.
     """
-    joined = inventory.join(observed, "path", "left")
+    joined = inventory.join(observed, [*keep, "path"], "left")
     return joined.select(
+        *keep,
         "path",
         F.coalesce(F.col("size") == F.col("size_bytes"), F.lit(False)).alias("size_matches"),
         F.coalesce(X.hex_digest("sha256", 64) == F.col("lfs_oid"), F.lit(False)).alias("sha256_matches"),
@@ -153,10 +155,11 @@ def reused_uris(deduplicated: DataFrame) -> DataFrame:
     )
 
 
-def unchanged(before: DataFrame, after: DataFrame) -> DataFrame:
+def unchanged(before: DataFrame, after: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Compare two fingerprint snapshots (``path, size_bytes, sha256``) path by path."""
-    counts = key_counts(before, after, ["path"], ["size_bytes", "sha256"])
+    counts = key_counts(before, after, [*keep, "path"], ["size_bytes", "sha256"])
     return counts.select(
+        *keep,
         "path",
         F.expr("n_left = 1 AND n_right = 1 AND l_min <=> r_min").alias("unchanged"),
     )
@@ -171,9 +174,9 @@ def align_sources(
     for name, values in columns.items():
         if len(values) != len(paths):
             raise ValueError(f"{name} has {len(values)} entries for {len(paths)} paths")
-    zipped = F.arrays_zip(*(F.array(*map(F.lit, values)).alias(n) for n, values in columns.items()))
-    row = spark.range(1).select(F.explode(zipped).alias("z"))
-    return row.select(*(F.col("z")[name].alias(name) for name in columns))
+    kinds = {int: "bigint", float: "double", bool: "boolean"}
+    fields = (f"{n} {kinds.get(type(next((v for v in vs if v is not None), '')), 'string')}" for n, vs in columns.items())
+    return spark.createDataFrame(list(zip(*columns.values())), ", ".join(fields))
 
 
 def channel_summary(channels: DataFrame) -> DataFrame:

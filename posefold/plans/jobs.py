@@ -1,4 +1,4 @@
-"""The three jobs: corpus audit, raw recovery (and its release form) and frame augmentation.
+"""The jobs: corpus audit, raw recovery (and its release form) and frame augmentation.
 
 Each job checks parameters and identities first, does its heavy pass once, verifies what it wrote and
 publishes a manifest last.
@@ -11,13 +11,19 @@ from pyspark.sql import functions as F
 
 from posefold import contracts as C
 from posefold.functions.kinematics import ChainKinematics
-from posefold.operators import audit, augment, cohorts, corpus, gates, inventory, recovery
+from posefold.operators import audit, augment, cohorts, corpus, gates, inventory, reconcile, recovery
 from posefold.operators.scale import cut_lineage
 from posefold.sources import frames as frame_source
 from posefold.sources import sinks
 from posefold.sources.files import file_fingerprints
 
 
+AUDIT_TABLES = (
+    "topic_audit", "file_audit", "issues", "cohorts", "cohort_tasks", "corpus_rollup", "corpus_totals",
+    "conclusion_facts", "inventory_facts", "sample_matches", "invariants", "cross_check", "corpus_audit",
+)
+
+
 def run_corpus_audit(
     messages: DataFrame,
     output: str,
@@ -27,19 +33,23 @@ def run_corpus_audit(
     samples: DataFrame,
     channels: DataFrame,
     observed: DataFrame,
-    observed_after: DataFrame | None = None,
+    observed_after: DataFrame,
     expected_files: int | None = None,
+    expected_fingerprint: str | None = None,
+    samples_oid: tuple[str, str] | None = None,
     issue_limit: int = C.ISSUE_SAMPLE_LIMIT,
     uri_prefix: str = "",
     **options,
 ) -> dict[str, DataFrame]:
-    """Audit a corpus and write ``topic_audit, file_audit, issues, cohorts, cohort_tasks, invariants,
-    corpus_rollup, corpus_audit`` under ``output``.
+    """Audit a corpus and write the tables of ``AUDIT_TABLES`` under ``output``, all of them or none.
 
-    ``listing`` (path, size, lfs_oid ...), ``samples``, ``channels`` (path, topic, n) and ``observed``
-    (path, size_bytes, sha256) have one row per file or channel; ``uri_prefix`` turns a path into its
-    source URI. Only the topic audit reads messages in full (once more for the issue sample); every
-    later table starts from the small stored one.
+    ``listing`` (path, size, lfs_oid ...), ``samples``, ``channels`` (path, topic, n) and both snapshots
+    ``observed`` and ``observed_after`` (path, size_bytes, sha256, from before and after the audit) have
+    one row per file or channel; ``uri_prefix`` turns a path into its source URI. The inventory gates
+    come first: distinct, well-formed entries, a sample for each and no other, and, where given, the
+    expected count, the pinned fingerprint and the samples file's ``(expected, found)`` object id. Only
+    the topic audit reads messages in full (once more for the issue sample and for the independent
+    profile); every later table starts from the small stored one.
     """
     spark = messages.sparkSession
     audit.check_tolerances(
@@ -47,37 +57,86 @@ def run_corpus_audit(
         options.get("rotation_tolerance_deg", C.ROTATION_TOLERANCE_DEG),
         issue_limit,
     )
+    run = sinks.AuditRun(spark, output)
+    entries = listing if "entry_ok" in listing.columns else listing.withColumn("entry_ok", F.lit(True))
+    facts = inventory.inventory_gate_facts(entries)
+    if expected_fingerprint is not None:
+        found = inventory.inventory_fingerprint(listing).select("fingerprint")
+        facts = facts.join(F.broadcast(found))  # one row each
+    run.write({"inventory_facts": facts, "sample_matches": inventory.match_samples(listing, samples)})
+    gates.require(
+        inventory_gates(run.read("inventory_facts"), run.read("sample_matches"), expected_files, expected_fingerprint, samples_oid)
+    )
+
     scored = audit.score_messages(messages, **options)
-    sinks.write_audit({"topic_audit": audit.topic_audit(scored)}, output)
-    topics = sinks.read_audit(spark, output, "topic_audit")
-    sinks.write_audit({"file_audit": audit.file_audit(topics)}, output)
-    files = sinks.read_audit(spark, output, "file_audit")
+    run.write({"topic_audit": audit.topic_audit(scored)})
+    topics = run.read("topic_audit")
+    run.write({"file_audit": audit.file_audit(topics)})
+    files = run.read("file_audit")
 
     detailed = audit.score_messages(messages, details=True, keep=("sequence",), **options)
     issue_rows = audit.issue_sample(audit.issues(detailed), files, issue_limit)
-    by_uri = lambda df, path="path": df.withColumn("source_uri", F.concat(F.lit(uri_prefix), F.col(path)))
-    task_of = by_uri(samples, "filepath").select("source_uri", "task")
-    assigned = cohorts.assign_cohorts(cohorts.observed_right_offsets(topics)).join(task_of, "source_uri", "left")
-    evidence = corpus_evidence(files, topics, by_uri(listing), by_uri(samples, "filepath"),
-                               by_uri(channels), observed, observed_after)
-    # Without a pinned count the corpus is held to its own listing.
+    by_uri = lambda df, path="path": df.withColumn("source_uri", F.concat(F.lit(uri_prefix), F.col(path)))
+    listed, sampled, declared = by_uri(listing), by_uri(samples, "filepath"), by_uri(channels)
+    assigned = cohorts.assign_cohorts(cohorts.observed_right_offsets(topics)).join(
+        sampled.select("source_uri", "task"), "source_uri", "left"
+    )
+    run.write({"cohorts": cohorts.rig_cohorts(assigned)})
+    evidence = corpus_evidence(files, topics, listed, sampled, declared, observed, observed_after)
+    # Without a pinned count, each listed file must have been audited.
     expected = expected_files if expected_files is not None else listing.count()
-    invariants = corpus.corpus_invariants(evidence, expected, uri_prefix)
-    sinks.write_audit(
+    digests = by_uri(listing).join(observed, "path", "left").select(
+        "source_uri", F.col("lfs_oid").alias("primary_sha256"), "sha256"
+    )
+    run.write(
         {
             "issues": issue_rows,
-            "cohorts": cohorts.rig_cohorts(assigned),
             "cohort_tasks": cohorts.cohort_tasks(assigned),
-            "invariants": invariants,
             "corpus_rollup": corpus.corpus_rollup(topics),
-        },
-        output,
+            "corpus_totals": corpus.corpus_totals(
+                files,
+                listed.withColumnRenamed("size", "size_bytes"),
+                sampled,
+                by_uri(inventory.channel_summary(channels)),
+            ),
+            "conclusion_facts": corpus.conclusion_facts(files, run.read("cohorts")),
+            "invariants": corpus.corpus_invariants(evidence, expected, uri_prefix),
+            "cross_check": reconcile.cross_check(reconcile.field_profile(messages), files, digests),
+        }
     )
-    checks = sinks.read_audit(spark, output, "invariants")
-    sinks.write_audit({"corpus_audit": corpus.corpus_audit_row(files, checks, dataset_id, revision)}, output)
-    names = ("topic_audit", "file_audit", "issues", "cohorts", "cohort_tasks", "invariants",
-             "corpus_rollup", "corpus_audit")
-    return {name: sinks.read_audit(spark, output, name) for name in names}
+    run.write(
+        {
+            "corpus_audit": corpus.corpus_audit_row(
+                files, run.read("invariants"), run.read("cross_check"), dataset_id, revision
+            )
+        }
+    )
+    run.commit()
+    return {name: sinks.read_audit(spark, output, name) for name in AUDIT_TABLES}
+
+
+def inventory_gates(
+    facts: DataFrame,
+    matches: DataFrame,
+    expected_files: int | None = None,
+    expected_fingerprint: str | None = None,
+    samples_oid: tuple[str, str] | None = None,
+) -> DataFrame:
+    """Gate rows of an inventory: its facts, its samples and what was pinned."""
+    unmatched = ~F.coalesce(F.col("path_ok") & (F.col("status") == "matched"), F.lit(False))
+    found = [
+        gates.no_rows_where(facts, "inventory_paths_are_distinct", F.col("duplicate_paths") > 0),
+        gates.no_rows_where(facts, "inventory_entries_are_well_formed", F.col("refused_entries") > 0),
+        gates.no_rows_where(matches, "every_file_has_its_sample", unmatched),
+    ]
+    if expected_files is not None:
+        found.append(gates.no_rows_where(facts, "inventory_count_is_pinned", F.col("entries") != expected_files))
+    if expected_fingerprint is not None:
+        differs = ~F.coalesce(F.col("fingerprint") == expected_fingerprint, F.lit(False))
+        found.append(gates.no_rows_where(facts, "inventory_fingerprint_is_pinned", differs))
+    if samples_oid is not None:
+        found.append(gates.no_rows_where(facts, "samples_oid_is_pinned", F.lit(samples_oid[0] != samples_oid[1])))
+    return gates.all_gates(*found)
 
 
 def corpus_evidence(
@@ -87,27 +146,24 @@ def corpus_evidence(
     samples: DataFrame,
     channels: DataFrame,
     observed: DataFrame,
-    observed_after: DataFrame | None = None,
+    observed_after: DataFrame,
     keep: list[str] = (),
 ) -> DataFrame:
-    """One evidence row per listed file, ready for the corpus invariants.
+    """One evidence row per file that is listed, audited or both, ready for the corpus invariants.
 
-    ``listing``, ``samples`` and ``channels`` carry ``source_uri``. ``keep`` names extra grouping
-    columns present in every input.
+    ``listing``, ``samples`` and ``channels`` carry ``source_uri``; the audit's own URIs come from
+    ``files``. ``keep`` names extra grouping columns present in every input.
     """
+    keep = list(keep)
     key = [*keep, "source_uri"]
-    if keep:
-        listed = listing.join(observed, [*keep, "path"], "left").select(
-            *key,
-            "path",
-            F.coalesce(F.col("size") == F.col("size_bytes"), F.lit(False)).alias("size_matches"),
-            F.coalesce(F.col("lfs_oid") == F.col("sha256"), F.lit(False)).alias("sha256_matches"),
-            F.lit(True).alias("unchanged"),
-        )
-    else:
-        checked = inventory.file_identity(listing.select("path", "size", "lfs_oid"), observed)
-        still = inventory.unchanged(observed, observed_after if observed_after is not None else observed)
-        listed = listing.select("source_uri", "path").join(checked, "path").join(still, "path", "left")
+    checked = inventory.file_identity(listing.select(*keep, "path", "size", "lfs_oid"), observed, keep)
+    still = inventory.unchanged(observed, observed_after, keep)
+    listed = (
+        listing.select(*key, "path")
+        .join(checked, [*keep, "path"], "left")
+        .join(still, [*keep, "path"], "left")
+        .withColumn("listed", F.lit(True))
+    )
     plot = F.endswith("topic", F.lit(C.PLOT_SUFFIX))
     summaries = channels.groupBy(*key).agg(
         F.sum("n").alias("all_messages"),
@@ -122,12 +178,12 @@ def corpus_evidence(
         .groupBy(*key)
         .agg(F.every(F.coalesce("messages", F.lit(0)) == F.coalesce("declared", F.lit(0))).alias("counts_match"))
     )
+    both = files.withColumn("audited", F.lit(True)).join(listed, key, "full_outer")
     return (
-        listed.join(files, key, "left")
+        both.withColumns({name: F.coalesce(name, F.lit(False)) for name in ("listed", "audited")})
         .join(samples.select(*key, "n_messages"), key, "left")
         .join(summaries, key, "left")
         .join(counts, key, "left")
-        .withColumn("pinned_uri", F.col("source_uri"))
     )
 
 

@@ -174,7 +174,8 @@ def corpus_totals(spark, sf):
 
 @query
 def conclusion_facts(spark, sf):
-    return round_all(corpus.conclusion_facts(_files(spark, sf)))
+    assigned = cohorts.assign_cohorts(cohorts.observed_right_offsets(_topics(spark, sf)))
+    return round_all(corpus.conclusion_facts(_files(spark, sf), cohorts.rig_cohorts(assigned)))
 
 
 @query
@@ -601,27 +602,66 @@ def cross_check(spark, sf):
     return reconcile.cross_check(profile, files, digests, ["variant"])
 
 
+#: One planted violation for each invariant, in file number 1; ``all`` also holds the faulty files.
+BROKEN = (
+    "lost_file", "wrong_size", "wrong_digest", "changed_source", "foreign_uri", "extra_message", "miscounted_topic",
+    "unclassified", "offset_mismatch", "decode_error", "missing_topic",
+)
+
+
 @query
 def invariants(spark, sf):
-    names = ("all", "clean", "extra_message", "wrong_size")
-    topics = _variants(_topics(spark, sf), names)
-    files = _variants(_files(spark, sf), names)
+    names = ("all", "clean", *BROKEN)
+    variant = F.col("variant")
+    one = episode_number() == 1
+
+    def planted(name: str, column: str, changed: Column) -> Column:
+        return F.when((variant == name) & one, changed).otherwise(F.col(column))
+
+    def moved(df: DataFrame) -> DataFrame:
+        return df.withColumn("source_uri", planted("foreign_uri", "source_uri", F.concat(F.lit("other:"), "source_uri")))
+
+    files = _variants(_files(spark, sf), names).withColumns(
+        {
+            "unclassified_topics": planted("unclassified", "unclassified_topics", F.lit(1)),
+            "offset_mismatch_topics": planted("offset_mismatch", "offset_mismatch_topics", F.lit(1)),
+            "decode_errors": planted("decode_error", "decode_errors", F.col("decode_errors") + 1),
+            "missing_topic_count": planted("missing_topic", "missing_topic_count", F.col("missing_topic_count") + 1),
+        }
+    )
     listing = _variants(_by_uri(fixtures.inventory(spark, sf)), names)
-    samples = _variants(_by_uri(fixtures.samples(spark, sf), "filepath"), names)
+    observed = listing.select(
+        "variant",
+        "path",
+        planted("wrong_size", "size", F.col("size") + 1).alias("size_bytes"),
+        planted("wrong_digest", "lfs_oid", F.reverse("lfs_oid")).alias("sha256"),
+        one.alias("one"),
+    )
+    after = observed.withColumn(
+        "sha256", F.when((variant == "changed_source") & F.col("one"), F.reverse("sha256")).otherwise(F.col("sha256"))
+    )
+    topic = F.col("topic")
     channels = _variants(_by_uri(fixtures.channel_counts(spark, sf)), names)
-    one = episode_number() == 1
     channels = channels.withColumn(
         "n",
-        F.when((F.col("variant") == "extra_message") & one & (F.col("topic") == "/camera/top"), F.col("n") + 1)
-        .otherwise(F.col("n")),
+        F.col("n")
+        + F.when((variant == "extra_message") & one & (topic == "/camera/top"), 1).otherwise(0)
+        + F.when((variant == "miscounted_topic") & one & (topic == "/camera/top"), -1)
+        .when((variant == "miscounted_topic") & one & (topic == "/left-arm-state"), 1)
+        .otherwise(0),
     )
-    observed = listing.select(
-        "variant", "path",
-        F.when((F.col("variant") == "wrong_size") & one, F.col("size") + 1).otherwise(F.col("size")).alias("size_bytes"),
-        F.col("lfs_oid").alias("sha256"),
+    evidence = corpus_evidence(
+        moved(files),
+        moved(_variants(_topics(spark, sf), names)),
+        moved(listing.where(~((variant == "lost_file") & one))),
+        moved(_variants(_by_uri(fixtures.samples(spark, sf), "filepath"), names)),
+        moved(channels),
+        observed.drop("one"),
+        after.drop("one"),
+        keep=["variant"],
     )
-    evidence = corpus_evidence(files, topics, listing, samples, channels, observed, keep=["variant"])
-    return corpus.corpus_invariants(evidence, 32, "fx://data/val/", ["variant"])
+    expected = fixtures.inventory(spark, sf).where(episode_number("path") % 5 != 4).count()
+    return corpus.corpus_invariants(evidence, expected, "fx://data/val/", ["variant"])
 
 
 # --- publication ---------------------------------------------------------------------------------

@@ -177,26 +177,73 @@ def read_published(spark: SparkSession, output: str) -> DataFrame:
     return spark.read.parquet(manifest["data_uri"])
 
 
+AUDIT_MANIFEST = "run_id string, schema_version string, created_at string, tables array<string>"
+
+
+class AuditRun:
+    """Audit tables of one run. They lie in the run's own folder and are read by others only after
+    ``commit`` has written the manifest line; a refused or broken run leaves nothing readable."""
+
+    def __init__(self, spark: SparkSession, output: str):
+        self._spark, self._root = spark, output.rstrip("/")
+        self.run_id = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+        self._names: list[str] = []
+
+    def _path(self, name: str) -> str:
+        return f"{self._root}/audit-{self.run_id}/{name}"
+
+    def write(self, tables: Mapping[str, DataFrame]) -> None:
+        """Write the tables; a statistic that is NaN or infinite refuses the run."""
+        for name, table in tables.items():
+            table.withColumn("schema_version", F.lit(C.AUDIT_SCHEMA_VERSION)).write.parquet(self._path(name))
+            numbers = [f.name for f in table.schema if f.dataType.simpleString() == "double"]
+            if numbers:
+                bad = F.lit(False)
+                for number in numbers:
+                    value = F.col(number)
+                    bad = bad | F.coalesce(F.isnan(value) | (F.abs(value) == F.lit(float("inf"))), F.lit(False))
+                require(gate(self._spark.read.parquet(self._path(name)), f"{name}_is_finite", F.count_if(bad) == 0))
+            self._names.append(name)
+
+    def read(self, name: str) -> DataFrame:
+        """A table of this run, before or after its commit."""
+        return self._spark.read.parquet(self._path(name)).drop("schema_version")
+
+    def commit(self) -> None:
+        line = {
+            "run_id": self.run_id,
+            "schema_version": C.AUDIT_SCHEMA_VERSION,
+            "created_at": datetime.now(timezone.utc).isoformat(),
+            "tables": self._names,
+        }
+        frame = self._spark.createDataFrame([line], AUDIT_MANIFEST)
+        frame.coalesce(1).write.mode("append").json(f"{self._root}/audit-manifest")
+
+
 def write_audit(tables: Mapping[str, DataFrame], output: str) -> None:
-    """Write audit tables side by side. A NaN in a statistic is refused rather than written."""
-    for name, table in tables.items():
-        numbers = [f.name for f in table.schema if f.dataType.simpleString() == "double"]
-        target = f"{output.rstrip('/')}/{name}"
-        table.withColumn("schema_version", F.lit(C.AUDIT_SCHEMA_VERSION)).write.parquet(target)
-        if numbers:
-            stored = table.sparkSession.read.parquet(target)
-            bad = F.lit(False)
-            for number in numbers:
-                value = F.col(number)
-                bad = bad | F.coalesce(F.isnan(value) | (F.abs(value) == F.lit(float("inf"))), F.lit(False))
-            require(gate(stored, f"{name}_is_finite", F.count_if(bad) == 0))
+    """Write audit tables as one run: all of them become readable, or none."""
+    spark = next(iter(tables.values())).sparkSession
+    run = AuditRun(spark, output)
+    run.write(tables)
+    run.commit()
 
 
 def read_audit(spark: SparkSession, output: str, name: str) -> DataFrame:
-    """A stored audit table, refused when another schema version wrote any of its rows."""
+    """A table of the newest committed run that has it, refused when another schema version wrote any of
+    its rows."""
     from posefold.operators.gates import audit_schema_gate
 
-    table = spark.read.parquet(f"{output.rstrip('/')}/{name}")
+    root = output.rstrip("/")
+    try:
+        runs = spark.read.schema(AUDIT_MANIFEST).json(f"{root}/audit-manifest")
+        newest = runs.where(F.array_contains("tables", name)).orderBy(F.desc("run_id")).first()
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        newest = None
+    if newest is None:
+        raise Refused(f"{output} has no committed audit table {name}")
+    table = spark.read.parquet(f"{root}/audit-{newest['run_id']}/{name}")
     require(audit_schema_gate(table, C.AUDIT_SCHEMA_VERSION))
     return table.drop("schema_version")
 

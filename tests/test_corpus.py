@@ -171,7 +171,7 @@ def corpus(spark, tmp_path_factory):
 
 def run_audit(corpus, name, **changes):
     root, rows, listing, samples, channels, observed = corpus
-    inputs = {"listing": listing, "samples": samples, "channels": channels, "observed": observed} | changes
+    inputs = {"listing": listing, "samples": samples, "channels": channels, "observed": observed, "observed_after": observed} | changes
     return jobs.run_corpus_audit(rows, str(root / name), "lab/x", "r1", uri_prefix="hf://", **inputs)
 
 
@@ -201,17 +201,51 @@ def test_changed_source_breaks_the_unchanged_check(spark, corpus):
     assert failed == {"sources_unchanged_by_audit"}
 
 
-def test_nan_statistics_are_refused(spark, tmp_path):
+def test_nan_statistics_are_refused_and_stay_unreadable(spark, tmp_path):
+    sinks.write_audit({"t": spark.sql("SELECT 1D AS v")}, str(tmp_path))
+    with pytest.raises(gates.Refused, match="u_is_finite"):
+        sinks.write_audit({"t": spark.sql("SELECT 2D AS v"), "u": spark.sql("SELECT double('NaN') AS v")}, str(tmp_path))
+    assert sinks.read_audit(spark, str(tmp_path), "t").first()["v"] == 1
+    with pytest.raises(gates.Refused, match="no committed audit table"):
+        sinks.read_audit(spark, str(tmp_path), "u")
+
+
+def test_a_broken_run_is_not_read(spark, tmp_path):
+    run = sinks.AuditRun(spark, str(tmp_path))
+    run.write({"t": spark.sql("SELECT 1 AS v")})
     with pytest.raises(gates.Refused):
-        sinks.write_audit({"t": spark.sql("SELECT double('NaN') AS v")}, str(tmp_path))
+        sinks.read_audit(spark, str(tmp_path), "t")
+    run.commit()
+    assert sinks.read_audit(spark, str(tmp_path), "t").count() == 1
 
 
 def test_other_schema_version_is_refused(spark, tmp_path):
-    spark.sql("SELECT 1 AS v, 'other' AS schema_version").write.parquet(str(tmp_path / "t"))
-    with pytest.raises(gates.Refused):
+    run = sinks.AuditRun(spark, str(tmp_path))
+    run.write({"t": spark.sql("SELECT 1 AS v")})
+    run.commit()
+    stored = f"{tmp_path}/audit-{run.run_id}/t"
+    spark.sql("SELECT 1 AS v, 'other' AS schema_version").write.mode("append").parquet(stored)
+    with pytest.raises(gates.Refused, match="audit_schema_version"):
         sinks.read_audit(spark, str(tmp_path), "t")
 
 
+@pytest.mark.parametrize("changes, gate", [
+    ({"expected_files": 4}, "inventory_count_is_pinned"),
+    ({"expected_fingerprint": "0" * 64}, "inventory_fingerprint_is_pinned"),
+    ({"samples_oid": ("a", "b")}, "samples_oid_is_pinned"),
+])
+def test_audit_refuses_another_inventory(spark, corpus, changes, gate):
+    with pytest.raises(gates.Refused, match=gate):
+        run_audit(corpus, f"refused-{gate}", **changes)
+    with pytest.raises(gates.Refused):
+        sinks.read_audit(spark, str(corpus[0] / f"refused-{gate}"), "inventory_facts")
+
+
+def test_audit_refuses_a_file_without_sample(spark, corpus):
+    with pytest.raises(gates.Refused, match="every_file_has_its_sample"):
+        run_audit(corpus, "lost", samples=corpus[3].where(F.col("filepath") != path_of(1)))
+
+
 def source_rows(spark, **changes):
     rows = [{"source_uri": "hf://" + path_of(n), "path": path_of(n), "sha256": entry(n)["lfs"]["oid"], "size_bytes": 10 + n} for n in (1, 2, 3)]
     table = spark.createDataFrame(rows, "source_uri string, path string, sha256 string, size_bytes long")
