@@ -556,5 +556,42 @@ UNION ALL SELECT 'data/val/task_99/episode_99/other.mcap', 0, 1, false, 'not_in_
         " WHEN 2 THEN 'nonfinite' ELSE 'intact' END END AS expected_class, count(*) AS rows, count(*) AS caught FROM picked GROUP BY ALL",
         picked="SELECT pose_status, ('0x' || substr(md5(concat_ws('|', source_uri, topic, log_time_ns, sequence)), 1, 8))::BIGINT % 50 AS pick FROM tgt",
     ),
-    "content_digest_stable": sql("SELECT count(*) AS rows, true AS stable FROM tgt"),
+    "content_digest_stable": sql("SELECT count(*) AS rows, true AS stable, true AS sees_a_change FROM tgt"),
+    "content_fingerprints": """SELECT name, strlen(content)::BIGINT AS size_bytes, sha256(content) AS sha256,
+  sha1(encode('blob ' || strlen(content)) || '\\x00'::BLOB || encode(content)) AS git_oid
+  FROM (SELECT 'document ' || doc_id AS name, text AS content FROM documents UNION ALL SELECT 'page ' || page_id, html FROM pages)""",
+    "reused_uris": sql("SELECT source_uri, 2::BIGINT AS paths FROM eps WHERE ep % 5 = 0 AND ep + 1 IN (SELECT ep FROM eps)"),
+    "job_recovery": sql(
+        f"""SELECT source_uri, CASE WHEN ep % 2 = 0 THEN 'episode_s' || {TWO} ELSE 'episode_' || {TWO} END AS episode, recovery_status, count(*) AS n,
+  min(k) AS first_ordinal, max(k) AS last_ordinal, count(*) AS poses, NULL::VARCHAR AS gate
+  FROM (SELECT *, row_number() OVER (PARTITION BY source_uri ORDER BY log_time_ns, topic, sequence) - 1 AS k FROM rec WHERE ep % 5 <> 4) GROUP BY ALL
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'expected_identity_holds'"""
+    ),
+    "job_release": sql(
+        """SELECT source_uri, recovery_status, count(*) AS n, NULL::VARCHAR AS gate FROM rec WHERE source_uri IN
+  (SELECT source_uri FROM releases WHERE clean AND decision = 'selected') GROUP BY ALL
+UNION ALL SELECT NULL, NULL, NULL, unnest(['rows_are_as_audited', 'release_has_no_refused_file'])"""
+    ),
+    "job_augmentation": sql(
+        "SELECT valid_mask, count(*) AS n, count(*) AS frames, count(*) AS hashed, NULL::VARCHAR AS gate FROM masks GROUP BY valid_mask"
+        " UNION ALL SELECT NULL, NULL, NULL, NULL, 'frame_keys_are_valid'"
+    ),
+    "job_corpus_audit": sql(
+        """SELECT name, passed, NULL::BIGINT AS n, NULL::VARCHAR AS gate FROM (
+  SELECT unnest(['expected_file_count', 'sizes_match_inventory', 'digests_match_inventory', 'sources_unchanged_by_audit', 'audit_sources_are_pinned_uris',
+    'declared_plus_plot_equals_summary', 'pose_classification_is_exhaustive', 'offset_counts_match_compared', 'all_source_hashes', 'target_messages', 'missing_pose_records']) AS name, true AS passed
+  UNION ALL SELECT 'decoded_counts_match_summary', hidden = 0 FROM by_file UNION ALL SELECT 'no_decode_errors', errors = 0 FROM by_file UNION ALL SELECT 'no_missing_target_topics', missing = 0 FROM by_file
+  UNION ALL SELECT 'intact_length_pose_records', n16 = n_intact FROM by_field UNION ALL SELECT 'only_expected_pose_lengths', odd = 0 FROM by_field UNION ALL SELECT 'six_joint_records', not6 = 0 FROM by_field
+  UNION ALL SELECT 'nonfinite_pose_records', badp = n_nonfinite FROM by_field UNION ALL SELECT 'nonfinite_joint_records', badj = 0 FROM by_field
+  UNION ALL SELECT 'integrity_passed', hidden = 0 AND errors = 0 AND missing = 0 FROM by_file
+  UNION ALL SELECT 'reconciled', n16 = n_intact AND odd = 0 AND not6 = 0 AND badp = n_nonfinite AND badj = 0 FROM by_field
+  UNION ALL SELECT 'passed', hidden = 0 AND errors = 0 AND missing = 0 AND ok FROM by_file)
+UNION ALL SELECT unnest(['files', 'bytes', 'messages', 'issues']), NULL, unnest([n, bytes, messages, issues]), NULL FROM by_file
+UNION ALL SELECT NULL, NULL, NULL, 'inventory_fingerprint_is_pinned'""",
+        by_file=f"SELECT count(*) AS n, sum(size)::BIGINT AS bytes, sum(messages)::BIGINT AS messages, sum(issue_count)::BIGINT AS issues, sum(decode_errors) AS errors,"
+        f" sum(missing_topic_count) AS missing, sum(hidden) AS hidden, bool_and(passed) AS ok FROM files JOIN eps USING (source_uri) JOIN hid USING (source_uri)",
+        hid=f"SELECT source_uri, count(*) FILTER (undecodable AND topic IN ({TOPIC_LIST})) AS hidden FROM placed GROUP BY source_uri",
+        by_field="SELECT count(*) FILTER (np = 16) AS n16, count(*) FILTER (np NOT IN (0, 16)) AS odd, count(*) FILTER (nj <> 6) AS not6, count(*) FILTER (np > fp) AS badp,"
+        " count(*) FILTER (nj > fj) AS badj, count(*) FILTER (pose_status = 'intact') AS n_intact, count(*) FILTER (pose_status = 'nonfinite') AS n_nonfinite FROM tgt",
+    ),
 }

@@ -11,15 +11,20 @@ from posefold import contracts as C
 EPISODE_PATH = r"^data/val/(?!\.{1,2}/)[^/]+/episode_[^/]*/episode\.fo\.mcap$"
 
 
-def blank_to_null(column: str | Column) -> Column:
-    """Trimmed text, null when nothing is left."""
+def stripped(column: str | Column) -> Column:
+    """Text without white space of any kind at its ends."""
     text = F.col(column) if isinstance(column, str) else column
-    return F.nullif(F.trim(text), F.lit(""))
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
+def blank_to_null(column: str | Column) -> Column:
+    """Stripped text, null when nothing is left."""
+    return F.nullif(stripped(column), F.lit(""))
 
 
 def is_blank_value(column: str) -> Column:
     """True for a supplied value that holds only blanks: an error, unlike an absent value."""
-    return F.coalesce(F.trim(F.col(column)) == "", F.lit(False))
+    return F.coalesce(stripped(column) == "", F.lit(False))
 
 
 def hex_digest(column: str, digits: int) -> Column:
@@ -93,7 +98,8 @@ def sha256_of_text(column: Column) -> Column:
 
 
 def git_blob_oid(content: str = "content") -> Column:
-    """Object id git gives to these bytes: SHA-1 over a ``blob <size>NUL`` header and the content."""
+    """Object id git gives to these bytes (a binary column): SHA-1 over a ``blob <size>NUL`` header and the
+    content."""
     return F.expr(
         f"sha1(concat(encode(concat('blob ', octet_length({content}), char(0)), 'utf-8'), {content}))"
     )

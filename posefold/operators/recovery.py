@@ -60,18 +60,28 @@ def with_statuses(targets: DataFrame, kinematics=None) -> DataFrame:
 
 
 def recovery_rows(
-    messages: DataFrame, sources: DataFrame, kinematics=None, numbered: DataFrame | None = None
+    messages: DataFrame,
+    sources: DataFrame,
+    kinematics=None,
+    numbered: DataFrame | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
     """The recovery table under internal names.
 
     ``sources`` has one row per file: ``source_uri, source_sha256, task, episode``. Where FK was
-    refused the pose is seven NaNs, never null; statuses and mask are authoritative.
+    refused the pose is seven NaNs, never null; statuses and mask are authoritative. With ``ordered``
+    the rows lie in sidecar order, by source and ordinal, however the lookups were made: they are put
+    in order after the last of them, and the derivation that follows is row by row. So is FK, which no
+    shuffle and no sampling of one repeats.
     """
     targets = numbered if numbered is not None else with_ordinals(target_messages(messages))
-    rows = with_statuses(targets, kinematics)
     rows = lookup_join(
-        rows, sources.select("source_uri", "source_sha256", "task", "episode"), ["source_uri"]
+        targets, sources.select("source_uri", "source_sha256", "task", "episode"), ["source_uri"]
     )
+    if ordered:
+        order = ("source_uri", "message_ordinal")
+        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = with_statuses(rows, kinematics)
     nothing = F.array(*(F.lit(float("nan")) for _ in C.POSE_LAYOUT))
     pose = F.when(F.col("fk_status") == "derived", pose_vector("fk_")).otherwise(nothing)
     rows = rows.withColumn("pose_arm_local", pose)
@@ -157,10 +167,10 @@ def resolve_sources(
         ),
         F.coalesce(X.blank_to_null("given_task"), X.task_from_path("path")).alias("task"),
         F.coalesce(given, X.episode_from_session("session_uuid"), X.episode_from_path("path")).alias("episode"),
-        F.expr(
-            "CASE WHEN nullif(trim(given_episode), '') IS NOT NULL THEN 'supplied'"
-            " WHEN session_uuid IS NOT NULL THEN 'session' ELSE 'path' END"
-        ).alias("episode_from"),
+        F.when(given.isNotNull(), "supplied")
+        .when(F.col("session_uuid").isNotNull(), "session")
+        .otherwise("path")
+        .alias("episode_from"),
         (given.isNull() & F.coalesce("conflicting", F.lit(False))).alias("conflict"),
         (X.is_blank_value("given_task") | X.is_blank_value("given_episode")).alias("blank_identity"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql.window import Window
 BROADCAST_ROW_LIMIT = 200_000
 SALTS = 64
 _LOCAL_ROOTS: dict[str, str] = {}
+_HELD: list[list[str]] = []
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -29,12 +31,29 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later passes prune columns from it
-    and a lost executor never recomputes what lies before it."""
+    and a lost executor never recomputes what lies before it. :func:`tidy` removes such folders."""
     path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/posefold-{label}-{uuid.uuid4().hex}"
+    for held in _HELD:
+        held.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def tidy(spark: SparkSession):
+    """Remove what ``cut_lineage`` has written inside the block. For jobs whose results lie elsewhere."""
+    held: list[str] = []
+    _HELD.append(held)
+    try:
+        yield
+    finally:
+        _HELD.remove(held)
+        conf = spark._jsc.hadoopConfiguration()
+        for path in held:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
     """Spread a scan that has fewer splits than there are cores, as one small file does.
 
@@ -90,7 +109,12 @@ def _equi_join(
 
 
 def ordinal_within(
-    df: DataFrame, group: list[str], order: list[str | Column], out: str, first: int = 0
+    df: DataFrame,
+    group: list[str],
+    order: list[str | Column],
+    out: str,
+    first: int = 0,
+    limit: int = BROADCAST_ROW_LIMIT,
 ) -> DataFrame:
     """Number the rows of each group in order, without gathering a group in one task.
 
@@ -125,7 +149,10 @@ def ordinal_within(
         "_part",
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_start") + first).alias("_shift"),
     )
-    numbered = lookup_join(staged, shifts, [*group, "_part"], how="inner", null_safe=True, derived=True)
+    # A run is never larger than a partition, so there is no hot key to salt.
+    numbered = lookup_join(
+        staged, shifts, [*group, "_part"], how="inner", limit=limit, salts=1, null_safe=True, derived=True
+    )
     return numbered.select(*df.columns, (F.col("_place") + F.col("_shift")).cast("bigint").alias(out))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from posefold import contracts as C
 from posefold.functions.kinematics import ChainKinematics
 from posefold.operators import audit, augment, cohorts, corpus, gates, inventory, reconcile, recovery
-from posefold.operators.scale import cut_lineage
+from posefold.operators.scale import cut_lineage, tidy
 from posefold.sources import frames as frame_source
 from posefold.sources import sinks
 from posefold.sources.files import file_fingerprints
@@ -198,14 +198,27 @@ def run_recovery(
     revision: str | None = None,
     source_files: list[str] = (),
     overwrite: bool = False,
+    audited: DataFrame | None = None,
 ) -> dict:
     """Write the keyed recovery sidecar.
 
     ``sources`` has one row per file: ``source_uri, path, sha256, size_bytes`` (observed) and optional
     ``task, episode, expected_sha256, expected_size_bytes``. ``source_files`` are the Parquet files or
-    folders behind ``messages``; they are fingerprinted before and after.
+    folders behind ``messages``; they are fingerprinted before and after. ``audited`` (``source_uri,
+    messages``) holds every source to the rows an audit counted in it.
     """
     spark = messages.sparkSession
+    with tidy(spark):
+        return _recover(
+            spark, messages, sources, output, kinematics, sessions, require_recovery_only, dataset_id, revision,
+            source_files, overwrite, audited,
+        )
+
+
+def _recover(
+    spark, messages, sources, output, kinematics, sessions, require_recovery_only, dataset_id, revision,
+    source_files, overwrite, audited,
+) -> dict:
     kinematics = kinematics or ChainKinematics()
     sinks.check_output(output, list(source_files))
     for name in ("expected_sha256", "expected_size_bytes"):
@@ -219,8 +232,13 @@ def run_recovery(
     )
     facts = cut_lineage(recovery.message_facts(messages), "facts")
     strangers = facts.join(unique.select("source_uri"), "source_uri", "left_anti")
+    promised = audited if audited is not None else facts.select("source_uri", F.col("rows").alias("messages"))
+    counted = facts.select("source_uri", "rows").join(promised, "source_uri", "full_outer")
     gates.require(
         gates.all_gates(
+            gates.no_rows_where(
+                counted, "rows_are_as_audited", ~F.coalesce(F.col("rows") == F.col("messages"), F.lit(False))
+            ),
             gates.no_rows_where(unique, "source_identity_is_unique", F.col("conflict")),
             gates.no_rows_where(inventory.reused_uris(unique), "source_uri_is_unique", F.lit(True)),
             gates.no_rows_where(identity, "expected_identity_holds", F.col("status") == "mismatch"),
@@ -241,11 +259,8 @@ def run_recovery(
     expected, stored = totals["rows"] or 0, totals["unnumbered"] == 0
     targets = recovery.target_messages(messages)
     table = resolved.withColumn("source_sha256", F.col("sha256"))
-    rows = recovery.recovery_rows(messages, table, kinematics, recovery.with_ordinals(targets, stored))
-    if stored:  # numbering already leaves rows in sidecar order
-        rows = rows.repartitionByRange("source_uri", "message_ordinal").sortWithinPartitions(
-            "source_uri", "message_ordinal"
-        )
+    numbered = recovery.with_ordinals(targets, stored)
+    rows = recovery.recovery_rows(messages, table, kinematics, numbered, ordered=True)
     published = sinks.describe_columns(rows, C.RECOVERY_COLUMNS, sinks.model_facts(kinematics))
 
     def checks(staged: DataFrame) -> DataFrame:
@@ -293,11 +308,16 @@ def run_recovery(
 def run_release(
     messages: DataFrame, files: DataFrame, sources: DataFrame, output: str, **options
 ) -> dict:
-    """Recover exactly the fully missing, fully recoverable files of an audit; refuse a mixed corpus."""
+    """Recover exactly the fully missing, fully recoverable files of an audit; refuse a mixed corpus.
+
+    The audit says how many rows each file has and that each is recovered; a corpus that has changed
+    since is refused.
+    """
     facts = gates.release_facts(files)
     gates.require(gates.release_gate(facts))
     chosen = gates.select_release(messages, facts)
-    return run_recovery(chosen, sources, output, require_recovery_only=True, **options)
+    promised = facts.where("decision = 'selected'").select("source_uri", "messages")
+    return run_recovery(chosen, sources, output, require_recovery_only=True, audited=promised, **options)
 
 
 def run_augmentation(
@@ -313,6 +333,15 @@ def run_augmentation(
     overwrite: bool = False,
 ) -> dict:
     """Write the pose sidecar of one or more frame tables. One map stage from scan to sink."""
+    with tidy(spark):
+        return _augment(
+            spark, inputs, output, kinematics, info_path, info_uri, dataset_id, revision, hash_sources, overwrite
+        )
+
+
+def _augment(
+    spark, inputs, output, kinematics, info_path, info_uri, dataset_id, revision, hash_sources, overwrite
+) -> dict:
     kinematics = kinematics or ChainKinematics()
     contract = frame_source.feature_contract(spark, info_path, info_uri)
     sinks.check_output(output, list(inputs))

@@ -20,9 +20,11 @@ from posefold.functions.spans import end_of_span
 from posefold.operators import accounting, audit, augment, cohorts, corpus, gates, inventory
 from posefold.operators import reconcile, recovery, series
 from posefold.operators.scale import checkpoint_root
+from posefold.plans import jobs
 from posefold.plans.jobs import corpus_evidence
 from posefold.sources import fixtures, sinks
 from posefold.sources.files import file_fingerprints
+from posefold.sources.messages import normalise_messages, read_arm_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,6 +64,10 @@ def episode_number(column: str = "source_uri") -> Column:
     return F.regexp_extract(column, r"episode_(\d+)/", 1).cast("int")
 
 
+def number_text(column: str = "source_uri") -> str:
+    return rf"cast(regexp_extract({column}, 'episode_(\\d+)/', 1) AS int)"
+
+
 def is_clean(column: str = "source_uri") -> Column:
     return episode_number(column) % 5 != 4
 
@@ -319,7 +325,7 @@ def _sessions(spark, sf, conflicting=False) -> DataFrame:
 def episode_resolution(spark, sf):
     sources = fixtures.source_table(spark, sf).select("source_uri", "path")
     number = episode_number("path")
-    given = sources.withColumn("episode", F.when(number % 8 == 0, F.lit(" given ")).when(number % 8 == 3, F.lit("  ")))
+    given = sources.withColumn("episode", F.when(number % 8 == 0, F.lit("\t given\n")).when(number % 8 == 3, F.lit(" \t\n")))
     clean = recovery.resolve_sources(sources, _sessions(spark, sf))
     broken = recovery.resolve_sources(given, _sessions(spark, sf, conflicting=True))
     columns = ["source_uri", "task", "episode", "episode_from", "conflict", "blank_identity"]
@@ -673,6 +679,35 @@ def file_fingerprints_of_tables(spark, sf):
     return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), "size_bytes", "sha256")
 
 
+@query
+def content_fingerprints(spark, sf):
+    """Digest and git object id of every document and page, as of a file with that content."""
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select(
+        F.concat(F.lit("document "), "doc_id").alias("name"), F.encode("text", "utf-8").alias("content")
+    )
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select(
+        F.concat(F.lit("page "), "page_id").alias("name"), F.encode("html", "utf-8").alias("content")
+    )
+    both = rows.unionByName(pages)
+    return both.select(
+        "name",
+        F.octet_length("content").cast("bigint").alias("size_bytes"),
+        F.sha2("content", 256).alias("sha256"),
+        X.git_blob_oid().alias("git_oid"),
+    )
+
+
+@query
+def reused_uris(spark, sf):
+    """URIs that several paths claim: every fifth file takes its neighbour's."""
+    sources = fixtures.source_table(spark, sf)
+    number = episode_number("path")
+    taken = F.expr(fixtures.source_uri_of(fixtures.file_path(f"({number_text('path')} - 1)")))
+    shared = sources.withColumn("source_uri", F.when(number % 5 == 1, taken).otherwise(F.col("source_uri")))
+    unique = inventory.deduplicate_sources(shared)
+    return inventory.reused_uris(unique)
+
+
 @query
 def publish_and_verify(spark, sf):
     """Publish the frame sidecar, accept it through its manifest and count it by mask."""
@@ -697,10 +732,157 @@ def planted_canaries(spark, sf):
 
 @query
 def content_digest_stable(spark, sf):
-    """Digest the statuses twice under different partitionings; the two must agree."""
-    rows = _statuses(spark, sf).select("source_uri", "topic", "sequence", *recovery.STATUSES, "status_mask", "fk_x", "fk_qw")
-    first = gates.content_digest(rows)
-    second = gates.content_digest(rows.repartition("sequence"))
-    return first.join(F.broadcast(second.withColumnsRenamed({"rows": "rows2", "digest": "digest2"}))).select(
-        "rows", ((F.col("rows") == F.col("rows2")) & (F.col("digest") == F.col("digest2"))).alias("stable")
+    """Digests of the statuses: derived twice under different partitionings they agree, and one changed
+    row makes another digest."""
+
+    def digest(messages: DataFrame, variant: str) -> DataFrame:
+        rows = recovery.with_statuses(recovery.target_messages(messages))
+        kept = rows.select("source_uri", "topic", "sequence", *recovery.STATUSES, "status_mask")
+        return tag(gates.content_digest(kept), variant)
+
+    messages = fixtures.arm_messages(spark, sf)
+    changed = messages.withColumn(
+        "pose", F.when(F.col("sequence") != F.lit(_last_clean_sequence(messages)), F.col("pose"))
+    )
+    several = (
+        digest(messages, "first")
+        .unionByName(digest(messages.repartition("sequence"), "again"))
+        .unionByName(digest(changed, "changed"))
+    )
+    wide = several.groupBy("rows").pivot("variant", ["first", "again", "changed"]).agg(F.min("digest"))
+    return wide.select(
+        "rows", (F.col("first") == F.col("again")).alias("stable"), (F.col("first") != F.col("changed")).alias("sees_a_change")
+    )
+
+
+def _last_clean_sequence(messages: DataFrame) -> int:
+    rows = K.pose_status_only(recovery.target_messages(messages).where(is_clean()))
+    return rows.where("pose_status = 'intact'").agg(F.max("sequence")).first()[0]
+
+
+# --- jobs ----------------------------------------------------------------------------------------
+
+
+def _folder(spark, name: str) -> str:
+    import uuid
+
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _scanned_messages(spark, sf, clean_only: bool = True) -> tuple[DataFrame, str]:
+    """The messages as another pipeline's table on disk, read back through the scan."""
+    folder = _folder(spark, "messages")
+    raw = fixtures.arm_messages(spark, sf, clean_only).withColumnsRenamed({"pose": "matrix", "position": "joints"})
+    raw.write.parquet(folder)
+    renamed = normalise_messages(spark.read.parquet(folder), {"matrix": "pose", "joints": "position"})
+    stored = _folder(spark, "decoded")
+    renamed.write.parquet(stored)
+    return read_arm_messages(spark, stored), stored
+
+
+def _refusal(spark, job) -> DataFrame:
+    """The names of the gates that refuse the job, a row each; no row if nothing does."""
+    try:
+        job()
+        names = []
+    except gates.Refused as refused:
+        names = [part.split(":")[0] for part in str(refused).split("; ")]
+    return spark.createDataFrame([(name,) for name in names], "gate string")
+
+
+def _job_rows(published: DataFrame, refusal: DataFrame) -> DataFrame:
+    return published.withColumn("gate", F.lit(None).cast("string")).unionByName(refusal, allowMissingColumns=True)
+
+
+@query
+def job_recovery(spark, sf):
+    """The recovery sidecar through scan, job, manifest and verified read; refused on a wrong digest."""
+    messages, stored = _scanned_messages(spark, sf)
+    sources = fixtures.source_table(spark, sf).where(is_clean())
+    sources = sources.withColumn("expected_sha256", F.upper("sha256"))
+    output = _folder(spark, "recovery")
+    jobs.run_recovery(messages, sources, output, sessions=_sessions(spark, sf), source_files=[stored])
+    rows = sinks.read_published(spark, output)
+    counted = rows.groupBy(
+        F.col("`provenance.source_uri`").alias("source_uri"),
+        F.col("`provenance.episode`").alias("episode"),
+        F.col("`geometry.recovery_status`").alias("recovery_status"),
+    ).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("`provenance.source_message_index`").cast("bigint").alias("first_ordinal"),
+        F.max("`provenance.source_message_index`").cast("bigint").alias("last_ordinal"),
+        F.count_if(F.size("`geometry.pose.arm_local`") == 7).alias("poses"),
+    )
+    wrong = sources.withColumn("expected_sha256", F.reverse("sha256"))
+    refusal = _refusal(spark, lambda: jobs.run_recovery(messages, wrong, _folder(spark, "refused")))
+    return _job_rows(counted, refusal)
+
+
+@query
+def job_release(spark, sf):
+    """The release of the fully missing files; refused where a file is mixed, and on a stale audit."""
+    messages, stored = _scanned_messages(spark, sf)
+    files = audit.file_audit(audit.topic_audit(audit.score_messages(messages)))
+    sources = fixtures.source_table(spark, sf)
+    output = _folder(spark, "release")
+    jobs.run_release(messages, files, sources, output, source_files=[stored])
+    rows = sinks.read_published(spark, output)
+    counted = rows.groupBy(
+        F.col("`provenance.source_uri`").alias("source_uri"), F.col("`geometry.recovery_status`").alias("recovery_status")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    stale = files.withColumns({name: F.col(name) + 1 for name in ("messages", "invalid_pose", "missing_pose", "recoverable_invalid_pose")})
+    stale = stale.where("intact_pose = 0")
+    refused = _refusal(spark, lambda: jobs.run_release(messages, stale, sources, _folder(spark, "stale")))
+    mixed, _ = _scanned_messages(spark, sf, clean_only=False)
+    mixed_files = audit.file_audit(audit.topic_audit(audit.score_messages(mixed)))
+    also = _refusal(spark, lambda: jobs.run_release(mixed, mixed_files, sources, _folder(spark, "mixed")))
+    return _job_rows(counted, refused.unionByName(also))
+
+
+@query
+def job_augmentation(spark, sf):
+    """The pose sidecar of a dataset folder through frame scan, job and verified read; refused on bad keys."""
+    root = _folder(spark, "frames")
+    frames = fixtures.frames(spark, sf).select(
+        *C.FRAME_KEYS, *(F.col(alias).alias(name) for name, alias in C.FRAME_INPUT_COLUMNS.items())
+    )
+    frames.write.parquet(f"{root}/data")
+    spark.range(1).write.parquet(f"{root}/meta")  # another schema, which must not be taken for frames
+    output = _folder(spark, "augmented")
+    jobs.run_augmentation(spark, [root], output)
+    rows = sinks.read_published(spark, output)
+    counted = rows.groupBy(F.col("`geometry.valid_mask`").cast("bigint").alias("valid_mask")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("index").alias("frames"),
+        F.count_if(F.length("`provenance.source_sha256`") == 64).alias("hashed"),
+    )
+    broken = _folder(spark, "broken")
+    frames.withColumn("frame_index", F.when(F.col("index") % 50 != 0, F.col("frame_index"))).write.parquet(broken)
+    refusal = _refusal(spark, lambda: jobs.run_augmentation(spark, [broken], _folder(spark, "refused")))
+    return _job_rows(counted, refusal)
+
+
+@query
+def job_corpus_audit(spark, sf):
+    """The corpus audit through scan, job and committed read; refused on another inventory."""
+    messages, _ = _scanned_messages(spark, sf, clean_only=False)
+    listing, samples = fixtures.inventory(spark, sf), fixtures.samples(spark, sf)
+    observed = listing.select("path", F.col("size").alias("size_bytes"), F.col("lfs_oid").alias("sha256"))
+    inputs = (DATASET, REVISION, listing, samples, fixtures.channel_counts(spark, sf), observed, observed)
+    output = _folder(spark, "audit")
+    jobs.run_corpus_audit(messages, output, *inputs, uri_prefix="fx://")
+    facts = sinks.read_audit(spark, output, "invariants").unionByName(sinks.read_audit(spark, output, "cross_check"))
+    verdict = sinks.read_audit(spark, output, "corpus_audit").select(
+        F.inline(F.array(*(F.struct(F.lit(n).alias("name"), F.col(n).alias("passed")) for n in ("integrity_passed", "reconciled", "passed"))))
+    )
+    totals = sinks.read_audit(spark, output, "corpus_totals").select(
+        F.inline(F.array(*(F.struct(F.lit(n).alias("name"), F.col(n).alias("n")) for n in ("files", "bytes", "messages", "issues"))))
+    )
+    rows = facts.unionByName(verdict).unionByName(totals, allowMissingColumns=True)
+    refusal = _refusal(
+        spark,
+        lambda: jobs.run_corpus_audit(
+            messages, _folder(spark, "refused"), *inputs, uri_prefix="fx://", expected_fingerprint="0" * 64
+        ),
     )
+    return _job_rows(rows, refusal)

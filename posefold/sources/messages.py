@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from posefold import contracts as C
 from posefold.functions.classify import is_target_topic
+from posefold.functions.text import stripped
 
 
 def read_arm_messages(spark: SparkSession, *paths: str) -> DataFrame:
@@ -67,7 +68,7 @@ def session_episodes(metadata: DataFrame) -> DataFrame:
     Input columns ``source_uri, name, metadata``; output ``source_uri, n_uuids, session_uuid``. The
     smallest and largest uuid are enough to tell one from several, so nothing is collected.
     """
-    uuid = F.trim(F.try_element_at("metadata", F.lit("session-uuid")))
+    uuid = stripped(F.try_element_at("metadata", F.lit("session-uuid")))
     return (
         metadata.where(F.col("name") == "session-metadata")
         .select("source_uri", F.nullif(uuid, F.lit("")).alias("uuid"))
