@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from itertools import chain, filterfalse
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -20,10 +21,14 @@ from tokenizers import Tokenizer
 
 #: Places between a non-space character and white space: proven cuts.
 STABLE = re.compile(r"(?<=\S)(?=[ \t-\r])")
+#: Letters are a word of their own, and so is the comma or full stop that ends the piece.
+STOPPED = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+[,.]")
 #: Words kept by a worker: two generations of at most so many. A worker's memory is bounded by it.
 GENERATION = 500_000
 #: Words that are split and looked up together.
 WORDS = 100_000
+#: Texts of at most so many characters are remembered, so many at most: copies often come in numbers.
+COPY_CHARS, COPIES = 8_192, 4_096
 #: Words encoded in one call; longer texts gain nothing from the library.
 GROUP = 100
 _LOADED: dict[str, "PieceEncoder"] = {}
@@ -59,6 +64,8 @@ class PieceEncoder:
         self._bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
         for token, number in vocabulary.items():
             self._bytes_of[number] = len(token.encode()) if token in added else len(token)
+        self._stops = dict(zip(",.", self._ids([",", "."])))
+        self._copies: dict[str, bytes] = {}
         self._young: dict[str, bytes | None] = {}
         self._old: dict[str, bytes | None] = {}
 
@@ -81,40 +88,59 @@ class PieceEncoder:
                 begin = stop
         return out
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, split: list[list[str]]) -> None:
         """Put the words that are new into the young generation. Those that are empty or end in
         white space get none: a cut after them is not proven."""
-        unknown = words.difference(self._young)
+        unknown = set(filterfalse(self._young.__contains__, chain.from_iterable(split)))
         if len(self._young) + len(unknown) > GENERATION:
             self._old, self._young = self._young, {}
-            unknown = words
+            unknown = set(chain.from_iterable(split))
         young, old = self._young, self._old
-        fresh = []
+        fresh, stopped = set(), []
         for word in unknown:
             if word in old:
                 young[word] = old[word]
             elif not word or word[-1].isspace():
                 young[word] = None
+            elif STOPPED.fullmatch(word):
+                base = word[:-1]
+                if base in old:
+                    young.setdefault(base, old[base])
+                elif base not in young:
+                    fresh.add(base)
+                stopped.append(word)
             else:
-                fresh.append(word)
+                fresh.add(word)
+        fresh = list(fresh)
         young.update(zip(fresh, self._pieces(fresh)))
+        young.update((word, young[word[:-1]] + self._stops[word[-1]]) for word in stopped)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text, in order; texts are taken some hundred thousand words at a time."""
-        out: list[bytes] = []
-        held: list[list[str]] = []
+        known = {text: self._copies[text] for text in texts if text in self._copies}
+        held: dict[str, list[str]] = {}
         words = 0
+
+        def settle() -> None:
+            known.update(zip(list(held), self._encode(list(held.values()))))
+            held.clear()
+
         for text in texts:
-            held.append(text.split(" "))
-            words += len(held[-1])
-            if words >= WORDS:
-                out += self._encode(held)
-                held, words = [], 0
-        return out + self._encode(held)
+            if text not in known and text not in held:
+                held[text] = text.split(" ")
+                words += len(held[text])
+                if words >= WORDS:
+                    settle()
+                    words = 0
+        settle()
+        if len(self._copies) > COPIES:
+            self._copies.clear()
+        self._copies.update((text, ids) for text, ids in known.items() if len(text) <= COPY_CHARS)
+        return [known[text] for text in texts]
 
     def _encode(self, split: list[list[str]]) -> list[bytes]:
         heads = [words.pop(0) for words in split]
-        self._learn(set().union(*split))
+        self._learn(split)
         of = self._young.__getitem__
         out = []
         for head, ids, words in zip(heads, self._ids(heads), split):

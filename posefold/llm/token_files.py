@@ -112,7 +112,7 @@ def write_tokens(
     rows = documents.select(F.col(id_column).cast("bigint").alias("id"), text_or_empty(text_column).alias("body"))
     order = [F.col("id"), F.xxhash64("body")]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.mapInArrow(encode, SCHEMA).write.option("compression", "zstd").parquet(path)
+    ordered.mapInArrow(encode, SCHEMA).write.option("compression", "snappy").parquet(path)
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
