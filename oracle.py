@@ -283,6 +283,10 @@ def integrity(variant: str, side: str, moved: str) -> str:
     FROM (SELECT source_row, source_row AS fi FROM frm) s FULL JOIN ({side}) k USING (source_row) GROUP BY 1)"""
 
 
+FRAIL = """SELECT topic, (pose_status = 'intact')::INT AS pi, (joint_status = 'intact')::INT AS ji,
+  (joint_status = 'intact' AND NOT (position[1] > 0.9 OR position[2] > 1.2))::INT AS fv FROM tgt"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "topic_counts_ignored": sql("SELECT role, topic, arm, stream, count(*) AS n FROM msg GROUP BY ALL"),
     "pose_class_by_topic": sql("SELECT topic, pose_status, count(*) AS n FROM tgt GROUP BY ALL"),
@@ -594,4 +598,42 @@ UNION ALL SELECT NULL, NULL, NULL, 'inventory_fingerprint_is_pinned'""",
         by_field="SELECT count(*) FILTER (np = 16) AS n16, count(*) FILTER (np NOT IN (0, 16)) AS odd, count(*) FILTER (nj <> 6) AS not6, count(*) FILTER (np > fp) AS badp,"
         " count(*) FILTER (nj > fj) AS badj, count(*) FILTER (pose_status = 'intact') AS n_intact, count(*) FILTER (pose_status = 'nonfinite') AS n_nonfinite FROM tgt",
     ),
+    "inventory_tree_digest": sql(
+        """SELECT sum(n)::BIGINT AS entries, CASE WHEN count(*) = 1 THEN min(digest) ELSE sha256(string_agg(digest, '' ORDER BY number)) END AS digest FROM leaves""",
+        leaves="SELECT number // 64 AS number, count(*) AS n, sha256(string_agg(digest, '' ORDER BY number)) AS digest FROM entry GROUP BY 1",
+        entry="""SELECT row_number() OVER (ORDER BY path) - 1 AS number, sha256('{"lfs":{"oid":"' || lfs_oid || '","size":' || size || '},"oid":"' ||
+  oid || '","path":"' || path || '","size":' || size || '}') AS digest FROM eps""",
+    ),
+    "audit_matrix_by_cohort": sql(
+        " UNION ALL ".join(
+            f"SELECT cohort_x, cohort_y, cohort_z, topic, '{field}' AS field, count(*) AS n, {r(f'count(*) FILTER ({text}) / count(*)')} AS share"
+            " FROM rec JOIN cohort USING (source_uri) GROUP BY ALL"
+            for field, text in (("recorded_pose", "pose_status = 'intact'"), ("joints", "joint_status = 'intact'"), ("pose", f"{CLASS} <> 'f'"))
+        )
+    ),
+    "fk_failure_statuses": sql(
+        "SELECT topic, recovery_status, fk_status, (pi + ji * 2 + fv * 4 + (1 - pi) * fv * 8)::BIGINT AS status_mask, count(*) AS n FROM frail GROUP BY ALL",
+        frail="""SELECT topic, pi, ji, fv, CASE WHEN ji = 0 THEN 'not_attempted_invalid_joints' WHEN fv = 1 THEN 'derived' ELSE 'failure' END AS fk_status,
+  CASE WHEN fv = 1 THEN CASE WHEN pi = 1 THEN 'source_pose_intact' ELSE 'recovered' END WHEN ji = 1 THEN CASE WHEN pi = 1 THEN 'source_pose_intact_fk_failure' ELSE 'unrecoverable_fk_failure' END
+    ELSE CASE WHEN pi = 1 THEN 'source_pose_intact_invalid_joints' ELSE 'unrecoverable_invalid_joints' END END AS recovery_status FROM frail0""",
+        frail0=FRAIL,
+    ),
+    "fk_failure_audit": sql(
+        "SELECT topic, count(*) AS messages, count(*) FILTER (ji = 1 AND fv = 0) AS fk_failures, count(*) FILTER (fv = 1 AND pi = 1) AS fk_compared,"
+        " count(*) FILTER (pi = 0 AND fv = 1) AS recoverable_invalid_pose, count(*) FILTER (pi = 0 AND fv = 0) AS unrecoverable_invalid_pose FROM frail0 GROUP BY topic",
+        frail0=FRAIL,
+    ),
+    "frame_failure_masks": sql(
+        f"SELECT ({' + '.join(f'CASE WHEN ok{i} AND NOT bad{i} THEN {1 << i} ELSE 0 END' for i in range(4))})::BIGINT AS valid_mask,"
+        f" ({' + '.join(f'CASE WHEN ok{i} THEN 0 ELSE {1 << i} END' for i in range(4))})::BIGINT AS invalid_input_mask,"
+        f" ({' + '.join(f'CASE WHEN ok{i} AND bad{i} THEN {1 << i} ELSE 0 END' for i in range(4))})::BIGINT AS derivation_failure_mask, count(*) AS n FROM frail GROUP BY ALL",
+        frail="SELECT *, " + ", ".join(f"{v}[{s}] > 0.9 OR {v}[{s + 1}] > 1.2 AS bad{i}" for i, (_, v, s, _f) in enumerate(LIMBS)) + " FROM ok",
+    ),
+    "joint_limit_refusal": sql(
+        "SELECT topic, js AS joint_status, CASE WHEN js = 'intact' THEN CASE WHEN pose_status = 'intact' THEN 'source_pose_intact' ELSE 'recovered' END"
+        " WHEN pose_status = 'intact' THEN 'source_pose_intact_invalid_joints' ELSE 'unrecoverable_invalid_joints' END AS recovery_status, count(*) AS n FROM held GROUP BY ALL",
+        held="SELECT topic, pose_status, CASE WHEN joint_status = 'intact' AND NOT ("
+        + " AND ".join(f"position[{j + 1}] BETWEEN {low} AND {high}" for j, (low, high) in enumerate(LIMITS))
+        + ") THEN 'malformed' ELSE joint_status END AS js FROM tgt",
+    ),
 }

@@ -184,10 +184,15 @@ def recovery_status(
     pose_status: str = "pose_status", fk: str = "fk_status"
 ) -> Column:
     """Six outcomes: recorded pose kept or rebuilt, and why a rebuild was refused."""
+    intact = f"{pose_status} = 'intact'"
+    # The six status words.
     return F.expr(
-        f"CASE WHEN {fk} = 'derived' THEN IF({pose_status} = 'intact', 'source_pose_intact', 'recovered')"
-        f" ELSE concat(IF({pose_status} = 'intact', 'source_pose_intact_', 'unrecoverable_'),"
-        f" IF({fk} = 'failure', 'fk_failure', 'invalid_joints')) END"
+        f"CASE WHEN {fk} = 'derived' AND {intact} THEN 'source_pose_intact'"
+        f" WHEN {fk} = 'derived' THEN 'recovered'"
+        f" WHEN {fk} = 'failure' AND {intact} THEN 'source_pose_intact_fk_failure'"
+        f" WHEN {fk} = 'failure' THEN 'unrecoverable_fk_failure'"
+        f" WHEN {intact} THEN 'source_pose_intact_invalid_joints'"
+        f" ELSE 'unrecoverable_invalid_joints' END"
     )
 
 

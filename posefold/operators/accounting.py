@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from posefold import contracts as C
 from posefold.functions import classify as K
 from posefold.functions.kinematics import SIX_JOINT_ARM, ChainModel, joint_limit_flags
-from posefold.operators.scale import first_rows_per_key, hold, lookup_join, ordinal_within
+from posefold.operators.scale import cut_lineage, first_rows_per_key, hold, lookup_join, ordinal_within
 
 CLASS_OF_STATUS = (
     "CASE WHEN startswith(recovery_status, 'source_pose_intact') THEN 'observed_valid'"
@@ -57,6 +57,26 @@ def audit_matrix(rows: DataFrame) -> DataFrame:
     )
 
 
+def audit_matrix_by_cohort(rows: DataFrame, cohorts: DataFrame) -> DataFrame:
+    """Rig cohort by topic by field, in long form: rows, and the share whose recorded pose, joints or
+    pose of either kind can be used. ``cohorts`` has ``source_uri, cohort_x, cohort_y, cohort_z``."""
+    fields = {
+        "recorded_pose": "pose_status = 'intact'",
+        "joints": "joint_status = 'intact'",
+        "pose": f"({CLASS_OF_STATUS}) <> 'refused'",
+    }
+    key = ["cohort_x", "cohort_y", "cohort_z", "topic"]
+    counted = rows.groupBy("source_uri", "topic").agg(
+        F.count(F.lit(1)).alias("n"), *(F.count_if(F.expr(text)).alias(name) for name, text in fields.items())
+    )
+    wide = counted.join(cohorts.select("source_uri", *key[:3]), "source_uri", "left").groupBy(*key).agg(
+        F.sum("n").alias("n"), *(F.sum(name).alias(name) for name in fields)
+    )
+    entries = F.array(*(F.struct(F.lit(name).alias("field"), F.col(name).alias("usable")) for name in fields))
+    long = wide.select(*key, "n", F.inline(entries))
+    return long.select(*key, "field", "n", (F.col("usable") / F.col("n")).alias("share"))
+
+
 def residual_quantiles(
     rows: DataFrame, value: str, keys: list[str], probabilities: tuple[float, ...]
 ) -> DataFrame:
@@ -79,19 +99,25 @@ def residual_quantiles(
     return hit.select(*keys, "probability", F.col(value).alias("value"), "total")
 
 
-def _running_totals(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
+def _running_totals(counts: DataFrame, keys: list[str], value: str, block: int = 10_000) -> DataFrame:
     """Add ``before``: the weight of smaller values in the same group."""
     from pyspark.sql.window import Window
 
     numbered = ordinal_within(counts, keys, [value], "_ordinal")
-    # Blocks of consecutive ordinals are summed on their own, then a short table of block totals is.
-    block = 10_000
+    # Blocks of consecutive ordinals are summed on their own, then blocks of blocks, then those: no window
+    # holds more than ``block`` lines until a group has block ** 3 distinct values.
     rows = numbered.withColumn("_block", F.expr(f"_ordinal DIV {block}"))
     inside = Window.partitionBy(*keys, "_block").orderBy("_ordinal").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy(*keys, "_block").agg(F.sum("n").alias("_n")).select(
-        *keys, "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base")
+    sums = rows.groupBy(*keys, "_block").agg(F.sum("n").alias("_n"))
+    sums = cut_lineage(sums.withColumn("_super", F.expr(f"_block DIV {block}")), "blocks")
+    near = Window.partitionBy(*keys, "_super").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    far = Window.partitionBy(*keys).orderBy("_super").rowsBetween(Window.unboundedPreceding, -1)
+    supers = sums.groupBy(*keys, "_super").agg(F.sum("_n").alias("_m")).select(
+        *keys, "_super", F.coalesce(F.sum("_m").over(far), F.lit(0)).alias("_far")
     )
+    placed = sums.withColumn("_near", F.coalesce(F.sum("_n").over(near), F.lit(0)))
+    placed = lookup_join(placed, supers, [*keys, "_super"], how="inner", null_safe=True, derived=True)
+    blocks = placed.select(*keys, "_block", (F.col("_far") + F.col("_near")).alias("_base"))
     rows = rows.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
     joined = lookup_join(rows, blocks, [*keys, "_block"], how="inner", null_safe=True, derived=True)
     return joined.select(*counts.columns, (F.col("_base") + F.col("_inside")).alias("before"))

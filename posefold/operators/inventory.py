@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posefold.functions import text as X
-from posefold.operators.scale import key_counts
+from posefold.operators.scale import cut_lineage, key_counts, ordinal_within
 
 
 def match_samples(inventory: DataFrame, samples: DataFrame) -> DataFrame:
@@ -67,9 +67,9 @@ def canonical_entry() -> Column:
 def inventory_fingerprint(inventory: DataFrame) -> DataFrame:
     """SHA-256 of the JSON list of all entries ordered by path, plus the number of entries.
 
-    One digest over an ordered text is sequential by definition. Lines are rendered and sorted in
-    parallel; only the digest itself runs in one task, as a stream of short lines (one per file) held
-    a batch at a time, so the list is never built in memory.
+    This flat form is for checking a pinned listing: one digest over an ordered text is sequential by
+    definition, so one task sorts and digests a short line per file, a batch at a time. A listing of any
+    length has :func:`inventory_tree_digest`.
     """
     lines = inventory.select("path", canonical_entry().alias("line"))
 
@@ -92,6 +92,28 @@ def inventory_fingerprint(inventory: DataFrame) -> DataFrame:
     return one.mapInPandas(digest, "entries bigint, fingerprint string")
 
 
+def inventory_tree_digest(inventory: DataFrame, fanout: int = 1000) -> DataFrame:
+    """One digest of a listing of any length, plus the number of entries, with no sequential pass.
+
+    Entries are digested one by one and numbered by path; the digests of ``fanout`` successive entries
+    make the digest of a block, blocks make blocks in turn, until one is left. A task sees one block
+    at a time. An empty listing has no digest.
+    """
+    lines = inventory.select("path", X.sha256_of_text(canonical_entry()).alias("digest"))
+    level = ordinal_within(lines, [], ["path"], "number").select("number", "digest")
+    entries = None
+    while True:
+        blocks = level.groupBy(F.floor(F.col("number") / fanout).alias("number")).agg(
+            F.array_sort(F.collect_list(F.struct("number", "digest"))).alias("parts"), F.count(F.lit(1)).alias("n")
+        )
+        joined = F.array_join(F.transform("parts", lambda part: part["digest"]), "")
+        level = cut_lineage(blocks.select("number", X.sha256_of_text(joined).alias("digest"), "n"), "digests")
+        entries = level.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] if entries is None else entries
+        if level.limit(2).count() < 2:
+            return level.select(F.lit(entries).cast("bigint").alias("entries"), "digest")
+        level = level.select("number", "digest")
+
+
 def file_identity(inventory: DataFrame, observed: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Per listed path: do the observed size and digest equal the listed ones?
 

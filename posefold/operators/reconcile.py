@@ -10,23 +10,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posefold import contracts as C
-from posefold.functions.classify import has_nonfinite, is_target_topic
 from posefold.operators.corpus import named_checks
 
 
+def _is_target() -> Column:
+    return F.col("topic").isin(*C.ARM_TOPICS)
+
+
+def _holds_nonfinite(field: str) -> Column:
+    """Some value of the field is absent, NaN or infinite."""
+    bad = F.filter(field, lambda v: ~F.coalesce(F.abs(v) < F.lit(float("inf")), F.lit(False)))
+    return F.coalesce(F.size(bad) > 0, F.lit(False))
+
+
 def field_profile(messages: DataFrame) -> DataFrame:
     """Per source and pair of field lengths: rows, and rows holding a non-finite value of any length.
 
     An absent field has length zero. This one grouped table feeds every profile number below.
     """
-    rows = messages.where(F.col("decode_error").isNull() & is_target_topic())
+    rows = messages.where(F.col("decode_error").isNull() & _is_target())
     return (
         rows.select(
             "source_uri",
             F.coalesce(F.size("pose"), F.lit(0)).alias("pose_length"),
             F.coalesce(F.size("position"), F.lit(0)).alias("joint_length"),
-            has_nonfinite("pose").alias("bad_pose"),
-            has_nonfinite("position").alias("bad_joints"),
+            _holds_nonfinite("pose").alias("bad_pose"),
+            _holds_nonfinite("position").alias("bad_joints"),
         )
         .groupBy("source_uri", "pose_length", "joint_length")
         .agg(
@@ -102,7 +111,7 @@ def decoded_vs_declared(topics: DataFrame, channels: DataFrame) -> DataFrame:
 
     ``channels`` has ``source_uri, topic, n``. Sources known to either side appear.
     """
-    declared = channels.where(is_target_topic()).groupBy("source_uri", "topic").agg(
+    declared = channels.where(_is_target()).groupBy("source_uri", "topic").agg(
         F.sum("n").alias("declared")
     )
     decoded = topics.select("source_uri", "topic", F.col("messages").alias("decoded"))

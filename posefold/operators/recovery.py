@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posefold import contracts as C
 from posefold.functions import classify as K
 from posefold.functions import text as X
-from posefold.functions.kinematics import ChainKinematics
+from posefold.functions.kinematics import ChainKinematics, ChainModel, joint_limit_flags
 from posefold.functions.rotation import pose_vector
 from posefold.operators.audit import with_topic_roles
 from posefold.operators.scale import lookup_join, ordinal_within
@@ -36,8 +38,12 @@ def with_ordinals(targets: DataFrame, stored: bool | None = None) -> DataFrame:
     return ordinal_within(rows, ["source_uri"], list(READER_ORDER), "message_ordinal")
 
 
-def with_statuses(targets: DataFrame, kinematics=None) -> DataFrame:
-    """Add the four statuses, the mask, ``recovered`` and ``fk_x .. fk_qz``."""
+def with_statuses(targets: DataFrame, kinematics=None, limits: ChainModel | None = None) -> DataFrame:
+    """Add the four statuses, the mask, ``recovered`` and ``fk_x .. fk_qz``.
+
+    ``limits`` names a model whose declared joint ranges are held: joints outside count as malformed,
+    so no pose is derived from them.
+    """
     kinematics = kinematics or ChainKinematics()
     if kinematics.frame != "arm_local":
         raise ValueError("recovery emits arm-local poses only; the adapter reports another frame")
@@ -45,6 +51,10 @@ def with_statuses(targets: DataFrame, kinematics=None) -> DataFrame:
     rows = K.pose_status_only(targets)
     rows = K.with_joint_status(rows, "q").drop("pose", "position")
     joints = [f"q{i}" for i in range(C.JOINT_COUNT)]
+    if limits is not None:
+        inside = reduce(Column.__and__, joint_limit_flags(joints, limits))
+        intact = F.col("joint_status") == "intact"
+        rows = rows.withColumn("joint_status", F.when(intact & ~inside, "malformed").otherwise(F.col("joint_status")))
     rows = kinematics.attach_vector(rows, joints, "fk_", "joint_status = 'intact'", "arm").drop(*joints)
     rows = rows.withColumn("fk_status", K.fk_status())
     return rows.select(
@@ -65,6 +75,7 @@ def recovery_rows(
     kinematics=None,
     numbered: DataFrame | None = None,
     ordered: bool = False,
+    limits: ChainModel | None = None,
 ) -> DataFrame:
     """The recovery table under internal names.
 
@@ -81,7 +92,7 @@ def recovery_rows(
     if ordered:
         order = ("source_uri", "message_ordinal")
         rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = with_statuses(rows, kinematics)
+    rows = with_statuses(rows, kinematics, limits)
     nothing = F.array(*(F.lit(float("nan")) for _ in C.POSE_LAYOUT))
     pose = F.when(F.col("fk_status") == "derived", pose_vector("fk_")).otherwise(nothing)
     rows = rows.withColumn("pose_arm_local", pose)

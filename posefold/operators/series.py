@@ -21,20 +21,38 @@ def recorded_vs_derived(
     Lengths are the only test here, as the series shows what was recorded; a non-finite value yields a
     null residual rather than a number.
     """
+    return _derived(_recorded(messages), kinematics, right_offset)
+
+
+def strided_states(
+    messages: DataFrame,
+    stride: int,
+    kinematics=None,
+    right_offset: tuple[float, float, float] = C.DEFAULT_RIGHT_OFFSET,
+) -> DataFrame:
+    """``stride_series`` of the messages: rows are numbered as recorded, and FK runs on those kept."""
+    return _derived(stride_series(_recorded(messages), stride), kinematics, right_offset)
+
+
+def _recorded(messages: DataFrame) -> DataFrame:
     states = [topic for topic, (_, stream) in C.ARM_TOPICS.items() if stream == "state"]
     rows = messages.where(F.col("decode_error").isNull() & F.col("topic").isin(*states)).where(
         f"size(pose) = {C.POSE_LENGTH} AND size(position) = {C.JOINT_COUNT}"
     )
-    rows = rows.select(
+    return rows.select(
         "source_uri", "topic", K.arm_of().alias("arm"), "log_time_ns", "sequence", F.col("position").alias("joints"),
         *(F.expr(f"{K.element('pose', i)} AS rec_{a}") for a, i in zip("xyz", (3, 7, 11))),
     )
+
+
+def _derived(rows: DataFrame, kinematics, right_offset: tuple[float, float, float]) -> DataFrame:
+    numbered = ["ordinal"] if "ordinal" in rows.columns else []
     joints = [K.element("joints", i) for i in range(C.JOINT_COUNT)]
     rows = (kinematics or ChainKinematics()).attach(rows, joints, "fk_", K.finite([f"({j})" for j in joints]), "arm")
     offset = tuple(f"IF(arm = 'right', {v!r}D, 0D)" for v in map(float, right_offset))
     known = F.expr(f"fk_ok AND {K.finite(['rec_x', 'rec_y', 'rec_z'])}")
     return rows.select(
-        "source_uri", "arm", "topic", "log_time_ns", "sequence", "joints",
+        "source_uri", "arm", "topic", "log_time_ns", "sequence", *numbered, "joints",
         *(f"rec_{a}" for a in "xyz"),
         *(F.when(F.col("fk_ok"), F.expr(f"fk_{a} + {o}")).alias(f"der_{a}") for a, o in zip("xyz", offset)),
         F.when(known, translation_error("rec_", "fk_", offset)).alias("residual_m"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posefold import contracts as C
-from posefold.functions.kinematics import ChainKinematics
+from posefold.functions.kinematics import ChainKinematics, ChainModel
 from posefold.operators import audit, augment, cohorts, corpus, gates, inventory, reconcile, recovery
 from posefold.operators.scale import cut_lineage, tidy
 from posefold.sources import frames as frame_source
@@ -199,25 +199,27 @@ def run_recovery(
     source_files: list[str] = (),
     overwrite: bool = False,
     audited: DataFrame | None = None,
+    limits: ChainModel | None = None,
 ) -> dict:
     """Write the keyed recovery sidecar.
 
     ``sources`` has one row per file: ``source_uri, path, sha256, size_bytes`` (observed) and optional
     ``task, episode, expected_sha256, expected_size_bytes``. ``source_files`` are the Parquet files or
     folders behind ``messages``; they are fingerprinted before and after. ``audited`` (``source_uri,
-    messages``) holds every source to the rows an audit counted in it.
+    messages``) holds every source to the rows an audit counted in it. ``limits`` names a model outside
+    whose declared joint ranges no pose is derived.
     """
     spark = messages.sparkSession
     with tidy(spark):
         return _recover(
             spark, messages, sources, output, kinematics, sessions, require_recovery_only, dataset_id, revision,
-            source_files, overwrite, audited,
+            source_files, overwrite, audited, limits,
         )
 
 
 def _recover(
     spark, messages, sources, output, kinematics, sessions, require_recovery_only, dataset_id, revision,
-    source_files, overwrite, audited,
+    source_files, overwrite, audited, limits,
 ) -> dict:
     kinematics = kinematics or ChainKinematics()
     sinks.check_output(output, list(source_files))
@@ -260,7 +262,7 @@ def _recover(
     targets = recovery.target_messages(messages)
     table = resolved.withColumn("source_sha256", F.col("sha256"))
     numbered = recovery.with_ordinals(targets, stored)
-    rows = recovery.recovery_rows(messages, table, kinematics, numbered, ordered=True)
+    rows = recovery.recovery_rows(messages, table, kinematics, numbered, ordered=True, limits=limits)
     published = sinks.describe_columns(rows, C.RECOVERY_COLUMNS, sinks.model_facts(kinematics))
 
     def checks(staged: DataFrame) -> DataFrame:

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posefold import contracts as C
 from posefold.functions import classify as K
 from posefold.functions import text as X
-from posefold.functions.kinematics import ChainKinematics
+from posefold.functions.kinematics import SIX_JOINT_ARM, ChainKinematics, FunctionKinematics
 from posefold.functions.rotation import matrix_from_quaternion
 from posefold.functions.spans import end_of_span
 from posefold.operators import accounting, audit, augment, cohorts, corpus, gates, inventory
@@ -242,6 +243,13 @@ def joint_limit_violations(spark, sf):
     return round_all(accounting.joint_limit_violations(fixtures.arm_messages(spark, sf)))
 
 
+@query
+def joint_limit_refusal(spark, sf):
+    """Outcomes when joints outside the declared ranges are refused."""
+    rows = recovery.with_statuses(recovery.target_messages(fixtures.arm_messages(spark, sf)), limits=SIX_JOINT_ARM)
+    return rows.groupBy("topic", "joint_status", "recovery_status").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def cohort_corrected_residuals(spark, sf):
     scored = _scored(spark, sf)
@@ -301,6 +309,47 @@ def audit_matrix(spark, sf):
     return round_all(accounting.audit_matrix(_statuses(spark, sf)))
 
 
+@query
+def audit_matrix_by_cohort(spark, sf):
+    assigned = cohorts.assign_cohorts(cohorts.observed_right_offsets(_topics(spark, sf)))
+    return round_all(accounting.audit_matrix_by_cohort(_statuses(spark, sf), assigned))
+
+
+def _fragile(joints, arms):
+    """A model that reports no number for some joints and raises for others."""
+    if (joints[:, 1] > 1.2).any():
+        raise ValueError("second joint out of reach")
+    poses = np.zeros((len(joints), 7))
+    poses[:, 3] = np.where(joints[:, 0] > 0.9, np.nan, 1.0)
+    return poses
+
+
+@query
+def fk_failure_statuses(spark, sf):
+    """All six recovery statuses, through a Python model that fails on some rows."""
+    messages = recovery.target_messages(fixtures.arm_messages(spark, sf))
+    rows = recovery.with_statuses(messages, FunctionKinematics(_fragile))
+    return rows.groupBy("topic", "recovery_status", "fk_status", F.col("status_mask").cast("bigint").alias("status_mask")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@query
+def fk_failure_audit(spark, sf):
+    """Failures as the audit counts them, by topic."""
+    topics = audit.topic_audit(_scored(spark, sf, kinematics=FunctionKinematics(_fragile)))
+    counts = ("messages", "fk_failures", "fk_compared", "recoverable_invalid_pose", "unrecoverable_invalid_pose")
+    return topics.groupBy("topic").agg(*(F.sum(name).alias(name) for name in counts))
+
+
+@query
+def frame_failure_masks(spark, sf):
+    """All three frame masks, through the same model."""
+    rows = augment.augment_frames(fixtures.frames(spark, sf), None, FunctionKinematics(_fragile))
+    masks = ("valid_mask", "invalid_input_mask", "derivation_failure_mask")
+    return rows.groupBy(*(F.col(m).cast("bigint").alias(m) for m in masks)).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def envelope_range_violations(spark, sf):
     rows = fixtures.arm_messages(spark, sf)
@@ -362,7 +411,7 @@ def release_rows(spark, sf):
 
 @query
 def stride_series(spark, sf):
-    rows = series.stride_series(series.recorded_vs_derived(fixtures.arm_messages(spark, sf)), 20)
+    rows = series.strided_states(fixtures.arm_messages(spark, sf), 20)
     return round_all(
         rows.select(
             "source_uri", "arm", "ordinal", "sequence", "log_time_ns",
@@ -484,6 +533,11 @@ def inventory_fingerprint(spark, sf):
     return inventory.inventory_fingerprint(fixtures.inventory(spark, sf))
 
 
+@query
+def inventory_tree_digest(spark, sf):
+    return inventory.inventory_tree_digest(fixtures.inventory(spark, sf), fanout=64)
+
+
 @query
 def inventory_file_identity(spark, sf):
     listing = fixtures.inventory(spark, sf)
