@@ -326,3 +326,25 @@ def test_live_counters_equal_batch(spark, corpus, tmp_path):
     live = {(r["source_uri"], r["topic"]): (r["messages"], r["missing_pose"], r["fk_compared"]) for r in spark.table("live").collect()}
     batch = {(r["source_uri"], r["topic"]): (r["messages"], r["missing_pose"], r["fk_compared"]) for r in audit.topic_audit(audit.score_messages(rows)).collect()}
     assert live == batch
+
+
+def test_tree_digest_sees_every_entry_and_no_order(spark):
+    rows = [(f"data/{i:03}", i, f"{i:040x}", f"{i:064x}", i) for i in range(70)]
+    schema = "path string, size long, oid string, lfs_oid string, lfs_size long"
+    table = spark.createDataFrame(rows, schema)
+    first = inventory.inventory_tree_digest(table, fanout=4).first()
+    again = inventory.inventory_tree_digest(spark.createDataFrame(rows[::-1], schema).repartition(5), fanout=4).first()
+    assert first == again and first["entries"] == 70
+    changed = [(p, s + (p == "data/069"), *rest) for p, s, *rest in rows]
+    assert inventory.inventory_tree_digest(spark.createDataFrame(changed, schema), fanout=4).first()["digest"] != first["digest"]
+    assert inventory.inventory_tree_digest(table.limit(0)).count() == 0
+
+
+def test_release_refuses_a_stale_audit(spark, corpus, tmp_path):
+    rows = corpus[1]
+    files = audit.audit_messages(rows)[1]
+    late = rows.unionByName(messages(spark, [message(pose=[], position=JOINTS, n=50, source="hf://" + path_of(2), ordinal=50)]))
+    chosen = gates.release_facts(files).where("decision = 'selected'").first()["source_uri"]
+    late = late.withColumn("source_uri", F.when(F.col("sequence") == 50, chosen).otherwise(F.col("source_uri")))
+    with pytest.raises(gates.Refused, match="rows_are_as_audited"):
+        jobs.run_release(late, files, source_rows(spark), str(tmp_path / "stale"))

@@ -170,3 +170,44 @@ def test_stride_series(spark):
     assert row["max_residual_m"] == pytest.approx(0, abs=1e-14)
     with pytest.raises(ValueError):
         series.stride_series(table, 0)
+
+
+def test_strided_states_equal_the_strided_series(spark):
+    rows = messages(spark, [message(pose=GOOD, position=JOINTS, n=i, source=f"fx://{i % 2}") for i in range(23)])
+    columns = ["source_uri", "arm", "ordinal", "sequence", "rec_x", "der_x", "residual_m"]
+    late = series.stride_series(series.recorded_vs_derived(rows), 4).select(*columns)
+    early = series.strided_states(rows, 4).select(*columns)
+    assert sorted(map(str, early.collect())) == sorted(map(str, late.collect())) and early.count() == 6
+
+
+@pytest.mark.parametrize("limit", [None, 1])
+def test_sidecar_order_does_not_depend_on_the_broadcast_limit(spark, monkeypatch, limit):
+    from posefold.operators import scale
+
+    rows = [message("/left-arm-state", [], JOINTS, n=97 * i % 50, source=f"fx://{i % 3}") for i in range(50)]
+    if limit is not None:
+        whole = scale.lookup_join
+        monkeypatch.setattr(scale, "lookup_join", lambda *a, **k: whole(*a, **(k | {"limit": limit})))
+        monkeypatch.setattr(recovery, "lookup_join", lambda *a, **k: whole(*a, **(k | {"limit": limit})))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        sources = spark.createDataFrame(
+            [(f"fx://{i}", "s", "t", "e") for i in range(3)], "source_uri string, source_sha256 string, task string, episode string"
+        )
+        table = recovery.recovery_rows(messages(spark, rows), sources, ordered=True)
+        placed = table.select("source_uri", "message_ordinal", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("at"))
+        found = [tuple(r)[:2] for r in sorted(placed.collect(), key=lambda r: r["at"])]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(found) == 50 and found == sorted(found)
+
+
+def test_joint_limits_can_refuse(spark):
+    from posefold.functions.kinematics import SIX_JOINT_ARM
+
+    far = [JOINTS[0], 9.0, *JOINTS[2:]]
+    rows = recovery.target_messages(messages(spark, [message(pose=[], position=q, n=i) for i, q in enumerate((JOINTS, far))]))
+    found = {r["sequence"]: r["recovery_status"] for r in recovery.with_statuses(rows, limits=SIX_JOINT_ARM).collect()}
+    assert found[1] == "unrecoverable_invalid_joints"
+    kept = {r["sequence"]: r["recovery_status"] for r in recovery.with_statuses(rows).collect()}
+    assert kept[1] == "recovered"

@@ -101,3 +101,22 @@ def test_shared_folder_is_required_off_local_mode(spark, monkeypatch):
         scale.checkpoint_root(Session())
     Session.conf.get = staticmethod(lambda key, default: "/shared")
     assert scale.checkpoint_root(Session()) == "/shared"
+
+
+def test_quantiles_over_many_blocks(spark):
+    rows = [("a" if i % 5 else "b", float(i * 7 % 900), 1 + i % 3) for i in range(900)]
+    counts = spark.createDataFrame(rows, "g string, v double, n long")
+    got = accounting._running_totals(counts, ["g"], "v", block=4).collect()
+    for row in got:
+        assert row["before"] == sum(n for g, v, n in rows if g == row["g"] and v < row["v"])
+    assert len(got) == 900
+
+
+def test_tidy_removes_what_was_staged(spark):
+    from pathlib import Path
+
+    with scale.tidy(spark):
+        held = scale.cut_lineage(spark.range(5), "kept")
+        folder = Path(held.inputFiles()[0].removeprefix("file://")).parent
+        assert held.count() == 5 and folder.exists()
+    assert not folder.exists()
