@@ -80,18 +80,21 @@ LIMBS = (
 )
 
 
-def _feature_names(joint: str, gripper: str) -> tuple[str, ...]:
-    return tuple(
-        name
-        for side in ("left", "right")
-        for name in (*(f"{side}_arm_{joint}_{i}" for i in range(1, 7)), f"{side}_{gripper}")
-    )
-
-
+# Ordered names of both vectors.
 FEATURE_NAMES = MappingProxyType(
     {
-        "observation.state": _feature_names("joint", "gripper"),
-        "action": _feature_names("action", "gripper_action"),
+        "observation.state": (
+            "left_arm_joint_1", "left_arm_joint_2", "left_arm_joint_3", "left_arm_joint_4",
+            "left_arm_joint_5", "left_arm_joint_6", "left_gripper", "right_arm_joint_1",
+            "right_arm_joint_2", "right_arm_joint_3", "right_arm_joint_4", "right_arm_joint_5",
+            "right_arm_joint_6", "right_gripper",
+        ),
+        "action": (
+            "left_arm_action_1", "left_arm_action_2", "left_arm_action_3", "left_arm_action_4",
+            "left_arm_action_5", "left_arm_action_6", "left_gripper_action", "right_arm_action_1",
+            "right_arm_action_2", "right_arm_action_3", "right_arm_action_4", "right_arm_action_5",
+            "right_arm_action_6", "right_gripper_action",
+        ),
     }
 )
 
@@ -155,7 +158,10 @@ SIDECAR_COLUMNS = MappingProxyType(
         "source_uri": "provenance.source_uri",
         "source_row": "provenance.source_row",
         "source_sha256": "provenance.source_sha256",
-        **{limb.pose: f"{limb.name}.pose.arm_local" for limb in LIMBS},
+        "observation_left_arm_pose": "observation.left_arm.pose.arm_local",
+        "observation_right_arm_pose": "observation.right_arm.pose.arm_local",
+        "action_left_arm_pose": "action.left_arm.pose.arm_local",
+        "action_right_arm_pose": "action.right_arm.pose.arm_local",
         "valid_mask": "geometry.valid_mask",
         "invalid_input_mask": "geometry.invalid_input_mask",
         "derivation_failure_mask": "geometry.derivation_failure_mask",

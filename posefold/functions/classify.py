@@ -34,14 +34,6 @@ def vector_is_finite(array: str) -> Column:
     )
 
 
-def has_nonfinite(array: str) -> Column:
-    """True when any element of an array of any length is null, NaN or infinite."""
-    return F.coalesce(
-        F.exists(array, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf")))),
-        F.lit(False),
-    )
-
-
 def _states(array: str, expected: int, finite_flag: str) -> list[tuple[str, str, str]]:
     label = "pose" if expected == C.POSE_LENGTH else "position"
     return [
