@@ -10,6 +10,7 @@ under one mask at least: no pair is missed, whatever the data.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import gcd
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +26,26 @@ SEED = 42
 #: Fingerprints of one bucket that are compared in one go; larger buckets are compared tile by tile.
 TILE = 4096
 HASHES = 1 << 16
+#: Steps that are tried for the codes of the masks.
+STEPS = 128
 _FOUND = "a bigint, b bigint, t int, key bigint, tile int, fps binary"
 
 
 def covering_masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:
-    """``2 ** (radius + 1) - 1`` masks as unsigned integers."""
+    """``2 ** (radius + 1) - 1`` masks as unsigned integers.
+
+    Codes step through the numbers that are not zero. Of the first steps that number has no factor in
+    common with, the one whose smallest mask has the most bits is taken: a mask of few bits would put
+    unlike fingerprints into one bucket.
+    """
     vectors = range(1, 1 << (radius + 1))
-    codes = [1 + place % len(vectors) for place in range(bits)]
-    return [sum(((code & v).bit_count() & 1) << place for place, code in enumerate(codes)) for v in vectors]
+
+    def masks(step: int) -> list[int]:
+        codes = [1 + place * step % len(vectors) for place in range(bits)]
+        return [sum(((code & v).bit_count() & 1) << place for place, code in enumerate(codes)) for v in vectors]
+
+    steps = [step for step in range(1, STEPS) if gcd(step, len(vectors)) == 1]
+    return max(map(masks, steps), key=lambda found: min(mask.bit_count() for mask in found))
 
 
 def fingerprint(text: str, words: int = 4) -> int:

@@ -34,10 +34,11 @@ def test_long_text_in_runs(monkeypatch):
     assert fingerprint(text) == plain(text)
 
 
-@pytest.mark.parametrize("radius", [1, 2, 4])
+@pytest.mark.parametrize("radius", [1, 2, 4, 7])
 def test_masks_cover(radius):
     masks = covering_masks(radius)
     assert len(masks) == 2 ** (radius + 1) - 1
+    assert min(mask.bit_count() for mask in masks) >= 20  # unlike fingerprints seldom meet
     random.seed(radius)
     for _ in range(3000):
         a = random.getrandbits(64)
