@@ -37,14 +37,21 @@ INLINE = frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label map mark meter q ruby rp rt s samp small"
     " span strike strong sub sup time tt u var wbr".split()
 )
-#: Words of a class or id that name boilerplate.
-HINT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|comments?|disqus|replies|sidebar|cookies?|consent|notices?|alert"
+#: Words of a class or id that name boilerplate. Inside marked content only a whole class, role or id does.
+_HINTS = (
+    r"(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|comments?|disqus|replies|sidebar|cookies?|consent|notices?|alert"
     r"|newsletter|subscribe|share|sharing|social|related|recommended|breadcrumbs?|menu|nav\w*|footer|masthead|popup|modal|login"
-    r"|signup|widget|pagination|toolbar)(?:$|[\s_-])",
-    re.I,
+    r"|signup|widget|pagination|toolbar)"
 )
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+HINT = re.compile(rf"(?:^|[\s_-]){_HINTS}(?:$|[\s_-])", re.I)
+WHOLE_HINT = re.compile(rf"(?:^|\s){_HINTS}(?:$|\s)", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_CELLS, _ROWS = ("td", "th"), ("tr", "td", "th")
+_GROUPS = ("thead", "tbody", "tfoot", *_ROWS)
+#: What an element's start ends if it is still open.
+ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": _CELLS, "th": _CELLS, "tr": _ROWS}
+ENDS |= {"thead": _GROUPS, "tbody": _GROUPS, "tfoot": _GROUPS}
+_NAMED = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<[/!?a-zA-Z][^>]*>|([^<]+|<)",
@@ -90,6 +97,14 @@ def read(page: str) -> list[Piece]:
         if stack and stack[-1][0] == "p" and name in BLOCKS and name != "br":
             stack.pop()  # a paragraph ends where the next block begins or its parent ends
             kind, dropped = state()
+        if not closing and name in ENDS:
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth][0] in ENDS[name]:
+                    del stack[depth:]
+                    kind, dropped = state()
+                    break
+                if stack[depth][0] in BLOCKS and stack[depth][0] not in ("div", "p", "address"):
+                    break  # of a list or table further out
         if name in MARKED:
             marked = max(0, marked + (-1 if closing else 1))
             if closing:
@@ -104,7 +119,12 @@ def read(page: str) -> list[Piece]:
             links = max(0, links + (-1 if closing else 1))
         hinted = False
         if not closing and attributes and "=" in attributes and name not in ("html", "body"):
-            hinted = any(HINT.search(next(filter(None, found), "")) for found in _NAMED.findall(attributes))
+            hint = WHOLE_HINT if marked else HINT
+            hinted = any(
+                hint.search(next(filter(None, found), ""))
+                for which, *found in _NAMED.findall(attributes)
+                if not (name in HEADINGS and which.lower() == "id")
+            )
         if closing:
             if name in CONTAINERS or any(n == name for n, _, _ in stack):
                 depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)

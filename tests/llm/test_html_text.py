@@ -74,3 +74,24 @@ def test_rows(spark):
     assert [(r.page_id, r.n_chars) for r in got[2:]] == [(1, len(LONG)), (3, 99_999)]
     assert [r.text for r in got[:2]] == ["", ""]
     assert extract_text(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "inner,want",
+    [
+        ('<h2 id="related-work">Related work</h2>', "Related work"),
+        ('<h2 id="comments">Comments</h2>', "Comments"),
+        ('<p id="social-history">He smokes.</p>', "He smokes."),
+        ('<p class="share-price">Up.</p>', "Up."),
+        ('<section id="alert-levels"><p>Red.</p></section>', "Red."),
+        ('<p data-id="share">Kept.</p>', "Kept."),
+        ('<div class="box ad">Buy.</div>', ""),
+        ("<ul><li>one<li class=ad>two<li>three</ul>", "one\nthree"),
+        ("<ul><li class=ad>two<ul><li>in it</ul>still<li>three</ul>", "three"),
+        ("<dl><dt class=ad>two<dd>three</dl>", "three"),
+        ("<table><tr><td class=ad>two<td>three<tr class=ad><td>four<tr><td>five</table>", "three\nfive"),
+    ],
+)
+def test_content_is_dropped_by_whole_names_only(inner, want):
+    page = f"<article><p>{LONG}</p>{inner}<p>{LONG}</p></article>"
+    assert main_text(page, WEIGHT) == "\n".join(filter(None, [LONG, want, LONG]))
