@@ -117,7 +117,7 @@ def read(page: str) -> list[Piece]:
             continue
         if name == "a":
             links = max(0, links + (-1 if closing else 1))
-        hinted = False
+        hinted = begins = False
         if not closing and attributes and "=" in attributes and name not in ("html", "body"):
             hint = WHOLE_HINT if marked else HINT
             hinted = any(
@@ -135,9 +135,10 @@ def read(page: str) -> list[Piece]:
             if not attributes.endswith("/"):
                 off = name in DROPPED or hinted or name == "head" or name == "header" and not marked
                 own = name if off and not hinted else "hinted" if hinted else kind if name in ("div", "section", "body") else name
+                begins = off
                 stack.append((name, "flow" if own in ("figure", "details", "table", "ul", "ol", "dl") and not dropped else own, dropped or off))
         known = name if name in BLOCKS or name in INLINE else "other"
-        out.append(Piece(f"tag:{'/' * bool(closing)}{known}", 1, "", name in BLOCKS, dropped, marked > 0))
+        out.append(Piece(f"tag:{'/' * bool(closing)}{known}", 1, "", name in BLOCKS, dropped or begins, marked > 0))
     return out
 
 
@@ -179,10 +180,8 @@ def main_text(page: str, weight: dict[str, float]) -> str:
     """The region's blocks, one a line, with character references decoded and white space as single spaces."""
     pieces = read(page)
     default = {"word": -1.0, "tag": -TAG_COST - 1.0}
-    scores = [
-        p.times * (min(weight.get(p.kind, -1.0), -0.1) if p.dropped and p.kind.startswith("word") else weight.get(p.kind, default.get(p.kind[:4].rstrip(":"), 0.0)))
-        for p in pieces
-    ]
+    # What is dropped never enters the text, so a region may reach across it at no cost.
+    scores = [0.0 if p.dropped else p.times * weight.get(p.kind, default.get(p.kind[:4].rstrip(":"), 0.0)) for p in pieces]
     begin, end = best_region(scores)
     if begin < end:
         # Whole blocks, and all of the marked content that the region is a part of.

@@ -95,3 +95,13 @@ def test_rows(spark):
 def test_content_is_dropped_by_whole_names_only(inner, want):
     page = f"<article><p>{LONG}</p>{inner}<p>{LONG}</p></article>"
     assert main_text(page, WEIGHT) == "\n".join(filter(None, [LONG, want, LONG]))
+
+
+AD = "<div class='ad'><a href=x>buy now</a> and again and again and again, much longer than what stands before or after it</div>"
+
+
+@pytest.mark.parametrize("advert", [AD, AD.replace("div", "aside"), f"<nav>{AD * 3}</nav>"])
+def test_an_advert_cuts_nothing_off_an_unmarked_page(advert):
+    page = f"<body><h1>A title</h1>{advert}<p>{LONG}</p>{advert}<p>The end.</p></body>"
+    assert main_text(page, WEIGHT) == f"A title\n{LONG}\nThe end."
+    assert main_text(f"<body>{advert}<p>{LONG}</p>{advert}</body>", WEIGHT) == LONG
