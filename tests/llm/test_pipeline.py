@@ -12,7 +12,10 @@ from posefold.llm.decontaminate import clean_documents, contaminated
 from posefold.llm.exact_dedup import unique_documents
 from posefold.llm.packing import cut_lengths
 from posefold.llm.quality import classify
-from posefold.llm.simhash import fingerprint, one_of_each
+from posefold.llm.simhash import one_of_each
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+from test_set_join import staying  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 
@@ -38,16 +41,10 @@ def test_stages(spark):
 
     docs = kept.cache()
     kept = near(spark, docs, SF)
-    fps = {r.doc_id: fingerprint(r.text, corpus_pipeline.NEAR_WORDS) for r in rows}
-    seen, group = [], {}
-    for doc in sorted(fps):
-        near_ones = {group[o] for o in seen if (fps[doc] ^ fps[o]).bit_count() <= corpus_pipeline.NEAR_RADIUS}
-        group[doc] = min(near_ones, default=doc)
-        group = {d: group[doc] if g in near_ones else g for d, g in group.items()}
-        seen.append(doc)
-    stay = {d for d, g in group.items() if d == g}
+    stay = staying({r.doc_id: r.text for r in rows})
+    seen = {r.doc_id for r in rows}
     rows = [r for r in rows if r.doc_id in stay]
-    assert kept.columns == columns and sorted(kept.collect(), key=lambda r: r.doc_id) == rows and len(stay) < len(fps)
+    assert kept.columns == columns and sorted(kept.collect(), key=lambda r: r.doc_id) == rows and len(stay) < len(seen)
 
     docs = kept.cache()
     kept = clean(spark, docs, SF)
