@@ -5,7 +5,9 @@ The whole job is one map stage: no shuffle between the scan and the sink.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posefold import contracts as C
@@ -88,18 +90,32 @@ def augment_frames(
     )
 
 
+# What the three masks tell.
+MASKS = {
+    "valid": "valid_mask",
+    "invalid_input": "invalid_input_mask",
+    "derivation_failure": "derivation_failure_mask",
+}
+
+
+def mask_measures(masks: Mapping[str, str] = MASKS) -> dict[str, Column]:
+    """Rows with each bit of each mask set, as ``mask_bit`` aggregates to observe."""
+    return {
+        f"{name}_{bit}": F.count_if(K.bit_is_set(f"`{column}`", bit))
+        for name, column in masks.items()
+        for bit in C.LIMB_BITS.values()
+    }
+
+
+def measured_masks(measured: Mapping[str, int]) -> list[tuple]:
+    """``limb, valid, invalid_input, derivation_failure`` from observed :func:`mask_measures`."""
+    return [(limb, *(measured[f"{name}_{bit}"] for name in MASKS)) for limb, bit in C.LIMB_BITS.items()]
+
+
 def mask_bit_counts(rows: DataFrame) -> DataFrame:
     """Per limb: rows with its valid, invalid-input and derivation-failure bit set."""
-    masks = {"valid": "valid_mask", "invalid_input": "invalid_input_mask",
-             "derivation_failure": "derivation_failure_mask"}
-    masks = {name: column for name, column in masks.items() if column in rows.columns}
-    totals = rows.agg(
-        *(
-            F.count_if(K.bit_is_set(column, bit)).alias(f"{name}_{bit}")
-            for name, column in masks.items()
-            for bit in C.LIMB_BITS.values()
-        )
-    )
+    masks = {name: column for name, column in MASKS.items() if column in rows.columns}
+    totals = rows.agg(*(column.alias(name) for name, column in mask_measures(masks).items()))
     return totals.select(
         F.inline(
             F.array(

@@ -96,12 +96,17 @@ def content_digest(df: DataFrame, columns: list[str] | None = None) -> DataFrame
 
     Two runs that give equal keyed values give equal digests whatever their partitioning.
     """
+    return df.agg(*digest_columns(df, columns))
+
+
+def digest_columns(df: DataFrame, columns: list[str] | None = None) -> list[Column]:
+    """``rows`` and ``digest`` as aggregates over ``df``, for :func:`content_digest` or to observe a write."""
     names = columns or sorted(df.columns)
     row = F.xxhash64(*(F.col(f"`{name}`") for name in names)).cast("decimal(38,0)")
-    return df.agg(
+    return [
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(row), F.lit(0)).cast("string").alias("digest"),
-    )
+    ]
 
 
 def same_content(left: DataFrame, right: DataFrame) -> bool:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,16 @@ from posefold.operators.scale import lookup_join, ordinal_within
 
 READER_ORDER = ("log_time_ns", "topic", "sequence")
 STATUSES = ("pose_status", "joint_status", "fk_status", "recovery_status")
+# The words of each status.
+STATUS_WORDS = {
+    "pose_status": C.POSE_STATES,
+    "joint_status": C.POSE_STATES,
+    "fk_status": ("derived", "failure", "not_attempted_invalid_joints"),
+    "recovery_status": (
+        "source_pose_intact", "recovered", "source_pose_intact_fk_failure", "unrecoverable_fk_failure",
+        "source_pose_intact_invalid_joints", "unrecoverable_invalid_joints",
+    ),
+}
 
 
 def target_messages(messages: DataFrame) -> DataFrame:
@@ -122,6 +133,21 @@ def status_histogram(rows: DataFrame) -> DataFrame:
     ).agg(F.sum("n").alias("n"))
 
 
+def status_measures(names: Mapping[str, str]) -> dict[str, Column]:
+    """Counts of every status word, as ``field|word`` aggregates to observe; ``names`` gives the columns' names."""
+    return {
+        f"{field}|{word}": F.count_if(F.col(f"`{names[field]}`") == word)
+        for field, words in STATUS_WORDS.items()
+        for word in words
+    }
+
+
+def measured_counts(measured: Mapping[str, int]) -> list[tuple[str, str, int]]:
+    """``field, status, n`` of the words that occur, from observed :func:`status_measures`."""
+    found = ((*name.split("|"), n) for name, n in measured.items() if "|" in name)
+    return [(field, word, n) for field, word, n in found if n]
+
+
 def message_facts(messages: DataFrame) -> DataFrame:
     """Everything a run must know about each source before deriving: one narrow pass, no payload read.
 

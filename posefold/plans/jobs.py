@@ -200,6 +200,7 @@ def run_recovery(
     overwrite: bool = False,
     audited: DataFrame | None = None,
     limits: ChainModel | None = None,
+    per_source_counts: bool = True,
 ) -> dict:
     """Write the keyed recovery sidecar.
 
@@ -207,19 +208,20 @@ def run_recovery(
     ``task, episode, expected_sha256, expected_size_bytes``. ``source_files`` are the Parquet files or
     folders behind ``messages``; they are fingerprinted before and after. ``audited`` (``source_uri,
     messages``) holds every source to the rows an audit counted in it. ``limits`` names a model outside
-    whose declared joint ranges no pose is derived.
+    whose declared joint ranges no pose is derived. Total status counts are observed by the write; with
+    ``per_source_counts`` the source and status columns, and they alone, are read back for those of each source.
     """
     spark = messages.sparkSession
     with tidy(spark):
         return _recover(
             spark, messages, sources, output, kinematics, sessions, require_recovery_only, dataset_id, revision,
-            source_files, overwrite, audited, limits,
+            source_files, overwrite, audited, limits, per_source_counts,
         )
 
 
 def _recover(
     spark, messages, sources, output, kinematics, sessions, require_recovery_only, dataset_id, revision,
-    source_files, overwrite, audited, limits,
+    source_files, overwrite, audited, limits, per_source_counts,
 ) -> dict:
     kinematics = kinematics or ChainKinematics()
     sinks.check_output(output, list(source_files))
@@ -265,13 +267,38 @@ def _recover(
     rows = recovery.recovery_rows(messages, table, kinematics, numbered, ordered=True, limits=limits)
     published = sinks.describe_columns(rows, C.RECOVERY_COLUMNS, sinks.model_facts(kinematics))
 
-    def checks(staged: DataFrame) -> DataFrame:
-        pose = "`geometry.pose.arm_local`"
-        found = [gates.no_rows_where(staged, "pose_has_seven_values", ~F.expr(f"{pose} IS NOT NULL AND size({pose}) = 7"))]
-        if require_recovery_only:
-            internal = staged.select(F.col("`geometry.recovery_status`").alias("recovery_status"))
-            found.append(gates.recovery_only(internal))
-        return gates.all_gates(*found)
+    pose, status = "`geometry.pose.arm_local`", C.RECOVERY_COLUMNS["recovery_status"]
+    measures = {
+        **recovery.status_measures(C.RECOVERY_COLUMNS),
+        "poses_of_another_length": F.count_if(~F.expr(f"{pose} IS NOT NULL AND size({pose}) = 7")),
+        "not_recovered": F.count_if(~F.coalesce(F.col(f"`{status}`") == "recovered", F.lit(False))),
+    }
+
+    def checks(measured: dict) -> list[str]:
+        failed = []
+        if measured["poses_of_another_length"]:
+            failed.append(f"pose_has_seven_values: {measured['poses_of_another_length']} violations")
+        if require_recovery_only and measured["not_recovered"]:
+            failed.append(f"every_row_recovered: {measured['not_recovered']} violations")
+        for field, words in recovery.STATUS_WORDS.items():
+            if sum(measured[f"{field}|{word}"] for word in words) != expected:
+                failed.append(f"every_{field}_is_known: other words occur")
+        return failed
+
+    def tables(measured: dict, staged: DataFrame) -> dict[str, DataFrame]:
+        counts = spark.createDataFrame(recovery.measured_counts(measured), "field string, status string, n bigint")
+        counts = counts.withColumn("source_uri", F.lit(None).cast("string"))
+        if per_source_counts:
+            narrow = staged.select(
+                *(F.col(f"`{C.RECOVERY_COLUMNS[name]}`").alias(name) for name in ("source_uri", *recovery.STATUSES))
+            )
+            each = recovery.status_histogram(narrow).where("source_uri IS NOT NULL")
+            counts = counts.unionByName(each)
+        identities = resolved.join(identity.select("source_uri", "status"), "source_uri", "left")
+        provenance = identities.withColumnRenamed("status", "identity_status").join(
+            facts.select("source_uri", F.col("rows").alias("target_messages")), "source_uri", "left"
+        )
+        return {"status_counts": counts, "provenance": provenance}
 
     def sources_unchanged() -> None:
         if before is not None:
@@ -292,19 +319,9 @@ def _recover(
         "source_modified": False,
         "require_recovery_only": require_recovery_only,
     }
-    manifest = sinks.publish(
-        published, output, C.RECOVERY_SCHEMA_VERSION, expected, details, overwrite, checks, sources_unchanged
-    )
-    staged = spark.read.parquet(manifest["data_uri"])
-    names = {v: k for k, v in C.RECOVERY_COLUMNS.items()}
-    internal = staged.select(*(F.col(f"`{v}`").alias(k) for v, k in names.items()))
-    histogram = recovery.status_histogram(internal)
-    histogram.write.parquet(f"{output.rstrip('/')}/status_counts-{manifest['run_id']}")
-    provenance = resolved.join(identity.select("source_uri", "status"), "source_uri", "left").withColumnRenamed(
-        "status", "identity_status"
+    return sinks.publish(
+        published, output, C.RECOVERY_SCHEMA_VERSION, expected, details, overwrite, measures, checks, tables, sources_unchanged
     )
-    provenance.write.parquet(f"{output.rstrip('/')}/provenance-{manifest['run_id']}")
-    return manifest
 
 
 def run_release(
@@ -388,14 +405,20 @@ def _augment(
         "excluded_frames": {"shared_bimanual": "not emitted: the right base is not cohort-verified"},
         "source_modified": False,
     }
-    manifest = sinks.publish(
-        published, output, C.SIDECAR_SCHEMA_VERSION, expected, details, overwrite, None, unchanged
-    )
-    staged = spark.read.parquet(manifest["data_uri"]).withColumnsRenamed(
-        {v: k for k, v in C.SIDECAR_COLUMNS.items()}
+    measures = augment.mask_measures({name: C.SIDECAR_COLUMNS[column] for name, column in augment.MASKS.items()})
+
+    def tables(measured: dict, staged: DataFrame) -> dict[str, DataFrame]:
+        counts = spark.createDataFrame(
+            augment.measured_masks(measured), "limb string, valid bigint, invalid_input bigint, derivation_failure bigint"
+        )
+        provenance = facts.select(_same_uri("source_uri").alias("source_uri"), "rows")
+        if sources is not None:
+            provenance = provenance.join(sources, "source_uri", "left")
+        return {"mask_counts": counts, "provenance": provenance}
+
+    return sinks.publish(
+        published, output, C.SIDECAR_SCHEMA_VERSION, expected, details, overwrite, measures, None, tables, unchanged
     )
-    augment.mask_bit_counts(staged).write.parquet(f"{output.rstrip('/')}/mask_counts-{manifest['run_id']}")
-    return manifest
 
 
 def _same_uri(column: str):

@@ -1,26 +1,27 @@
 """Sinks: self-describing sidecars, audit tables and the manifest that is written last.
 
 A publication is a folder: ``data-<run>/`` holds the rows, ``parts-<run>/`` the digest of every data
-file, and ``manifest/`` one JSON line per run, written only after the rows were read back and counted.
-A crash before that line leaves files no reader will accept.
+file, further tables of the run lie beside them, and ``manifest/`` has one JSON line per run. That line
+carries the counts and names the tables; it is written after everything else, so a crash before it
+leaves files no reader will accept, and one after it leaves nothing undone.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from posefold import __version__
 from posefold import contracts as C
 from posefold.operators.gates import (
     Refused,
-    content_digest,
+    digest_columns,
     gate,
     require,
 )
@@ -84,14 +85,18 @@ def publish(
     expected_rows: int,
     details: Mapping,
     overwrite: bool = False,
-    staged_checks=None,
-    before_manifest=None,
+    measures: Mapping[str, Column] | None = None,
+    checks: Callable[[dict], list[str]] | None = None,
+    tables: Callable[[dict, DataFrame], Mapping[str, DataFrame]] | None = None,
+    before_manifest: Callable[[], None] | None = None,
 ) -> dict:
-    """Write ``rows``, verify them as written, and only then write the manifest line.
+    """Write ``rows``, prove what was written, and only then write the manifest line.
 
-    ``staged_checks(staged)`` returns extra gate rows over the written table. ``before_manifest()``
-    runs last of all, e.g. to prove that the sources did not change. Either may raise
-    :class:`Refused`; the written rows then stay invisible to :func:`read_published`.
+    Row count, content digest and ``measures`` (aggregates over ``rows``) are observed by the write itself;
+    the written files are read once more, to hash them. ``checks(measured)`` names what does not hold.
+    ``tables(measured, staged)`` are written beside the data; the manifest names them, so whoever finds its
+    line finds them too. ``before_manifest()`` runs last of all, e.g. to prove that the sources did not
+    change. Whatever raises :class:`Refused` leaves rows that :func:`read_published` does not see.
     """
     spark = rows.sparkSession
     previous = read_manifests(spark, output)
@@ -100,17 +105,22 @@ def publish(
     run_id = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     root = output.rstrip("/")
     data, parts = f"{root}/data-{run_id}", f"{root}/parts-{run_id}"
-    rows.write.option("compression", "zstd").parquet(data)
+    seen = Observation()
+    observed = rows.observe(seen, *digest_columns(rows), *(c.alias(n) for n, c in (measures or {}).items()))
+    observed.write.option("compression", "zstd").parquet(data)
+    measured = seen.get
 
     staged = spark.read.parquet(data)
-    if [(f.name, f.dataType) for f in staged.schema] != [(f.name, f.dataType) for f in rows.schema]:
+    if [(f.name, f.dataType, f.metadata) for f in staged.schema] != [(f.name, f.dataType, f.metadata) for f in rows.schema]:
         raise Refused("staged schema differs from the contract")
-    digest = content_digest(staged).first()  # counts the rows in the same pass
-    if digest["rows"] != expected_rows:
-        raise Refused(f"staged_row_count: {digest['rows']} rows, expected {expected_rows}")
-    if staged_checks is not None:
-        require(staged_checks(staged))
-
+    if measured["rows"] != expected_rows:
+        raise Refused(f"staged_row_count: {measured['rows']} rows, expected {expected_rows}")
+    if failed := checks(measured) if checks is not None else []:
+        raise Refused("; ".join(failed))
+
+    beside = dict(tables(measured, staged)) if tables is not None else {}
+    for name, table in beside.items():
+        table.write.parquet(f"{root}/{name}-{run_id}")
     relative_parts(file_fingerprints(spark, data, glob="*.parquet")).write.parquet(parts)
     part_files = spark.read.parquet(parts).count()
     if before_manifest is not None:
@@ -122,15 +132,31 @@ def publish(
         "data_uri": data,
         "parts_uri": parts,
         "rows": expected_rows,
-        "content_digest": digest["digest"],
+        "content_digest": measured["digest"],
         "part_files": part_files,
-        "details": json.dumps({"generator": f"posefold/{__version__}", **details}, sort_keys=True),
+        "details": json.dumps(
+            {
+                "generator": f"posefold/{__version__}",
+                "counts": {name: measured[name] for name in measures or {}},
+                "tables": {name: f"{root}/{name}-{run_id}" for name in beside},
+                **details,
+            },
+            sort_keys=True,
+        ),
     }
     line = spark.createDataFrame([manifest], MANIFEST)
     line.coalesce(1).write.mode("append").json(f"{root}/manifest")
     return manifest
 
 
+def read_beside(spark: SparkSession, output: str, name: str) -> DataFrame:
+    """A table that the newest manifest names."""
+    tables = json.loads(latest_manifest(spark, output)["details"])["tables"]
+    if name not in tables:
+        raise Refused(f"the newest publication in {output} has no table {name}")
+    return spark.read.parquet(tables[name])
+
+
 def relative_parts(fingerprints: DataFrame) -> DataFrame:
     """Key part files by name, so a moved publication still verifies."""
     return fingerprints.select(
