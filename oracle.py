@@ -570,6 +570,11 @@ UNION ALL SELECT 'data/val/task_99/episode_99/other.mcap', 0, 1, false, 'not_in_
   min(k) AS first_ordinal, max(k) AS last_ordinal, count(*) AS poses, NULL::VARCHAR AS gate
   FROM (SELECT *, row_number() OVER (PARTITION BY source_uri ORDER BY log_time_ns, topic, sequence) - 1 AS k FROM rec WHERE ep % 5 <> 4) GROUP BY ALL
 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'expected_identity_holds'"""
+    ),
+    "job_recovery_in_place": sql(
+        f"""SELECT source_uri, CASE WHEN ep % 2 = 0 THEN 'episode_s' || {TWO} ELSE 'episode_' || {TWO} END AS episode, count(*) AS n,
+  0::BIGINT AS first_ordinal, count(*) - 1 AS last_ordinal, count(*) AS ordinals, true AS same_digest
+  FROM rec WHERE ep % 5 <> 4 GROUP BY ALL"""
     ),
     "job_release": sql(
         """SELECT source_uri, recovery_status, count(*) AS n, NULL::VARCHAR AS gate FROM rec WHERE source_uri IN

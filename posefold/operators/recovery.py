@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from posefold import contracts as C
 from posefold.functions import classify as K
@@ -15,6 +16,7 @@ from posefold.functions.kinematics import ChainKinematics, ChainModel, joint_lim
 from posefold.functions.rotation import pose_vector
 from posefold.operators.audit import with_topic_roles
 from posefold.operators.scale import lookup_join, ordinal_within
+from posefold.sources.store import LAYOUT, SLAB
 
 READER_ORDER = ("log_time_ns", "topic", "sequence")
 STATUSES = ("pose_status", "joint_status", "fk_status", "recovery_status")
@@ -103,6 +105,32 @@ def recovery_rows(
     if ordered:
         order = ("source_uri", "message_ordinal")
         rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return _derived(rows, kinematics, limits)
+
+
+def recovery_rows_in_place(stored: DataFrame, sources: DataFrame, kinematics=None, limits: ChainModel | None = None) -> DataFrame:
+    """The recovery table over a store (``sources.store``): only narrow lines are shuffled, no pose or position.
+
+    Each source and slab is counted where it lies; running sums of those counts give every slab its first
+    ordinal, and the provenance of its source rides along. The two meet the payload in its buckets, which are
+    sorted in reader order, so every written file is in sidecar order. Rows that tie are numbered as they lie; rows
+    without a source get no ordinal.
+    """
+    targets = target_messages(stored.drop("message_ordinal"))
+    counts = targets.groupBy(*LAYOUT).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy("source_uri").orderBy(SLAB).rowsBetween(Window.unboundedPreceding, -1)
+    # One line per source and slab: the window never sees more lines of a source than it has slabs.
+    starts = counts.select(*LAYOUT, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    known = sources.select("source_uri", "source_sha256", "task", "episode")
+    starts = starts.join(known, "source_uri", "left")
+    place = F.row_number().over(Window.partitionBy(*LAYOUT).orderBy(*READER_ORDER))
+    rows = targets.withColumn("_place", place).join(starts, list(LAYOUT), "left")
+    rows = rows.withColumn("message_ordinal", (F.col("_start") + F.col("_place") - 1).cast("bigint"))
+    return _derived(rows.drop("_start", "_place", SLAB), kinematics, limits)
+
+
+def _derived(rows: DataFrame, kinematics, limits: ChainModel | None) -> DataFrame:
+    """Statuses, mask and pose of numbered rows with provenance, under internal names."""
     rows = with_statuses(rows, kinematics, limits)
     nothing = F.array(*(F.lit(float("nan")) for _ in C.POSE_LAYOUT))
     pose = F.when(F.col("fk_status") == "derived", pose_vector("fk_")).otherwise(nothing)

@@ -14,7 +14,7 @@ from posefold.functions.kinematics import ChainKinematics, ChainModel
 from posefold.operators import audit, augment, cohorts, corpus, gates, inventory, reconcile, recovery
 from posefold.operators.scale import cut_lineage, tidy
 from posefold.sources import frames as frame_source
-from posefold.sources import sinks
+from posefold.sources import sinks, store
 from posefold.sources.files import file_fingerprints
 
 
@@ -204,7 +204,9 @@ def run_recovery(
 ) -> dict:
     """Write the keyed recovery sidecar.
 
-    ``sources`` has one row per file: ``source_uri, path, sha256, size_bytes`` (observed) and optional
+    ``messages`` from ``sources.store`` are numbered and derived in their buckets, without a shuffle of the
+    payload; each file written is then in order of source and ordinal. Others are put in that order by a range
+    shuffle. ``sources`` has one row per file: ``source_uri, path, sha256, size_bytes`` (observed) and optional
     ``task, episode, expected_sha256, expected_size_bytes``. ``source_files`` are the Parquet files or
     folders behind ``messages``; they are fingerprinted before and after. ``audited`` (``source_uri,
     messages``) holds every source to the rows an audit counted in it. ``limits`` names a model outside
@@ -261,10 +263,12 @@ def _recover(
 
     totals = facts.agg(F.sum("rows").alias("rows"), F.sum("unnumbered").alias("unnumbered")).first()
     expected, stored = totals["rows"] or 0, totals["unnumbered"] == 0
-    targets = recovery.target_messages(messages)
     table = resolved.withColumn("source_sha256", F.col("sha256"))
-    numbered = recovery.with_ordinals(targets, stored)
-    rows = recovery.recovery_rows(messages, table, kinematics, numbered, ordered=True, limits=limits)
+    if store.is_store(messages):
+        rows = recovery.recovery_rows_in_place(messages, table, kinematics, limits)
+    else:
+        numbered = recovery.with_ordinals(recovery.target_messages(messages), stored)
+        rows = recovery.recovery_rows(messages, table, kinematics, numbered, ordered=True, limits=limits)
     published = sinks.describe_columns(rows, C.RECOVERY_COLUMNS, sinks.model_facts(kinematics))
 
     pose, status = "`geometry.pose.arm_local`", C.RECOVERY_COLUMNS["recovery_status"]

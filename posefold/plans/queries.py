@@ -23,7 +23,7 @@ from posefold.operators import reconcile, recovery, series
 from posefold.operators.scale import checkpoint_root
 from posefold.plans import jobs
 from posefold.plans.jobs import corpus_evidence
-from posefold.sources import fixtures, sinks
+from posefold.sources import fixtures, sinks, store
 from posefold.sources.files import file_fingerprints
 from posefold.sources.messages import normalise_messages, read_arm_messages
 
@@ -872,6 +872,32 @@ def job_recovery(spark, sf):
     return _job_rows(counted, refusal)
 
 
+@query
+def job_recovery_in_place(spark, sf):
+    """The recovery sidecar from a bucketed store, numbered and derived where the payload lies. Its digest
+    is that of the job over the plain table."""
+    messages, _ = _scanned_messages(spark, sf)
+    sources = fixtures.source_table(spark, sf).where(is_clean())
+    path = _folder(spark, "store")
+    name = f"store_{path[-32:]}"
+    stored = store.store_messages(messages, name, path, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))), slab_ns=3_600_000_000_000)
+    outputs = {rows: _folder(spark, "recovery") for rows in ("in_place", "moved")}
+    digests = {
+        rows: jobs.run_recovery(table, sources, outputs[rows], sessions=_sessions(spark, sf))["content_digest"]
+        for rows, table in (("in_place", stored), ("moved", messages))
+    }
+    rows = sinks.read_published(spark, outputs["in_place"])
+    return rows.groupBy(
+        F.col("`provenance.source_uri`").alias("source_uri"), F.col("`provenance.episode`").alias("episode")
+    ).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("`provenance.source_message_index`").cast("bigint").alias("first_ordinal"),
+        F.max("`provenance.source_message_index`").cast("bigint").alias("last_ordinal"),
+        F.count_distinct("`provenance.source_message_index`").alias("ordinals"),
+        F.lit(digests["in_place"] == digests["moved"]).alias("same_digest"),
+    )
+
+
 @query
 def job_release(spark, sf):
     """The release of the fully missing files; refused where a file is mixed, and on a stale audit."""
