@@ -443,6 +443,19 @@ UNION ALL SELECT source_uri, task, CASE WHEN ep % 8 = 0 THEN 'given' WHEN ep = 2
         " (SELECT unnest([0.5, 0.9, 0.95, 0.99, 1.0]) AS probability) WHERE k >= greatest(1, ceil(probability * total)) GROUP BY topic, probability",
         ranked=f"SELECT topic, {r('tm')} AS value, row_number() OVER (PARTITION BY topic ORDER BY {r('tm')}) AS k, count(*) OVER (PARTITION BY topic) AS total FROM scored WHERE cmp",
     ),
+    "residual_sketches": sql(
+        "SELECT level, name, probability::DOUBLE AS probability, total, true AS within_bound FROM ("
+        "SELECT 'topic' AS level, topic AS name, count(*) AS total FROM scored WHERE cmp GROUP BY topic"
+        " UNION ALL SELECT 'file', source_uri, count(*) FROM scored WHERE cmp GROUP BY source_uri"
+        " UNION ALL SELECT 'corpus', 'all', count(*) FROM scored WHERE cmp), (SELECT unnest([0.05, 0.25, 0.5, 0.9, 0.99]) AS probability)"
+    ),
+    "incremental_topic_audit": sql(
+        f"SELECT source_uri, t.topic, {cols(COUNTS)}, {cols(RESIDUALS)}, {rcols(OFFSETS)}, any_value(i.ignored) AS source_ignored,"
+        " any_value(i.broken) AS source_decode_errors FROM (SELECT * FROM sources CROSS JOIN tdim) t LEFT JOIN"
+        " (SELECT * FROM scored WHERE role = 'target') c USING (source_uri, topic) JOIN (SELECT source_uri,"
+        " count(*) FILTER (role = 'ignored') AS ignored, count(*) FILTER (role = 'decode_error') AS broken FROM msg GROUP BY source_uri) i USING (source_uri)"
+        " GROUP BY source_uri, t.topic"
+    ),
     "worst_residuals": sql(
         f"SELECT source_uri, topic, sequence, residual FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY residual DESC, source_uri, sequence) AS k"
         f" FROM (SELECT source_uri, topic, sequence, {r('tm')} AS residual FROM scored WHERE cmp)) WHERE k <= 5"

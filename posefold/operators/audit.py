@@ -166,22 +166,35 @@ def offset_columns() -> list[Column]:
     return columns
 
 
-def topic_audit(scored: DataFrame) -> DataFrame:
+SKETCHES = tuple(f"{name}_sketch" for name in RESIDUALS)
+
+
+def sketch_columns(sketch_k: int) -> list[Column]:
+    return [
+        F.kll_sketch_agg_double(f"{name}_{unit}", sketch_k).alias(f"{name}_sketch")
+        for name, unit in RESIDUALS.items()
+    ]
+
+
+def topic_audit(scored: DataFrame, sketch_k: int | None = None) -> DataFrame:
     """Four rows per source, one per target topic, zero-filled where a topic never occurs.
 
     Ignored, undecodable and unusable rows are counted per source and repeated on its four rows as
-    ``source_ignored`` and ``source_decode_errors``.
+    ``source_ignored`` and ``source_decode_errors``. With ``sketch_k`` every row also keeps a KLL sketch of
+    each residual, a few kilobytes that merge into those of files and of the corpus (``sketches``).
     """
+    kept = (*TOPIC_STATS, *(SKETCHES if sketch_k is not None else ()))
     target = F.col("role") == "target"
     grouped = scored.groupBy("source_uri", F.when(target, F.col("topic")).alias("topic")).agg(
         *counter_columns(),
         *residual_columns(),
         *offset_columns(),
+        *(sketch_columns(sketch_k) if sketch_k is not None else ()),
         _count("role = 'ignored'", "ignored"),
         _count("role IN ('decode_error', 'record_error')", "decode_errors"),
     )
     # At most five lines per source (four topics and the rest), so the map below is bounded.
-    payload = F.struct(*COUNTS, *TOPIC_STATS)
+    payload = F.struct(*COUNTS, *kept)
     per_source = grouped.groupBy("source_uri").agg(
         F.map_from_entries(
             F.collect_list(F.when(F.col("topic").isNotNull(), F.struct("topic", payload.alias("v"))))
@@ -206,7 +219,7 @@ def topic_audit(scored: DataFrame) -> DataFrame:
         K.stream_of().alias("stream"),
         *(
             (F.coalesce(F.col(f"v.{n}"), F.lit(0)) if n in zero else F.col(f"v.{n}")).alias(n)
-            for n in (*COUNTS, *TOPIC_STATS)
+            for n in (*COUNTS, *kept)
         ),
         "source_ignored",
         "source_decode_errors",

@@ -19,13 +19,14 @@ from posefold.functions.kinematics import SIX_JOINT_ARM, ChainKinematics, Functi
 from posefold.functions.rotation import matrix_from_quaternion
 from posefold.functions.spans import end_of_span
 from posefold.operators import accounting, audit, augment, cohorts, corpus, gates, inventory
-from posefold.operators import reconcile, recovery, series
-from posefold.operators.scale import checkpoint_root
+from posefold.operators import reconcile, recovery, series, sketches
+from posefold.operators.scale import checkpoint_root, cut_lineage, hold
 from posefold.plans import jobs
 from posefold.plans.jobs import corpus_evidence
 from posefold.sources import fixtures, sinks, store
 from posefold.sources.files import file_fingerprints
 from posefold.sources.messages import normalise_messages, read_arm_messages
+from posefold.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -434,6 +435,46 @@ def residual_quantiles(spark, sf):
     return round_all(accounting.residual_quantiles(scored, "residual", ["topic"], (0.5, 0.9, 0.95, 0.99, 1.0)))
 
 
+@query
+def residual_sketches(spark, sf):
+    """Residual quantiles of topics, files and the corpus from the sketches of one stored topic audit: rows
+    behind each, and whether the exact rank of the estimate is within the stated bound."""
+    scored = _scored(spark, sf)
+    topics = cut_lineage(audit.topic_audit(scored, sketches.SKETCH_K), "topics")
+    probabilities = (0.05, 0.25, 0.5, 0.9, 0.99)
+    found = []
+    for level, keys in (("topic", ["topic"]), ("file", ["source_uri"]), ("corpus", [])):
+        estimates = cut_lineage(sketches.sketch_quantiles(topics, "translation", keys, probabilities), "estimates")
+        errors = sketches.rank_errors(estimates, hold(scored, ["translation_m"]), "translation_m", keys)
+        named = F.col(keys[0]) if keys else F.lit("all")
+        found.append(
+            errors.select(
+                F.lit(level).alias("level"), named.alias("name"), "probability", "total",
+                (F.col("rank_error") <= sketches.RANK_ERROR).alias("within_bound"),
+            )
+        )
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query
+def incremental_topic_audit(spark, sf):
+    """The topic audit of messages that arrive in four parts and three runs, two of them repeated, with a
+    compaction in between: as if audited at once."""
+    inbox, output = _folder(spark, "inbox"), _folder(spark, "stored")
+    messages = fixtures.arm_messages(spark, sf)
+    part = F.pmod(F.hash("sequence"), F.lit(4))
+    for number in range(4):
+        messages.where(part == number).write.mode("append").parquet(inbox)
+        if number < 2:
+            incremental.audit_new_files(spark, inbox, output)
+    incremental.compact(spark, output)
+    incremental.absorb(messages.where(part == 1), 1, output)
+    incremental.audit_new_files(spark, inbox, output)
+    incremental.absorb(messages.where(part >= 2), 2, output)
+    topics = incremental.stored_topics(spark, output).drop(*audit.SKETCHES, "topic_order", "arm", "stream")
+    return round_all(topics)
+
+
 @query
 def worst_residuals(spark, sf):
     scored = _scored(spark, sf, keep=("sequence",)).where("compared")
