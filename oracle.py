@@ -655,3 +655,4 @@ UNION ALL SELECT NULL, NULL, NULL, 'inventory_fingerprint_is_pinned'""",
         + ") THEN 'malformed' ELSE joint_status END AS js FROM tgt",
     ),
 }
+ORACLE_SQL["sidecar_integrity_by_difference"] = ORACLE_SQL["sidecar_key_integrity"]

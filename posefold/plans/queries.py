@@ -18,7 +18,7 @@ from posefold.functions import text as X
 from posefold.functions.kinematics import SIX_JOINT_ARM, ChainKinematics, FunctionKinematics
 from posefold.functions.rotation import matrix_from_quaternion
 from posefold.functions.spans import end_of_span
-from posefold.operators import accounting, audit, augment, cohorts, corpus, gates, inventory
+from posefold.operators import accounting, audit, augment, cohorts, corpus, difference, gates, inventory
 from posefold.operators import reconcile, recovery, series, sketches
 from posefold.operators.scale import checkpoint_root, cut_lineage, hold
 from posefold.plans import jobs
@@ -512,8 +512,8 @@ def frame_sidecar_poses(spark, sf):
     )
 
 
-@query
-def sidecar_key_integrity(spark, sf):
+def _keyed_frames(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Keys of the frames, of their sidecar, and of a sidecar with lost, repeated, changed and moved keys."""
     keys = ["source_uri", "source_row", *C.FRAME_KEYS]
     source = fixtures.frames(spark, sf).select(*keys)
     sidecar = augment.augment_frames(fixtures.frames(spark, sf)).select(*keys)
@@ -526,10 +526,26 @@ def sidecar_key_integrity(spark, sf):
         .select(*keys, F.explode(F.array_repeat(F.lit(1), F.col("copies"))).alias("copy"))
         .drop("copy")
     )
+    return source, sidecar, broken
+
+
+@query
+def sidecar_key_integrity(spark, sf):
+    source, sidecar, broken = _keyed_frames(spark, sf)
     clean = tag(augment.key_integrity(source, sidecar), "clean")
     return clean.unionByName(tag(augment.key_integrity(source, broken), "broken"))
 
 
+@query
+def sidecar_integrity_by_difference(spark, sf):
+    """The same by difference: only ranges that differ are looked into, and only rows that may differ compared."""
+    source, sidecar, broken = _keyed_frames(spark, sf)
+    values = list(C.FRAME_KEYS)
+    clean, _ = difference.integrity_by_difference(source, sidecar, values, range_rows=4096)
+    faulty, _ = difference.integrity_by_difference(source, broken, values, range_rows=4096)
+    return tag(clean, "clean").unionByName(tag(faulty, "broken"))
+
+
 @query
 def frame_key_violations(spark, sf):
     rows = fixtures.frames(spark, sf)
