@@ -26,7 +26,7 @@ from posefold.operators.gates import (
     require,
 )
 from posefold.operators.scale import key_counts
-from posefold.sources.files import file_fingerprints
+from posefold.sources.files import RANGE_BYTES, digest_tree, folded, proof_of, range_digests, tree_root
 
 MANIFEST = (
     "run_id string, schema_version string, created_at string, data_uri string, parts_uri string,"
@@ -89,6 +89,7 @@ def publish(
     checks: Callable[[dict], list[str]] | None = None,
     tables: Callable[[dict, DataFrame], Mapping[str, DataFrame]] | None = None,
     before_manifest: Callable[[], None] | None = None,
+    range_bytes: int = RANGE_BYTES,
 ) -> dict:
     """Write ``rows``, prove what was written, and only then write the manifest line.
 
@@ -121,8 +122,10 @@ def publish(
     beside = dict(tables(measured, staged)) if tables is not None else {}
     for name, table in beside.items():
         table.write.parquet(f"{root}/{name}-{run_id}")
-    relative_parts(file_fingerprints(spark, data, glob="*.parquet")).write.parquet(parts)
-    part_files = spark.read.parquet(parts).count()
+    relative_parts(range_digests(spark, data, glob="*.parquet", range_bytes=range_bytes)).write.parquet(parts)
+    recorded = spark.read.parquet(parts)
+    part_files = recorded.select("part").distinct().count()
+    root_digest = tree_root(digest_tree(recorded, list(PART_ORDER)))
     if before_manifest is not None:
         before_manifest()
     manifest = {
@@ -139,6 +142,8 @@ def publish(
                 "generator": f"posefold/{__version__}",
                 "counts": {name: measured[name] for name in measures or {}},
                 "tables": {name: f"{root}/{name}-{run_id}" for name in beside},
+                "parts_root": root_digest,
+                "range_bytes": range_bytes,
                 **details,
             },
             sort_keys=True,
@@ -157,10 +162,13 @@ def read_beside(spark: SparkSession, output: str, name: str) -> DataFrame:
     return spark.read.parquet(tables[name])
 
 
-def relative_parts(fingerprints: DataFrame) -> DataFrame:
+PART_ORDER = ("part", "range_no")
+
+
+def relative_parts(ranges: DataFrame) -> DataFrame:
     """Key part files by name, so a moved publication still verifies."""
-    return fingerprints.select(
-        F.element_at(F.split("path", "/"), -1).alias("part"), "size_bytes", "sha256"
+    return ranges.select(
+        F.element_at(F.split("path", "/"), -1).alias("part"), "range_no", "size_bytes", "sha256"
     )
 
 
@@ -181,23 +189,57 @@ def latest_manifest(spark: SparkSession, output: str) -> dict:
     return newest.asDict()
 
 
-def verify_parts(spark: SparkSession, data: str, parts: str) -> DataFrame:
-    """One gate row: part files on disk against the digests recorded in the manifest's part table."""
-    found = relative_parts(file_fingerprints(spark, data, glob="*.parquet"))
-    counts = key_counts(spark.read.parquet(parts), found, ["part"], ["size_bytes", "sha256"])
+def _range_bytes(manifest: dict) -> int:
+    return json.loads(manifest["details"])["range_bytes"]
+
+
+def differing_ranges(spark: SparkSession, manifest: dict) -> DataFrame:
+    """``part, range_no, first_byte`` of every range whose bytes are not those recorded, missing and foreign ones too."""
+    width = _range_bytes(manifest)
+    found = relative_parts(range_digests(spark, manifest["data_uri"], glob="*.parquet", range_bytes=width))
+    counts = key_counts(spark.read.parquet(manifest["parts_uri"]), found, list(PART_ORDER), ["size_bytes", "sha256"])
     bad = ~F.coalesce(F.expr("n_left = 1 AND n_right = 1 AND l_min = r_min"), F.lit(False))
-    return gate(
-        counts,
-        "parts_match_manifest",
-        F.count_if(bad) == 0,
-        F.concat(F.count_if(bad).cast("string"), F.lit(" part files differ")),
-    )
+    return counts.where(bad).select(*PART_ORDER, (F.col("range_no") * width).alias("first_byte"))
+
+
+def verify_parts(spark: SparkSession, manifest: dict) -> DataFrame:
+    """One gate row: ranges of the part files on disk against the digests recorded beside the data, and those
+    against the root in the manifest. The detail names where the first difference begins."""
+    recorded = tree_root(digest_tree(spark.read.parquet(manifest["parts_uri"]), list(PART_ORDER)))
+    bad = differing_ranges(spark, manifest)
+    where = F.min(F.struct(*PART_ORDER, "first_byte"))
+    text = F.concat(
+        F.count_distinct("part").cast("string"), F.lit(" part files differ, first "), where["part"], F.lit(" from byte "),
+        where["first_byte"].cast("string"),
+    )
+    whole = gate(bad, "parts_match_manifest", F.count(F.lit(1)) == 0, text)
+    same = recorded == json.loads(manifest["details"])["parts_root"]
+    return whole.unionByName(gate(bad, "part_digests_match_root", F.lit(same), F.lit("recorded digests lead to another root")))
+
+
+def part_proof(spark: SparkSession, output: str, part: str, range_no: int = 0) -> tuple[str, list]:
+    """The recorded digest of one range and its proof towards the newest manifest's root."""
+    levels = digest_tree(spark.read.parquet(latest_manifest(spark, output)["parts_uri"]), list(PART_ORDER))
+    row = levels[0].where((F.col("part") == part) & (F.col("range_no") == range_no)).first()
+    if row is None:
+        raise Refused(f"the newest publication in {output} has no range {range_no} of {part}")
+    return row["sha256"], proof_of(levels, row["pos"])
+
+
+def verify_part(spark: SparkSession, output: str, part: str, proofs: list[tuple[str, list]]) -> bool:
+    """Whether one part file is as published, given the proofs of its ranges: no other file is read, only its
+    bytes and the manifest's line."""
+    manifest = latest_manifest(spark, output)
+    found = range_digests(spark, f"{manifest['data_uri']}/{part}", range_bytes=_range_bytes(manifest))
+    digests = [r["sha256"] for r in found.orderBy("range_no").select("sha256").collect()]
+    root = json.loads(manifest["details"])["parts_root"]
+    return len(digests) == len(proofs) and all(folded(d, path) == root for d, (_, path) in zip(digests, proofs))
 
 
 def read_published(spark: SparkSession, output: str) -> DataFrame:
-    """The newest published rows, after every part file's digest was found equal to the record."""
+    """The newest published rows, after every part file's digests were found equal to the record."""
     manifest = latest_manifest(spark, output)
-    require(verify_parts(spark, manifest["data_uri"], manifest["parts_uri"]))
+    require(verify_parts(spark, manifest))
     return spark.read.parquet(manifest["data_uri"])
 
 
