@@ -656,3 +656,42 @@ UNION ALL SELECT NULL, NULL, NULL, 'inventory_fingerprint_is_pinned'""",
     ),
 }
 ORACLE_SQL["sidecar_integrity_by_difference"] = ORACLE_SQL["sidecar_key_integrity"]
+ORACLE_SQL["job_audit_from_json"] = sql(
+    """SELECT name, CASE WHEN v.variant = 'changed' AND name IN ('sources_unchanged_by_audit', 'integrity_passed', 'passed') THEN false ELSE passed END AS passed,
+  v.variant, NULL::VARCHAR AS gate FROM (
+  SELECT 'expected_file_count' AS name, n = (SELECT count(*) FROM eps) AS passed FROM by_file
+  UNION ALL SELECT unnest(['sizes_match_inventory', 'digests_match_inventory', 'all_source_hashes']), lfs = total FROM by_ep
+  UNION ALL SELECT 'sources_unchanged_by_audit', true
+  UNION ALL SELECT 'audit_sources_are_pinned_uris', pinned = n FROM by_file
+  UNION ALL SELECT 'declared_plus_plot_equals_summary', sums FROM by_ep
+  UNION ALL SELECT 'decoded_counts_match_summary', hidden = 0 FROM by_file UNION ALL SELECT 'pose_classification_is_exhaustive', exhaustive FROM by_file
+  UNION ALL SELECT 'offset_counts_match_compared', compared = offsets FROM by_field
+  UNION ALL SELECT 'no_decode_errors', errors = 0 FROM by_file UNION ALL SELECT 'no_missing_target_topics', missing = 0 FROM by_file
+  UNION ALL SELECT 'target_messages', rows = messages FROM by_field, by_file UNION ALL SELECT 'missing_pose_records', n0 = missing_pose FROM by_field, by_file
+  UNION ALL SELECT 'intact_length_pose_records', n16 = n_intact FROM by_field UNION ALL SELECT 'only_expected_pose_lengths', odd = 0 FROM by_field UNION ALL SELECT 'six_joint_records', not6 = 0 FROM by_field
+  UNION ALL SELECT 'nonfinite_pose_records', badp = n_nonfinite FROM by_field UNION ALL SELECT 'nonfinite_joint_records', badj = 0 FROM by_field
+  UNION ALL SELECT 'integrity_passed', hidden = 0 AND errors = 0 AND missing = 0 AND exhaustive FROM by_file
+  UNION ALL SELECT 'passed', hidden = 0 AND errors = 0 AND missing = 0 AND exhaustive AND ok FROM by_file), (SELECT unnest(['clean', 'changed']) AS variant) v
+UNION ALL SELECT NULL, NULL, NULL, unnest(['inventory_entries_are_well_formed', 'translation tolerance must be finite and non-negative'])""",
+    by_file="SELECT count(*) AS n, sum(messages)::BIGINT AS messages, sum(missing_pose) AS missing_pose, sum(decode_errors) AS errors, sum(missing_topic_count) AS missing,"
+    " sum(hidden) AS hidden, bool_and(passed) AS ok, bool_and(missing_pose + malformed_pose + nonfinite_pose + intact_pose = messages) AS exhaustive,"
+    " count(*) FILTER (starts_with(source_uri, 'fx://data/val/')) AS pinned FROM files JOIN eps USING (source_uri) JOIN hid USING (source_uri)",
+    by_ep="SELECT count(*) AS total, count(*) FILTER (length(lfs_oid) = 64 AND size >= 1) AS lfs, bool_and(n_events + plot_messages = all_messages) AS sums FROM eps JOIN summ USING (source_uri, ep)",
+    hid=f"SELECT source_uri, count(*) FILTER (undecodable AND topic IN ({TOPIC_LIST})) AS hidden FROM placed GROUP BY source_uri",
+    by_field="SELECT count(*) AS rows, count(*) FILTER (np = 0) AS n0, count(*) FILTER (np = 16) AS n16, count(*) FILTER (np NOT IN (0, 16)) AS odd, count(*) FILTER (nj <> 6) AS not6,"
+    " count(*) FILTER (np > fp) AS badp, count(*) FILTER (nj > fj) AS badj, count(*) FILTER (pose_status = 'intact') AS n_intact, count(*) FILTER (pose_status = 'nonfinite') AS n_nonfinite,"
+    " count(tm) AS compared, count(ox) FILTER (cmp) AS offsets FROM scored WHERE role = 'target'",
+)
+ORACLE_SQL["job_recovery_from_lists"] = sql(
+    "SELECT source_uri, 'verified' AS identity_status, CASE WHEN (row_number() OVER (ORDER BY source_uri) - 1) % 2 = 1 THEN 'supplied' ELSE 'path' END AS episode_from,"
+    " n, NULL::VARCHAR AS gate FROM (SELECT source_uri, count(tgt.topic) AS n FROM eps LEFT JOIN tgt USING (source_uri) WHERE eps.ep % 5 <> 4 GROUP BY source_uri)"
+    " UNION ALL SELECT NULL, NULL, NULL, NULL, 'sha256'"
+)
+ORACLE_SQL["job_augmentation_from_dataset"] = sql(
+    "SELECT valid_mask, count(*) AS n, 'verified_info_json' AS contract, true AS described, NULL::VARCHAR AS gate FROM masks GROUP BY valid_mask"
+    " UNION ALL SELECT NULL, NULL, NULL, NULL, unnest(['feature contract differs', 'missing required columns', 'observation.state must hold numbers'])"
+)
+ORACLE_SQL["frame_faults_by_file"] = sql(
+    "SELECT CASE WHEN source_row % 8 = 5 THEN 'missing required columns: action' WHEN source_row % 8 = 6 THEN 'action must hold numbers'"
+    " WHEN source_row % 8 = 7 THEN 'index must be an integer, found double' END AS fault, count(*) AS rows FROM frm GROUP BY fault"
+)

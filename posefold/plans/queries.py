@@ -6,6 +6,8 @@ Gate queries run on a clean and on a deliberately broken input and return both,
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -24,7 +26,10 @@ from posefold.operators.scale import checkpoint_root, cut_lineage, hold
 from posefold.plans import jobs
 from posefold.plans.jobs import corpus_evidence
 from posefold.sources import fixtures, sinks, store
+from posefold.sources import frames as frame_source
+from posefold.sources import inventory as inventory_source
 from posefold.sources.files import file_fingerprints
+from posefold.sources.frames import FrameSchemaError
 from posefold.sources.messages import normalise_messages, read_arm_messages
 from posefold.streaming import incremental
 
@@ -898,6 +903,11 @@ def _refusal(spark, job) -> DataFrame:
         names = []
     except gates.Refused as refused:
         names = [part.split(":")[0] for part in str(refused).split("; ")]
+    except FrameSchemaError as refused:
+        names = [re.sub(r"^\S+: ", "", str(refused)).split(":")[0]]
+        names = [re.sub(r" and \d+ more$", "", name) for name in names]
+    except ValueError as refused:
+        names = [str(refused).split(" has ")[0]]
     return spark.createDataFrame([(name,) for name in names], "gate string")
 
 
@@ -1023,3 +1033,129 @@ def job_corpus_audit(spark, sf):
         ),
     )
     return _job_rows(rows, refusal)
+
+
+def _as_json_files(rows: DataFrame, path: str, wrap: str | None = None, files: int = 16) -> None:
+    """Several JSON documents, each one list (or an object with that list under ``wrap``), a file each."""
+    bucket = F.pmod(F.xxhash64(*rows.columns), F.lit(files))
+    listed = F.collect_list(F.struct(*rows.columns))
+    document = F.to_json(listed if wrap is None else F.struct(listed.alias(wrap)))
+    rows.groupBy(bucket.alias("bucket")).agg(document.alias("value")).select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
+def _tree(listing: DataFrame) -> DataFrame:
+    """An inventory as a tree listing has it, with an entry that is no episode file."""
+    entries = listing.select(
+        F.lit("file").alias("type"), "path", "size", "oid", F.struct(F.col("lfs_oid").alias("oid"), F.col("lfs_size").alias("size")).alias("lfs")
+    )
+    other = entries.limit(1).withColumn("path", F.lit("README.md"))
+    return entries.unionByName(other)
+
+
+@query
+def job_audit_from_json(spark, sf):
+    """The corpus audit from a raw tree listing and a samples file, with snapshots from before and after:
+    clean, with a source that changed during the audit, and refused for a malformed entry and a bad tolerance."""
+    messages, _ = _scanned_messages(spark, sf, clean_only=False)
+    tree, broken, listed = _folder(spark, "tree"), _folder(spark, "tree"), _folder(spark, "samples")
+    entries = fixtures.inventory(spark, sf)
+    _as_json_files(_tree(entries), tree)
+    _as_json_files(_tree(entries.withColumn("oid", F.when(episode_number("path") % 7 != 3, F.col("oid")).otherwise("xyz"))), broken)
+    _as_json_files(fixtures.samples(spark, sf), listed, "samples")
+    listing = inventory_source.normalise_inventory(inventory_source.read_inventory(spark, tree))
+    samples = inventory_source.read_samples(spark, listed)
+    before = entries.select("path", F.col("size").alias("size_bytes"), F.col("lfs_oid").alias("sha256"))
+    changed = before.withColumn("sha256", F.when(episode_number("path") % 7 == 3, F.reverse("sha256")).otherwise(F.col("sha256")))
+    channels = fixtures.channel_counts(spark, sf)
+    found = None
+    for variant, after in (("clean", before), ("changed", changed)):
+        output = _folder(spark, "audit")
+        jobs.run_corpus_audit(messages, output, DATASET, REVISION, listing, samples, channels, before, after, uri_prefix="fx://")
+        facts = sinks.read_audit(spark, output, "invariants").unionByName(sinks.read_audit(spark, output, "cross_check"))
+        row = sinks.read_audit(spark, output, "corpus_audit")
+        named = F.array(*(F.struct(F.lit(n).alias("name"), F.col(n).alias("passed")) for n in ("integrity_passed", "passed")))
+        rows = tag(facts.unionByName(row.select(F.inline(named))), variant)
+        found = rows if found is None else found.unionByName(rows)
+
+    def audit_of(entries_path: str, **options) -> None:
+        malformed = inventory_source.normalise_inventory(inventory_source.read_inventory(spark, entries_path))
+        jobs.run_corpus_audit(
+            messages, _folder(spark, "refused"), DATASET, REVISION, malformed, samples, channels, before, before, uri_prefix="fx://", **options
+        )
+
+    refusal = _refusal(spark, lambda: audit_of(broken))
+    bad = _refusal(spark, lambda: audit_of(tree, translation_tolerance_m=-1.0))
+    return _job_rows(found, refusal.unionByName(bad))
+
+
+@query
+def job_recovery_from_lists(spark, sf):
+    """Recovery of sources named by lists that go together by position; refused where one list is shorter."""
+    messages, _ = _scanned_messages(spark, sf)
+    rows = fixtures.source_table(spark, sf).where(is_clean()).orderBy("path").collect()  # lists, as a caller has them
+    lists = {name: [r[name] for r in rows] for name in ("sha256", "size_bytes")}
+    uris, paths = [r["source_uri"] for r in rows], [r["path"] for r in rows]
+    episodes = [f"given_{i}" if i % 2 else None for i in range(len(rows))]
+    sources = inventory.align_sources(spark, uris, paths, episode=episodes, expected_sha256=lists["sha256"], **lists)
+    output = _folder(spark, "recovery")
+    jobs.run_recovery(messages, sources, output)
+    kept = sinks.read_beside(spark, output, "provenance")
+    found = kept.select("source_uri", "identity_status", "episode_from", F.col("target_messages").alias("n"))
+    short = _refusal(spark, lambda: inventory.align_sources(spark, uris, paths, sha256=lists["sha256"][1:]))
+    return _job_rows(found, short)
+
+
+@query
+def job_augmentation_from_dataset(spark, sf):
+    """Frames of two folders against a feature description, with the columns' own descriptions read back;
+    refused on a description with other names, on a file without a vector and on one with strings in it."""
+    frames = fixtures.frames(spark, sf).select(
+        *C.FRAME_KEYS, *(F.col(alias).alias(name) for name, alias in C.FRAME_INPUT_COLUMNS.items())
+    )
+    roots = [_folder(spark, "frames") for _ in range(2)]
+    for i, root in enumerate(roots):
+        frames.where(F.col("index") % 2 == i).write.parquet(f"{root}/data")
+
+    def describe(names: dict) -> str:
+        features = {column: {"shape": [C.VECTOR_LENGTH], "names": list(own)} for column, own in names.items()}
+        info = _folder(spark, "info")
+        text = json.dumps({"codebase_version": "v3.0", "features": features})
+        spark.createDataFrame([(text,)], "value string").write.text(info)
+        return info
+
+    output = _folder(spark, "augmented")
+    manifest = jobs.run_augmentation(spark, roots, output, info_path=describe(C.FEATURE_NAMES))
+    rows = sinks.read_published(spark, output)
+    layouts = [f.metadata.get("layout") == json.dumps(C.POSE_LAYOUT) for f in rows.schema if f.name.endswith("arm_local")]
+    contract = json.loads(manifest["details"])["feature_contract"]["status"]
+    counted = rows.groupBy(F.col("`geometry.valid_mask`").cast("bigint").alias("valid_mask")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.lit(contract).alias("contract"),
+        F.lit(all(layouts) and len(layouts) == len(C.LIMBS)).alias("described"),
+    )
+    swapped = {column: tuple(reversed(names)) for column, names in C.FEATURE_NAMES.items()}
+    refused = _refusal(spark, lambda: jobs.run_augmentation(spark, roots, _folder(spark, "refused"), info_path=describe(swapped)))
+    for change in ({"drop": "action"}, {"text": "observation.state"}):
+        odd = frames.where(F.col("index") % 10 == 3)
+        odd = odd.drop("action") if "drop" in change else odd.withColumn(change["text"], F.col(f"`{change['text']}`").cast("array<string>"))
+        root = _folder(spark, "frames")
+        frames.where(F.col("index") % 10 != 3).write.parquet(f"{root}/data/good")
+        odd.write.parquet(f"{root}/data/odd")
+        refused = refused.unionByName(_refusal(spark, lambda at=root: jobs.run_augmentation(spark, [at], _folder(spark, "refused"))))
+    return _job_rows(counted, refused)
+
+
+@query
+def frame_faults_by_file(spark, sf):
+    """Rows of a folder's files by what their own footers lack: most are sound, some have no ``action``, some
+    hold text, some have a fractional key."""
+    frames = fixtures.frames(spark, sf).select(
+        *C.FRAME_KEYS, *(F.col(alias).alias(name) for name, alias in C.FRAME_INPUT_COLUMNS.items())
+    )
+    root, kind = _folder(spark, "frames"), F.col("index") % 8
+    frames.where(kind < 5).write.parquet(f"{root}/sound")
+    frames.where(kind == 5).drop("action").write.parquet(f"{root}/bare")
+    frames.where(kind == 6).withColumn("action", F.col("action").cast("array<string>")).write.parquet(f"{root}/text")
+    frames.where(kind == 7).withColumn("index", F.col("index").cast("double")).write.parquet(f"{root}/fraction")
+    faults = frame_source.frame_file_faults(spark, root)
+    return faults.groupBy("fault").agg(F.sum("rows").alias("rows"))

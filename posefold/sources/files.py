@@ -54,7 +54,7 @@ def _hash_in_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _stream_digest(path: str) -> str:
     from pyarrow import fs
 
-    system, inner = fs.FileSystem.from_uri(_arrow_uri(path))
+    system, inner = fs.FileSystem.from_uri(arrow_uri(path))
     digest = hashlib.sha256()
     with system.open_input_stream(inner) as stream:
         while block := stream.read(_CHUNK):
@@ -62,7 +62,7 @@ def _stream_digest(path: str) -> str:
     return digest.hexdigest()
 
 
-def _arrow_uri(path: str) -> str:
+def arrow_uri(path: str) -> str:
     """Hadoop writes file:/x and s3a://; Arrow expects file:///x and s3://."""
     return re.sub(r"^file:/+", "file:///", re.sub(r"^s3[an]://", "s3://", path))
 
@@ -108,7 +108,7 @@ def range_digests(
 def _range_digest(path: str, begin: int, length: int) -> str:
     from pyarrow import fs
 
-    system, inner = fs.FileSystem.from_uri(_arrow_uri(path))
+    system, inner = fs.FileSystem.from_uri(arrow_uri(path))
     digest = hashlib.sha256()
     with system.open_input_file(inner) as file:
         file.seek(begin)

@@ -203,3 +203,34 @@ def test_source_changed_during_the_run_is_refused(spark, tmp_path, monkeypatch):
         jobs.run_augmentation(spark, [str(tmp_path / "a.parquet")], str(tmp_path / "out"))
     with pytest.raises(gates.Refused, match="no manifest"):
         sinks.read_published(spark, str(tmp_path / "out"))
+
+
+@pytest.mark.parametrize("odd, fault", [
+    ({"drop": ["action"]}, "missing required columns: action"),
+    ({"text": "observation.state"}, "observation.state must hold numbers"),
+    ({"float": "episode_index"}, "episode_index must be an integer"),
+])
+def test_every_file_of_a_folder_is_checked(spark, tmp_path, odd, fault):
+    """One of several files does not meet the contract: all are refused and that one is named, whichever Spark looks at."""
+    folder = tmp_path / "ds/data"
+    for i in range(6):
+        write_frames(folder / f"file-{i}.parquet")
+    path = folder / "file-3.parquet"
+    table = pq.read_table(path)
+    if "drop" in odd:
+        table = table.drop_columns(odd["drop"])
+    for name, kind in ((odd.get("text"), pa.list_(pa.string())), (odd.get("float"), pa.float64())):
+        if name:
+            at = table.schema.get_field_index(name)
+            column = table.column(name)
+            values = [[str(v) for v in row] if row is not None else None for row in column.to_pylist()] if "text" in odd else column.to_pylist()
+            table = table.set_column(at, name, pa.array(values, kind))
+    pq.write_table(table, path)
+    with pytest.raises(source.FrameSchemaError, match=f"file-3.parquet: {fault}"):
+        source.read_frames(spark, str(tmp_path / "ds"))
+    with pytest.raises(source.FrameSchemaError, match="file-3.parquet"):
+        jobs.run_augmentation(spark, [str(tmp_path / "ds")], str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+    (folder / "file-5.parquet").write_bytes(b"no table")
+    with pytest.raises(source.FrameSchemaError, match="and 1 more"):
+        source.read_frames(spark, str(tmp_path / "ds"))
