@@ -695,3 +695,23 @@ ORACLE_SQL["frame_faults_by_file"] = sql(
     "SELECT CASE WHEN source_row % 8 = 5 THEN 'missing required columns: action' WHEN source_row % 8 = 6 THEN 'action must hold numbers'"
     " WHEN source_row % 8 = 7 THEN 'index must be an integer, found double' END AS fault, count(*) AS rows FROM frm GROUP BY fault"
 )
+ORACLE_SQL["tangled_identities"] = sql(
+    """SELECT identity_group, count(*) AS rows, count(DISTINCT path) AS paths, count(DISTINCT source_uri) AS source_uris, count(DISTINCT sha256) AS sha256s
+FROM (SELECT path, source_uri, sha256, (SELECT min(least(b.p, b.u, b.s)) FROM reach r JOIN named b ON b.ep = r.b WHERE r.a = n.ep) AS identity_group FROM named n
+  WHERE ep IN (SELECT a FROM links)) GROUP BY identity_group""",
+    mixed="SELECT ep, path, CASE WHEN ep % 5 = 1 THEN 'fx://' || " + PATH.replace(TWO, TWO.replace("ep::", "(ep - 1)::")) + " ELSE source_uri END AS source_uri,"
+    " CASE WHEN ep % 9 IN (1, 2, 3) THEN sha256((ep // 9)::VARCHAR) ELSE lfs_oid END AS sha256 FROM eps",
+    named="SELECT *, CASE WHEN count(*) OVER (PARTITION BY path) > 1 THEN 'path=' || path END AS p, CASE WHEN count(*) OVER (PARTITION BY source_uri) > 1 THEN 'source_uri=' || source_uri END AS u,"
+    " CASE WHEN count(*) OVER (PARTITION BY sha256) > 1 THEN 'sha256=' || sha256 END AS s FROM mixed",
+    links="SELECT a.ep AS a, b.ep AS b FROM named a JOIN named b ON a.ep <> b.ep AND (a.path = b.path OR a.source_uri = b.source_uri OR a.sha256 = b.sha256)",
+    steps="SELECT a, b FROM links UNION SELECT ep, ep FROM named",
+    reach="SELECT DISTINCT x.a, w.b FROM steps x JOIN steps y ON y.a = x.b JOIN steps z ON z.a = y.b JOIN steps w ON w.a = z.b",
+)
+ORACLE_SQL["linked_rig_cohorts"] = sql(
+    f"""SELECT min(printf('%+07d,%+07d,%+07d', kx, ky, kz)) AS rig, count(DISTINCT (kx, ky, kz)) AS cohorts, count(*) AS files, sum(offset_count)::BIGINT AS pose_records,
+  {r('min(y)')} AS least_y, {r('max(y)')} AS most_y FROM cells WHERE offset_count > 0 GROUP BY round_even(y / 0.05, 0)
+UNION ALL SELECT NULL, 0, count(*), sum(offset_count)::BIGINT, NULL, NULL FROM cells WHERE offset_count = 0 HAVING count(*) > 0""",
+    moved="SELECT ep, offset_count, offset_mean_x AS x, offset_mean_y + CASE WHEN ep % 2 = 0 THEN 0.0051 ELSE 0.0049 END::DOUBLE AS y, offset_mean_z AS z"
+    " FROM right_ JOIN eps USING (source_uri)",
+    cells="SELECT *, round_even(x * 100, 0)::BIGINT AS kx, round_even(y * 100, 0)::BIGINT AS ky, round_even(z * 100, 0)::BIGINT AS kz FROM moved",
+)

@@ -9,7 +9,8 @@ from pyspark.sql.window import Window
 from posefold import contracts as C
 from posefold.functions.text import cohort_coordinate
 from posefold.operators.audit import OFFSET_AXES, RESIDUALS
-from posefold.operators.scale import lookup_join
+from posefold.operators.identities import linked_cells
+from posefold.operators.scale import cut_lineage, lookup_join
 
 
 def merge_offsets(topics: DataFrame, keys: list[str]) -> DataFrame:
@@ -96,6 +97,45 @@ def rig_cohorts(assigned: DataFrame) -> DataFrame:
     )
 
 
+LINK_GAP_M = 0.002
+
+
+def linked_cohorts(assigned: DataFrame, gap: float = LINK_GAP_M) -> DataFrame:
+    """One row per rig of linked cohorts: ``rig`` (its first cohort), cohorts, files, pose records, range.
+
+    A rounded mean puts 0.6049 and 0.6051 into two cohorts. Here neighbouring cohorts whose files' means come
+    within ``gap`` of each other on every axis are one rig; the rounded key stays on every file
+    (:func:`with_linked_cohort`). There are as many cells as rounded offsets, however many files.
+    """
+    rows = with_linked_cohort(assigned, gap)
+    return (
+        rows.groupBy("rig")
+        .agg(
+            F.count_distinct(*COHORT).alias("cohorts"),
+            F.count(F.lit(1)).alias("files"),
+            F.sum("offset_count").alias("pose_records"),
+            *(f(f"offset_mean_{a}").alias(f"{n}_{a}") for a in OFFSET_AXES for n, f in (("least", F.min), ("most", F.max))),
+        )
+        .orderBy("rig")
+    )
+
+
+def with_linked_cohort(assigned: DataFrame, gap: float = LINK_GAP_M) -> DataFrame:
+    """Add ``rig``, the name of the linked cohorts a file belongs to; null where nothing was observed."""
+    scale = 10**C.COHORT_DECIMALS
+    places = {a: F.round(F.col(f"cohort_{a}") * scale).cast("bigint") for a in OFFSET_AXES}
+    name = F.concat_ws(",", *(F.format_string("%+07d", place) for place in places.values()))
+    named = assigned.withColumn("cell", F.when(F.col("offset_count") > 0, name))
+    axes, low, high = ([f"{n}_{a}" for a in OFFSET_AXES] for n in ("place", "low", "high"))
+    cells = named.where("cell IS NOT NULL").groupBy("cell").agg(
+        *(F.min(places[a]).alias(f"place_{a}") for a in OFFSET_AXES),
+        *(F.min(f"offset_mean_{a}").alias(f"low_{a}") for a in OFFSET_AXES),
+        *(F.max(f"offset_mean_{a}").alias(f"high_{a}") for a in OFFSET_AXES),
+    )
+    linked = linked_cells(cut_lineage(cells, "cells"), axes, low, high, 1 / scale, gap)
+    return lookup_join(named, linked.withColumnRenamed("component", "rig"), ["cell"], derived=True).drop("cell")
+
+
 def cohort_tasks(assigned: DataFrame) -> DataFrame:
     """Tasks of each cohort with their number of files: the sorted task list with repeats, stored as
     counts so that no list grows with the number of files."""

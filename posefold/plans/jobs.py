@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from posefold import contracts as C
 from posefold.functions.kinematics import ChainKinematics, ChainModel
-from posefold.operators import audit, augment, cohorts, corpus, gates, inventory, reconcile, recovery
+from posefold.operators import audit, augment, cohorts, corpus, gates, identities, inventory, reconcile, recovery
 from posefold.operators.scale import cut_lineage, tidy
 from posefold.sources import frames as frame_source
 from posefold.sources import sinks, store
@@ -201,6 +201,7 @@ def run_recovery(
     audited: DataFrame | None = None,
     limits: ChainModel | None = None,
     per_source_counts: bool = True,
+    require_untangled: bool = False,
 ) -> dict:
     """Write the keyed recovery sidecar.
 
@@ -212,18 +213,19 @@ def run_recovery(
     messages``) holds every source to the rows an audit counted in it. ``limits`` names a model outside
     whose declared joint ranges no pose is derived. Total status counts are observed by the write; with
     ``per_source_counts`` the source and status columns, and they alone, are read back for those of each source.
+    With ``require_untangled`` paths and URIs that are used twice refuse the run by whole groups.
     """
     spark = messages.sparkSession
     with tidy(spark):
         return _recover(
             spark, messages, sources, output, kinematics, sessions, require_recovery_only, dataset_id, revision,
-            source_files, overwrite, audited, limits, per_source_counts,
+            source_files, overwrite, audited, limits, per_source_counts, require_untangled,
         )
 
 
 def _recover(
     spark, messages, sources, output, kinematics, sessions, require_recovery_only, dataset_id, revision,
-    source_files, overwrite, audited, limits, per_source_counts,
+    source_files, overwrite, audited, limits, per_source_counts, require_untangled,
 ) -> dict:
     kinematics = kinematics or ChainKinematics()
     sinks.check_output(output, list(source_files))
@@ -236,6 +238,8 @@ def _recover(
     identity = inventory.source_identity(
         unique.select("source_uri", "expected_sha256", "expected_size_bytes"), unique
     )
+    if require_untangled:
+        identities.require_untangled(sources)
     facts = cut_lineage(recovery.message_facts(messages), "facts")
     strangers = facts.join(unique.select("source_uri"), "source_uri", "left_anti")
     promised = audited if audited is not None else facts.select("source_uri", F.col("rows").alias("messages"))

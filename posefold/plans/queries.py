@@ -20,7 +20,7 @@ from posefold.functions import text as X
 from posefold.functions.kinematics import SIX_JOINT_ARM, ChainKinematics, FunctionKinematics
 from posefold.functions.rotation import matrix_from_quaternion
 from posefold.functions.spans import end_of_span
-from posefold.operators import accounting, audit, augment, cohorts, corpus, difference, gates, inventory
+from posefold.operators import accounting, audit, augment, cohorts, corpus, difference, gates, identities, inventory
 from posefold.operators import reconcile, recovery, series, sketches
 from posefold.operators.scale import checkpoint_root, cut_lineage, hold
 from posefold.plans import jobs
@@ -876,6 +876,34 @@ def _last_clean_sequence(messages: DataFrame) -> int:
     return rows.where("pose_status = 'intact'").agg(F.max("sequence")).first()[0]
 
 
+@query
+def tangled_identities(spark, sf):
+    """Groups of sources that hang together: every fifth file takes its neighbour's URI, and of nine in a row
+    two have the digest of the one before; files with names of their own are in none."""
+    sources = fixtures.source_table(spark, sf)
+    number = episode_number("path")
+    taken = F.expr(fixtures.source_uri_of(fixtures.file_path(f"({number_text('path')} - 1)")))
+    digest = F.when((number % 9).isin(2, 3), F.sha2(F.expr(f"cast({number_text('path')} DIV 9 AS string)"), 256))
+    mixed = sources.withColumns(
+        {
+            "source_uri": F.when(number % 5 == 1, taken).otherwise(F.col("source_uri")),
+            "sha256": F.coalesce(digest, F.when(number % 9 == 1, F.sha2(F.expr(f"cast({number_text('path')} DIV 9 AS string)"), 256)), "sha256"),
+        }
+    )
+    groups = identities.tangled_groups(mixed)
+    return identities.group_facts(groups)
+
+
+@query
+def linked_rig_cohorts(spark, sf):
+    """Rigs of files whose mean offsets lie on both sides of a cell's edge, beside the cohorts they round to."""
+    offsets = cohorts.observed_right_offsets(_topics(spark, sf))
+    side = F.when(episode_number() % 2 == 0, 0.0051).otherwise(0.0049)
+    moved = offsets.withColumn("offset_mean_y", F.col("offset_mean_y") + side)
+    rigs = cohorts.linked_cohorts(cohorts.assign_cohorts(moved))
+    return round_all(rigs.select("rig", "cohorts", "files", "pose_records", "least_y", "most_y"))
+
+
 # --- jobs ----------------------------------------------------------------------------------------
 
 
