@@ -715,3 +715,8 @@ UNION ALL SELECT NULL, 0, count(*), sum(offset_count)::BIGINT, NULL, NULL FROM c
     " FROM right_ JOIN eps USING (source_uri)",
     cells="SELECT *, round_even(x * 100, 0)::BIGINT AS kx, round_even(y * 100, 0)::BIGINT AS ky, round_even(z * 100, 0)::BIGINT AS kz FROM moved",
 )
+ORACLE_SQL["file_skipping"] = sql(
+    f"SELECT topic, half, count(*) FILTER (half = 'all' OR (half = 'first') = (log_time_ns < middle)) AS n, 0::BIGINT AS in_vain, true AS some_stay_closed"
+    f" FROM (SELECT topic, log_time_ns, (min(log_time_ns) OVER () + max(log_time_ns) OVER ()) // 2 AS middle FROM msg WHERE ep % 5 <> 4), (SELECT unnest(['all', 'first', 'second']) AS half)"
+    f" WHERE topic IN ({TOPIC_LIST}) GROUP BY topic, half"
+)

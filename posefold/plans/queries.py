@@ -25,7 +25,7 @@ from posefold.operators import reconcile, recovery, series, sketches
 from posefold.operators.scale import checkpoint_root, cut_lineage, hold
 from posefold.plans import jobs
 from posefold.plans.jobs import corpus_evidence
-from posefold.sources import fixtures, sinks, store
+from posefold.sources import fixtures, sinks, skipping, store
 from posefold.sources import frames as frame_source
 from posefold.sources import inventory as inventory_source
 from posefold.sources.files import file_fingerprints
@@ -1187,3 +1187,31 @@ def frame_faults_by_file(spark, sf):
     frames.where(kind == 7).withColumn("index", F.col("index").cast("double")).write.parquet(f"{root}/fraction")
     faults = frame_source.frame_file_faults(spark, root)
     return faults.groupBy("fault").agg(F.sum("rows").alias("rows"))
+
+
+@query
+def file_skipping(spark, sf):
+    """Messages of each topic, and of one half of the time, from the files that hold any: rows found, files that
+    were opened in vain, and whether any was left closed. The last files are indexed in a second run."""
+    folder, index = _folder(spark, "messages"), _folder(spark, "index")
+    messages = fixtures.arm_messages(spark, sf, clean_only=True)
+    stays = F.col("sequence") % 10 != 0
+    for part in (messages.where(stays), messages.where(~stays)):
+        part.repartitionByRange(8, "topic", "log_time_ns").write.mode("append").parquet(folder)
+        skipping.index_files(spark, folder, index)
+    files = spark.read.parquet(folder).select(F.col("_metadata.file_path").alias("file")).distinct().count()
+    times = messages.agg(F.min("log_time_ns").alias("low"), F.max("log_time_ns").alias("high")).first()
+    middle = (int(times["low"]) + int(times["high"])) // 2
+    found = None
+    for topic in C.ARM_TOPICS:
+        for half, options in (("all", {}), ("first", {"until_ns": middle}), ("second", {"since_ns": middle})):
+            rows = skipping.read_needed(spark, folder, index, (topic,), **options)
+            opened = len(rows.inputFiles())
+            named = rows.select(F.input_file_name().alias("file"))
+            useful = named.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("file").alias("files"))
+            line = useful.select(
+                F.lit(topic).alias("topic"), F.lit(half).alias("half"), "n", (F.lit(opened) - F.col("files")).alias("in_vain"),
+                F.lit(opened < files).alias("some_stay_closed"),
+            )
+            found = line if found is None else found.unionByName(line)
+    return found
