@@ -57,6 +57,8 @@ _TOKEN = re.compile(
     r"|<[/!?a-zA-Z][^>]*>|([^<]+|<)",
     re.I | re.S,
 )
+#: What follows the last ">": text, and a comment that is never closed.
+_REST = re.compile(r"<!--.*|(?!)()()()()|([^<]+|<)", re.S)
 SMOOTHING = 1.0
 MOST = 8.0
 TAG_COST = 0.5
@@ -73,16 +75,38 @@ class Piece:
         self.breaks, self.dropped, self.marked = breaks, dropped, marked
 
 
+def _tokens(page: str) -> Iterator[re.Match]:
+    """Tags, text and what is neither. Behind the last ">" nothing is a tag, however often one begins, so no
+    tag is looked for there; a comment or raw element that is never closed takes all that follows it."""
+    end, last = page.rfind(">") + 1, None
+    for last in _TOKEN.finditer(page, 0, end):
+        yield last
+    if last is not None:
+        unclosed = last[0].startswith("<!--") and not (len(last[0]) >= 7 and last[0].endswith("-->"))
+        if unclosed or last[1] and not re.search(rf"</{last[1]}\s*>\Z", last[0], re.I):
+            return
+    yield from _REST.finditer(page, end)
+
+
 def read(page: str) -> list[Piece]:
     """The page's pieces. Unclosed elements end with what holds them, stray end tags are skipped."""
     out: list[Piece] = []
     stack: list[tuple[str, str, bool]] = []  # name, kind, dropped
+    opened: Counter = Counter()  # how often each name is in the stack
     marked = links = 0
 
     def state() -> tuple[str, bool]:
         return (stack[-1][1], stack[-1][2]) if stack else ("flow", False)
 
-    for match in _TOKEN.finditer(page):
+    def push(entry: tuple[str, str, bool]) -> None:
+        stack.append(entry)
+        opened[entry[0]] += 1
+
+    def cut(depth: int) -> None:
+        opened.subtract(n for n, _, _ in stack[depth:])
+        del stack[depth:]
+
+    for match in _tokens(page):
         raw, closing, name, attributes, text = match.groups()
         kind, dropped = state()
         if text is not None:
@@ -95,12 +119,12 @@ def read(page: str) -> list[Piece]:
             continue  # comments, raw elements, declarations
         name = name.lower()
         if stack and stack[-1][0] == "p" and name in BLOCKS and name != "br":
-            stack.pop()  # a paragraph ends where the next block begins or its parent ends
+            cut(len(stack) - 1)  # a paragraph ends where the next block begins or its parent ends
             kind, dropped = state()
-        if not closing and name in ENDS:
+        if not closing and name in ENDS and any(opened[n] for n in ENDS[name]):
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] in ENDS[name]:
-                    del stack[depth:]
+                    cut(depth)
                     kind, dropped = state()
                     break
                 if stack[depth][0] in BLOCKS and stack[depth][0] not in ("div", "p", "address"):
@@ -108,11 +132,10 @@ def read(page: str) -> list[Piece]:
         if name in MARKED:
             marked = max(0, marked + (-1 if closing else 1))
             if closing:
-                names = [n for n, _, _ in stack]
-                if name in names:
-                    del stack[names.index(name) :]
+                if opened[name]:
+                    cut(next(i for i, (n, _, _) in enumerate(stack) if n == name))
             else:
-                stack.append((name, "flow", False))
+                push((name, "flow", False))
             out.append(Piece("", 0, "", True, dropped, False))
             continue
         if name == "a":
@@ -126,17 +149,16 @@ def read(page: str) -> list[Piece]:
                 if not (name in HEADINGS and which.lower() == "id")
             )
         if closing:
-            if name in CONTAINERS or any(n == name for n, _, _ in stack):
-                depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-                if depth is not None:
-                    marked -= min(marked, sum(n in MARKED for n, _, _ in stack[depth:]))
-                    del stack[depth:]
+            if opened[name]:
+                depth = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name)
+                marked -= min(marked, sum(n in MARKED for n, _, _ in stack[depth:]))
+                cut(depth)
         elif name in CONTAINERS or hinted and name not in ("br", "hr", "img", "input", "meta", "link", "html"):
             if not attributes.endswith("/"):
                 off = name in DROPPED or hinted or name == "head" or name == "header" and not marked
                 own = name if off and not hinted else "hinted" if hinted else kind if name in ("div", "section", "body") else name
                 begins = off
-                stack.append((name, "flow" if own in ("figure", "details", "table", "ul", "ol", "dl") and not dropped else own, dropped or off))
+                push((name, "flow" if own in ("figure", "details", "table", "ul", "ol", "dl") and not dropped else own, dropped or off))
         known = name if name in BLOCKS or name in INLINE else "other"
         out.append(Piece(f"tag:{'/' * bool(closing)}{known}", 1, "", name in BLOCKS, dropped or begins, marked > 0))
     return out

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 from itertools import combinations
 
 import pytest
@@ -105,3 +106,25 @@ def test_an_advert_cuts_nothing_off_an_unmarked_page(advert):
     page = f"<body><h1>A title</h1>{advert}<p>{LONG}</p>{advert}<p>The end.</p></body>"
     assert main_text(page, WEIGHT) == f"A title\n{LONG}\nThe end."
     assert main_text(f"<body>{advert}<p>{LONG}</p>{advert}</body>", WEIGHT) == LONG
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 300_000, '<a "' * 250_000, "<div>" * 100_000 + "</b>" * 100_000, "<div>" * 60_000 + "<li>x</li>" * 60_000, "<div>" * 60_000 + "</article>" * 60_000,
+     "<script " * 100_000, "<!--" * 200_000, "<article>" * 60_000 + "<td>" * 60_000, "<" * 500_000],
+)
+def test_broken_pages_take_linear_time(page):
+    begin = time.process_time()
+    half = read(page[: len(page) // 2])
+    middle = time.process_time()
+    whole = read(page)
+    assert len(whole) >= len(half) and time.process_time() - middle < 5 * (middle - begin) + 1
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [("<p>a</p><script>if (a > b", "a"), ("<p>a</p><script>if (a > b) x", "a"), ("<p>a</p><!-- b > c", "a"), ("<p>a</p><!-- b", "a"), ("<p>a</p><!-- b --> c", "a c"),
+     ("<p>a</p>b <p unfinished", "a b <p unfinished"), ("a < b", "a < b"), ("<p>a</p><script>x</script>b", "a b"), ("", "")],
+)
+def test_what_follows_the_last_tag(page, want):
+    assert " ".join("".join(p.text or " " for p in read(page)).split()) == want
