@@ -720,3 +720,4 @@ ORACLE_SQL["file_skipping"] = sql(
     f" FROM (SELECT topic, log_time_ns, (min(log_time_ns) OVER () + max(log_time_ns) OVER ()) // 2 AS middle FROM msg WHERE ep % 5 <> 4), (SELECT unnest(['all', 'first', 'second']) AS half)"
     f" WHERE topic IN ({TOPIC_LIST}) GROUP BY topic, half"
 )
+ORACLE_SQL["audit_of_record_files"] = ORACLE_SQL["file_audit_verdict"]

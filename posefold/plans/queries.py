@@ -25,7 +25,7 @@ from posefold.operators import reconcile, recovery, series, sketches
 from posefold.operators.scale import checkpoint_root, cut_lineage, hold
 from posefold.plans import jobs
 from posefold.plans.jobs import corpus_evidence
-from posefold.sources import fixtures, sinks, skipping, store
+from posefold.sources import fixtures, records, sinks, skipping, store
 from posefold.sources import frames as frame_source
 from posefold.sources import inventory as inventory_source
 from posefold.sources.files import file_fingerprints
@@ -848,17 +848,19 @@ def planted_canaries(spark, sf):
 
 @query
 def content_digest_stable(spark, sf):
-    """Digests of the statuses: derived twice under different partitionings they agree, and one changed
-    row makes another digest."""
+    """Digests of statuses and derived poses: derived twice under different partitionings they agree, and one
+    joint moved a little, which changes no status, makes another digest."""
 
     def digest(messages: DataFrame, variant: str) -> DataFrame:
         rows = recovery.with_statuses(recovery.target_messages(messages))
-        kept = rows.select("source_uri", "topic", "sequence", *recovery.STATUSES, "status_mask")
+        poses = [rounded(f"fk_{name}").alias(f"fk_{name}") for name in ("x", "y", "z", "qw", "qx", "qy", "qz")]
+        kept = rows.select("source_uri", "topic", "sequence", *recovery.STATUSES, "status_mask", *poses)
         return tag(gates.content_digest(kept), variant)
 
     messages = fixtures.arm_messages(spark, sf)
+    here = F.col("sequence") == F.lit(_last_clean_sequence(messages))
     changed = messages.withColumn(
-        "pose", F.when(F.col("sequence") != F.lit(_last_clean_sequence(messages)), F.col("pose"))
+        "position", F.when(here, F.transform("position", lambda q: q + 0.001)).otherwise(F.col("position"))
     )
     several = (
         digest(messages, "first")
@@ -1215,3 +1217,12 @@ def file_skipping(spark, sf):
             )
             found = line if found is None else found.unionByName(line)
     return found
+
+
+@query
+def audit_of_record_files(spark, sf):
+    """The file audit over raw record files: undecodable messages are records whose payload does not check out."""
+    folder = _folder(spark, "records")
+    records.write_records(fixtures.arm_messages(spark, sf), folder)
+    messages = records.read_records(spark, folder, split_bytes=1 << 20)
+    return audit.file_audit(audit.topic_audit(audit.score_messages(messages)))
