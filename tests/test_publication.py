@@ -32,7 +32,9 @@ def scans_of(spark, folder, since):
     """SQL executions after ``since`` whose plan scans ``folder``, by what they scan."""
     found = []
     executions = spark._jsparkSession.sharedState().statusStore().executionsList()
-    for i in range(since, executions.size()):
+    for i in range(executions.size()):
+        if executions.apply(i).executionId() <= since:
+            continue
         plan = executions.apply(i).physicalPlanDescription()
         if any(line.startswith("Location") and folder in line for line in plan.splitlines()):
             found.append("binary" if "Scan binaryFile" in plan else "rows")
@@ -40,8 +42,10 @@ def scans_of(spark, folder, since):
 
 
 def executions(spark):
+    """The last SQL execution so far; the store keeps the newest only."""
     spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-    return spark._jsparkSession.sharedState().statusStore().executionsList().size()
+    listed = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return max((listed.apply(i).executionId() for i in range(listed.size())), default=-1)
 
 
 @pytest.mark.parametrize("per_source", [True, False])
