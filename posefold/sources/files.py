@@ -120,8 +120,13 @@ def _range_digest(path: str, begin: int, length: int) -> str:
 
 def digest_tree(ranges: DataFrame, order: list[str], fan: int = FAN) -> list[DataFrame]:
     """Levels of ``pos, sha256`` over the ranges in order, lowest (with its ``order`` columns) first, root last."""
-    keyed = ranges.withColumn("_all", F.lit(0))
-    lowest = ordinal_within(keyed, ["_all"], list(order), "pos").select(*order, "pos", "sha256")
+    if ranges.limit(fan + 1).count() <= fan:  # one run: at most ``fan`` lines are gathered
+        run = ranges.agg(F.sort_array(F.collect_list(F.struct(*order, "sha256"))).alias("run"))
+        lowest = run.select(F.posexplode("run").alias("pos", "e")).select("e.*", F.col("pos").cast("bigint").alias("pos"))
+    else:
+        keyed = ranges.withColumn("_all", F.lit(0))
+        lowest = ordinal_within(keyed, ["_all"], list(order), "pos")
+    lowest = lowest.select(*order, "pos", "sha256")
     levels = [cut_lineage(lowest, "digests")]
     while (top := levels[-1].agg(F.max("pos")).first()[0]) is not None and top > 0:
         runs = levels[-1].select("pos", "sha256").groupBy(F.expr(f"pos DIV {fan}").alias("pos"))
