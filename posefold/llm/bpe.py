@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from itertools import chain, filterfalse
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -87,11 +88,13 @@ class PieceEncoder:
                 begin = stop
         return out
 
-    def _learn(self, unknown: set[str]) -> None:
-        """Put words that the young generation lacks into it. Those that are empty or end in white space
-        get none: a cut after them is not proven."""
+    def _learn(self, split: list[list[str]]) -> None:
+        """Put the words that are new into the young generation. Those that are empty or end in
+        white space get none: a cut after them is not proven."""
+        unknown = set(filterfalse(self._young.__contains__, chain.from_iterable(split)))
         if len(self._young) + len(unknown) > GENERATION:
             self._old, self._young = self._young, {}
+            unknown = set(chain.from_iterable(split))
         young, old = self._young, self._old
         fresh, stopped = set(), []
         for word in unknown:
@@ -137,20 +140,17 @@ class PieceEncoder:
 
     def _encode(self, split: list[list[str]]) -> list[bytes]:
         heads = [words.pop(0) for words in split]
-        # Every word is looked up once; the memo is large, and a look into it costs more than the rest.
-        of = self._young.get
-        found = [list(map(of, words)) for words in split]
-        holes = [[i for i, ids in enumerate(own) if ids is None] for own in found]
-        self._learn({words[i] for words, own in zip(split, holes) for i in own})
-        of = self._young.get
+        self._learn(split)
+        of = self._young.__getitem__
         out = []
-        for head, first, words, ids, own in zip(heads, self._ids(heads), split, found, holes):
-            for i in own:
-                ids[i] = of(words[i])
-            if words and (not head or head[-1].isspace()) or any(ids[i] is None for i in own):
+        for head, ids, words in zip(heads, self._ids(heads), split):
+            if words and (not head or head[-1].isspace()):
+                out.append(self._by_proven_cuts(" ".join([head, *words])))
+                continue
+            try:
+                out.append(ids + b"".join(map(of, words)))
+            except TypeError:
                 out.append(self._by_proven_cuts(" ".join([head, *words])))
-            else:
-                out.append(first + b"".join(ids))
         return out
 
     def _by_proven_cuts(self, text: str) -> bytes:
