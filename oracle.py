@@ -708,12 +708,17 @@ FROM (SELECT path, source_uri, sha256, (SELECT min(least(b.p, b.u, b.s)) FROM re
     reach="SELECT DISTINCT x.a, w.b FROM steps x JOIN steps y ON y.a = x.b JOIN steps z ON z.a = y.b JOIN steps w ON w.a = z.b",
 )
 ORACLE_SQL["linked_rig_cohorts"] = sql(
-    f"""SELECT min(printf('%+07d,%+07d,%+07d', kx, ky, kz)) AS rig, count(DISTINCT (kx, ky, kz)) AS cohorts, count(*) AS files, sum(offset_count)::BIGINT AS pose_records,
-  {r('min(y)')} AS least_y, {r('max(y)')} AS most_y FROM cells WHERE offset_count > 0 GROUP BY round_even(y / 0.05, 0)
+    f"""SELECT rig, count(DISTINCT name) AS cohorts, count(*) AS files, sum(offset_count)::BIGINT AS pose_records, {r('min(y)')} AS least_y, {r('max(y)')} AS most_y
+FROM cells JOIN (SELECT a AS name, min(b) AS rig FROM reach GROUP BY a) USING (name) WHERE offset_count > 0 GROUP BY rig
 UNION ALL SELECT NULL, 0, count(*), sum(offset_count)::BIGINT, NULL, NULL FROM cells WHERE offset_count = 0 HAVING count(*) > 0""",
     moved="SELECT ep, offset_count, offset_mean_x AS x, offset_mean_y + CASE WHEN ep % 2 = 0 THEN 0.0051 ELSE 0.0049 END::DOUBLE AS y, offset_mean_z AS z"
     " FROM right_ JOIN eps USING (source_uri)",
-    cells="SELECT *, round_even(x * 100, 0)::BIGINT AS kx, round_even(y * 100, 0)::BIGINT AS ky, round_even(z * 100, 0)::BIGINT AS kz FROM moved",
+    places="SELECT *, round_even(x * 100, 0)::BIGINT AS kx, round_even(y * 100, 0)::BIGINT AS ky, round_even(z * 100, 0)::BIGINT AS kz FROM moved",
+    cells="SELECT *, printf('%+07d,%+07d,%+07d', kx, ky, kz) AS name FROM places",
+    boxes="SELECT name, kx, ky, kz, min(x) AS lox, max(x) AS hix, min(y) AS loy, max(y) AS hiy, min(z) AS loz, max(z) AS hiz FROM cells WHERE offset_count > 0 GROUP BY ALL",
+    steps="SELECT a.name AS a, b.name AS b FROM boxes a JOIN boxes b ON abs(a.kx - b.kx) <= 1 AND greatest(a.lox - b.hix, b.lox - a.hix) <= 0.002 AND abs(a.ky - b.ky) <= 1 AND greatest(a.loy - b.hiy, b.loy - a.hiy) <= 0.002 AND abs(a.kz - b.kz) <= 1 AND greatest(a.loz - b.hiz, b.loz - a.hiz) <= 0.002",
+    twice="SELECT DISTINCT x.a, y.b FROM steps x JOIN steps y ON y.a = x.b",
+    reach="SELECT DISTINCT x.a, y.b FROM twice x JOIN twice y ON y.a = x.b",
 )
 ORACLE_SQL["file_skipping"] = sql(
     f"SELECT topic, half, count(*) FILTER (half = 'all' OR (half = 'first') = (log_time_ns < middle)) AS n, 0::BIGINT AS in_vain, true AS some_stay_closed"
