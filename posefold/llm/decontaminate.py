@@ -10,6 +10,7 @@ Benchmark items travel to the documents in blocks of bounded size, so that no do
 
 from __future__ import annotations
 
+import heapq
 import string
 import uuid
 from collections.abc import Iterator
@@ -26,6 +27,8 @@ from posefold.llm.common import filtered, slices, stage, text_or_empty
 LEAST_MATCH = 4
 COVERAGE = 0.6
 FIRST_SEARCH = 32
+#: Pairs of places that wait in memory at once; the result does not depend on it.
+MOST_MATCHES = 100_000
 BLOCK_BYTES = 8_000_000
 RESULT = (
     "id {}, item_id bigint, item_tokens int, covered_tokens int, coverage double,"
@@ -66,59 +69,81 @@ class Rolling:
 def greedy_tiles(item: np.ndarray, text: np.ndarray, least: int, first: int = FIRST_SEARCH) -> list[tuple[int, int, int]]:
     """``(item_start, text_start, length)`` of greedy string tiling; negative tokens match nothing.
 
-    Longer matches are marked before shorter ones; of equal ones the first in the item, then in the text.
+    Always the longest match of unmarked tokens is marked next; of equal ones the first in the item, then
+    in the text. Matches that share windows of the search length wait in a heap by length; one that an
+    earlier tile has cut short goes back with what is left of it. Where a passage repeats so often that
+    ``MOST_MATCHES`` would wait, ``_longest`` finds one match after another in memory of one row.
     """
     a, b = item.tolist(), text.tolist()
-    marked_a, marked_b = [False] * len(a), [x < 0 for x in b]
+    marked_a, marked_b = np.zeros(len(a), dtype=bool), text < 0
     rolling_a, rolling_b = Rolling(item), Rolling(text)
     tiles, search = [], max(least, min(first, len(a)))
+
+    def extent(i: int, j: int) -> int:
+        length = 0
+        while (
+            i + length < len(a) and j + length < len(b) and a[i + length] == b[j + length]
+            and not marked_a[i + length] and not marked_b[j + length]
+        ):
+            length += 1
+        return length
+
+    def mark(i: int, j: int, length: int) -> None:
+        marked_a[i : i + length] = marked_b[j : j + length] = True
+        tiles.append((i, j, length))
+
     while True:
-        where: dict[int, list[int]] = {}
-        wanted = rolling_a.windows(search)
+        wanted = np.where(_free(marked_a, search), rolling_a.windows(search), 0)
         have = rolling_b.windows(search)
-        for place in np.flatnonzero(np.isin(have, wanted)).tolist():
-            if not any(marked_b[place : place + search]):
-                where.setdefault(int(have[place]), []).append(place)
-        matches, longest = [], 0
-        for i, code in enumerate(wanted.tolist()):
-            if any(marked_a[i : i + search]):
+        places = np.flatnonzero(np.isin(have, wanted) & _free(marked_b, search))
+        codes, times = np.unique(have[places], return_counts=True)
+        spots = np.searchsorted(codes, wanted)
+        known = spots < len(codes)
+        known[known] = codes[spots[known]] == wanted[known]
+        if times[spots[known]].sum() > MOST_MATCHES:
+            while (found := _longest(item, text, marked_a, marked_b))[2] >= search:
+                mark(*found)
+        else:
+            where: dict[int, list[int]] = {}
+            for place, code in zip(places.tolist(), have[places].tolist()):
+                where.setdefault(code, []).append(place)
+            starts = np.flatnonzero(known)
+            waiting = [(-extent(i, j), i, j) for i, code in zip(starts.tolist(), wanted[starts].tolist()) for j in where[code]]
+            waiting = [match for match in waiting if -match[0] >= search]
+            if waiting and -min(waiting)[0] > 2 * search:
+                search = -min(waiting)[0]
                 continue
-            for j in where.get(code, ()):
-                length = 0
-                while (
-                    i + length < len(a) and j + length < len(b) and a[i + length] == b[j + length]
-                    and not marked_a[i + length] and not marked_b[j + length]
-                ):
-                    length += 1
-                if length >= search:
-                    matches.append((-length, i, j))
-                    longest = max(longest, length)
-        if longest > 2 * search:
-            search = longest
-            continue
-        for length, i, j in sorted(matches):
-            length = -length
-            # What an earlier tile has taken shortens a match; its rest is found again at its own length.
-            if any(marked_a[i : i + length]) or any(marked_b[j : j + length]):
-                continue
-            marked_a[i : i + length] = marked_b[j : j + length] = [True] * length
-            tiles.append((i, j, length))
-        if any(any(marked_a[i : i - n]) or any(marked_b[j : j - n]) for n, i, j in matches) and _remains(matches, marked_a, marked_b, search):
-            continue
+            heapq.heapify(waiting)
+            while waiting:
+                length, i, j = heapq.heappop(waiting)
+                if (left := extent(i, j)) == -length:
+                    mark(i, j, left)
+                elif left >= search:
+                    heapq.heappush(waiting, (-left, i, j))
         if search == least:
             return tiles
         search = max(least, search // 2)
 
 
-def _remains(matches, marked_a, marked_b, search: int) -> bool:
-    """Whether some match still has an unmarked run of the search length."""
-    for n, i, j in matches:
-        run = 0
-        for k in range(-n):
-            run = 0 if marked_a[i + k] or marked_b[j + k] else run + 1
-            if run >= search:
-                return True
-    return False
+def _free(marked: np.ndarray, width: int) -> np.ndarray:
+    """Whether each window of the width is unmarked throughout."""
+    taken = np.concatenate([[0], np.cumsum(marked)])
+    return taken[width:] == taken[: max(0, len(taken) - width)]
+
+
+def _longest(item: np.ndarray, text: np.ndarray, marked_a: np.ndarray, marked_b: np.ndarray) -> tuple[int, int, int]:
+    """The first longest match of unmarked tokens: a row of match lengths an item token, the last one first."""
+    open_text = np.where(marked_b, -1, text)
+    after, best = np.zeros(len(text) + 1, dtype=np.int32), (0, 0, 0)
+    for i in range(len(item) - 1, -1, -1):
+        lengths = np.zeros(len(text) + 1, dtype=np.int32)
+        if not marked_a[i]:
+            np.multiply(after[1:] + 1, open_text == item[i], out=lengths[:-1])
+            j = int(lengths.argmax())
+            if lengths[j] and lengths[j] >= best[2]:
+                best = (i, j, int(lengths[j]))
+        after = lengths
+    return best
 
 
 class Index:
@@ -171,8 +196,10 @@ class Index:
     def _tile(self, item: int, places: np.ndarray, codes: np.ndarray, coverage: float):
         item_id, wanted, width = self.items[item]
         # Tiles lie where seeds of this item do; the other tokens are left out, with a gap for each stretch.
-        spans = places[:, None] + np.arange(width)
-        kept = np.unique(spans)
+        inside = np.zeros(len(codes), dtype=bool)
+        for k in range(width):
+            inside[places + k] = True
+        kept = np.flatnonzero(inside)
         gaps = np.flatnonzero(np.diff(kept) > 1) + 1
         near = np.insert(codes[kept], gaps, -1)
         back = np.insert(kept, gaps, -1)
