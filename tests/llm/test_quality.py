@@ -5,14 +5,23 @@ import zlib
 import numpy as np
 import pytest
 
-from posefold.llm.quality import classify, dual_coordinate_descent, indicators, log_count_ratio, shape
+from posefold.llm.quality import classify, dual_coordinate_descent, indicators, log_count_ratio, shape, words_of
 
 
-@pytest.mark.parametrize("word,want", [("The", "Aa"), ("THE!!", "AA!!"), ("a***", "a**"), ("|", "|"), ("x9,", "a9,")])
+@pytest.mark.parametrize("word,want", [("The", "Aa"), ("THE!!", "AA!!"), ("a***", "a**"), ("|", "|"), ("x9,", "a9,"), ("aA1b2c3d4e5,f", "aA9a9a9a9a9,a")])
 def test_shape(word, want):
     assert shape(word) == want
 
 
+def test_whole_texts_without_spaces():
+    long = "a" * 64 + "!!!"
+    assert words_of(f"one {'b' * 64} two") == ["one", "b" * 64, "two"]
+    assert words_of(long) == ["aa"] * 63 + ["a!", "!!", "!!"]
+    assert set(indicators(long)) != set(indicators("a" * 64)) != set(indicators("a" * 65))
+    head = "字" * 5000
+    assert set(indicators(head)) < set(indicators(head + "尾"))
+
+
 def test_blocks_do_not_change_features(monkeypatch):
     text = "One two, three THREE three three!! 44 | | x " * 30
     whole = indicators(text)
@@ -81,3 +90,31 @@ def test_held_out_accuracy(spark):
     assert len(rows) > 500
     assert sum(a == b for a, b in rows) / len(rows) > 0.97
     assert sum(b for a, b in rows if a) / sum(a for a, _ in rows) > 0.99
+
+
+def brute(rows, labels, bits):
+    """Scores by plain Python: counts over all labelled training rows, then one fit on their indicators."""
+    train = [(d, t) for d, t in rows if d in labels and zlib.crc32(str(d).encode()) % 5]
+    counts = np.zeros((2, 1 << bits))
+    for d, t in train:
+        for f in set(indicators(t, bits).tolist()):
+            counts[labels[d], f] += 1
+    ratio = log_count_ratio(counts[1], counts[0])
+    weights, bias = dual_coordinate_descent(
+        [indicators(t, bits) for _, t in train], np.array([1.0 if labels[d] else -1.0 for d, _ in train]), ratio, epochs=60
+    )
+    return {d: weights[indicators(t, bits)].sum() + bias for d, t in rows}
+
+
+def test_scores_order_documents_as_the_plain_fit_does(spark):
+    from posefold.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    margins = brute(rows, labels, 20)
+    got = {r.doc_id: r for r in QUERIES["op8_quality"](spark, sf).collect()}
+    assert got.keys() == margins.keys()
+    ids = sorted(got)
+    a, b = (np.argsort(np.argsort([x[d] for d in ids])) for x in (margins, {d: r.score for d, r in got.items()}))
+    assert np.corrcoef(a, b)[0, 1] > 0.98
