@@ -20,7 +20,7 @@ from posefold.llm.bpe import piece_encoder
 from posefold.llm.common import slices, stage, text_or_empty
 
 SEQUENCE_TOKENS = 1024
-OPEN_BINS = 65_536
+OPEN_BINS = 512
 PACKER_PIECES = 200_000
 PLACEMENT = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
 
@@ -33,7 +33,7 @@ class Packer:
         self._free: list[list[int]] = [[] for _ in range(capacity + 1)]
         self._bits = 0
         self._open = 0
-        self.bins = 0
+        self.bins = self.closed = 0
 
     def place(self, length: int) -> tuple[int, int]:
         """``(bin, offset)`` of the next piece."""
@@ -50,6 +50,7 @@ class Packer:
             self._open += 1
             if self._open > self._most:
                 self._take((self._bits & -self._bits).bit_length() - 1)
+                self.closed += 1
         return bin_, self._capacity - free
 
     def _take(self, free: int) -> int:
@@ -106,8 +107,8 @@ def pack(
     """Add ``sequence_id`` and ``offset`` to a staged table of pieces.
 
     A piece that fills a sequence is one. The others are dealt by hash to as many packers as their
-    number asks for and reach each, long ones first, in an order that their values fix, so that a
-    repeated task gives the same sequences.
+    number asks for and arrive by document and piece, so that a repeated task gives the same sequences;
+    a packer sees each once, looks at none to come and holds ``open_bins`` bins whatever their number.
     """
     fields = ", ".join(f"{name} {kind}" for name, kind in pieces.dtypes) + ", sequence_id bigint, offset bigint"
 
@@ -126,7 +127,7 @@ def pack(
         "*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")
     )
     packers = -(-part.count() // packer_pieces) or 1
-    order = [F.col("length").desc(), "doc_id", "piece", "start", "ids_crc32"]
+    order = ["doc_id", "piece", "start", "ids_crc32"]
     dealt = part.repartition(packers, F.xxhash64("doc_id", "piece", "ids_crc32")).sortWithinPartitions(*order)
     return dealt.mapInArrow(fit, fields).unionByName(full)
 

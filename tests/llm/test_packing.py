@@ -7,7 +7,7 @@ from array import array
 import pytest
 
 from posefold.llm.bpe import load
-from posefold.llm.packing import Packer, cut_lengths, pack_documents, sequences
+from posefold.llm.packing import OPEN_BINS, Packer, cut_lengths, pack_documents, sequences, token_pieces
 
 NAME = "byte_bpe_50k.json"
 
@@ -81,5 +81,17 @@ def test_whole_table(spark):
 
     sf = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
-    used, total = check(rows, QUERIES["op5_packing"](spark, sf).collect(), 1024)
+    got = QUERIES["op5_packing"](spark, sf).collect()
+    used, total = check(rows, got, 1024)
     assert used <= -(-total // 1024) * 1.02
+    again = Packer(1024, 65_536)
+    [again.place(r.length) for r in sorted(got, key=lambda r: (r.doc_id, r.piece)) if r.length < 1024]
+    assert used - sum(r.length == 1024 for r in got) <= again.bins * 1.01  # closing bins costs next to nothing
+
+
+def test_bins_close_in_the_whole_table(spark):
+    sf = "/root/testdata/sf0.1"
+    lengths = [r.length for r in token_pieces(spark.read.parquet(f"{sf}/documents.parquet")).orderBy("doc_id", "piece").collect() if r.length < 1024]
+    packer = Packer(1024, OPEN_BINS)
+    [packer.place(n) for n in lengths]
+    assert packer.closed > 100 and packer.bins * 1024 < sum(lengths) * 1.03
