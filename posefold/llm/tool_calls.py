@@ -1,9 +1,10 @@
 """Chat formatting: tool calls linked to their results, in DataFrame functions only.
 
-Calls and results meet in a hash join on the call's identifier. Each call may name the call it comes
-after; levels along these references give a topological order, found by doubling the references, so
-that a chain of n calls takes about log2(n) joins of narrow rows. Arguments are checked against the
-tools' schemas, and every call becomes one line of canonical JSON (sorted keys, no spaces).
+Calls and results meet in a hash join on the call's identifier. A call may name any number of calls it
+comes after; its level is one more than the highest of theirs. Calls with one such reference are passed
+over by doubling the references, so that a chain of n calls takes about log2(n) joins of narrow rows;
+only calls that wait for several others are settled in rounds. Arguments are checked against the tools'
+schemas, nested values too, and every call becomes one line of canonical JSON (sorted keys, no spaces).
 """
 
 from __future__ import annotations
@@ -29,40 +30,81 @@ _TYPES = {
 }
 
 
-def schema_errors(arguments: Column, schema: dict) -> Column:
-    """Messages for what the JSON text lacks; empty if it fits. Knows ``type``, ``properties``,
-    ``required``, ``additionalProperties``, ``enum``, ``minimum``, ``maximum``, ``minLength`` and
-    ``maxLength`` at the top level."""
-    value = F.try_parse_json(arguments)
-    keys = F.json_object_keys(arguments)
-    checks = [F.when(~F.schema_of_variant(value).rlike(_TYPES["object"]), F.lit("not an object"))]
+_KEYWORDS = {
+    "type", "properties", "required", "additionalProperties", "enum", "minimum", "maximum", "minLength", "maxLength",
+    "items", "minItems", "maxItems",
+}
+
+
+def _of_type(value: Column, kind: str) -> Column:
+    return F.coalesce(F.schema_of_variant(value).rlike(_TYPES[kind]), F.lit(False))
+
+
+def _object_problems(value: Column, keys: Column, schema: dict, at: str) -> list[Column]:
+    """Messages for the fields of an object, null where there is nothing to say."""
+    prefix = f"{at}." if at else ""
+    checks = []
     for name in schema.get("required", ()):
-        checks.append(F.when(~F.coalesce(F.array_contains(keys, name), F.lit(False)), F.lit(f"{name}: missing")))
+        checks.append(F.when(~F.coalesce(F.array_contains(keys, name), F.lit(False)), F.lit(f"{prefix}{name}: missing")))
     known = schema.get("properties", {})
     for name, rule in known.items():
-        path = f"$['{name}']"
-        found = F.schema_of_variant(F.try_variant_get(value, path, "variant"))
-        as_text, as_number = F.try_variant_get(value, path, "string"), F.try_variant_get(value, path, "double")
-
-        def wrong(condition: Column, what: str, name: str = name) -> None:
-            checks.append(F.when(condition, F.lit(f"{name}: {what}")))
-
-        if "type" in rule:
-            wrong(~found.rlike(_TYPES[rule["type"]]), f"not of type {rule['type']}")
-        if "enum" in rule:
-            wrong(~as_text.isin([str(v) for v in rule["enum"]]), "not an allowed value")
-        for word, test in (("minimum", as_number < rule.get("minimum", 0)), ("maximum", as_number > rule.get("maximum", 0))):
-            if word in rule:
-                wrong(test, f"beyond the {word}")
-        for word, test in (
-            ("minLength", F.char_length(as_text) < rule.get("minLength", 0)),
-            ("maxLength", F.char_length(as_text) > rule.get("maxLength", 0)),
-        ):
-            if word in rule:
-                wrong(found.rlike(_TYPES["string"]) & test, f"beyond the {word}")
+        checks += _value_problems(F.try_variant_get(value, f"$['{name}']", "variant"), rule, prefix + name)
     if schema.get("additionalProperties", True) is False:
         others = F.array_except(keys, F.array(*map(F.lit, known)) if known else F.array().cast("array<string>"))
-        checks.append(F.when(F.size(others) > 0, F.concat(F.lit("unknown: "), F.array_join(F.array_sort(others), ","))))
+        named = F.lit(f"{at}: unknown: " if at else "unknown: ")
+        checks.append(F.when(F.size(others) > 0, F.concat(named, F.array_join(F.array_sort(others), ","))))
+    return checks
+
+
+def _value_problems(value: Column, rule: dict, at: str) -> list[Column]:
+    """Messages for a value that may be absent (null), which no rule but ``required`` minds."""
+    if unknown := set(rule) - _KEYWORDS:
+        raise ValueError(f"schema keywords that are not known: {sorted(unknown)}")
+    checks = []
+    found = F.schema_of_variant(value)
+    as_text, as_number = F.try_variant_get(value, "$", "string"), F.try_variant_get(value, "$", "double")
+
+    def wrong(condition: Column, what: str) -> None:
+        checks.append(F.when(condition, F.lit(f"{at}: {what}")))
+
+    if "type" in rule:
+        wrong(~found.rlike(_TYPES[rule["type"]]), f"not of type {rule['type']}")
+    if "enum" in rule:
+        wrong(~as_text.isin([str(v) for v in rule["enum"]]), "not an allowed value")
+    for word, test in (("minimum", as_number < rule.get("minimum", 0)), ("maximum", as_number > rule.get("maximum", 0))):
+        if word in rule:
+            wrong(test, f"beyond the {word}")
+    for word, test in (
+        ("minLength", F.char_length(as_text) < rule.get("minLength", 0)),
+        ("maxLength", F.char_length(as_text) > rule.get("maxLength", 0)),
+    ):
+        if word in rule:
+            wrong(found.rlike(_TYPES["string"]) & test, f"beyond the {word}")
+    if rule.keys() & {"items", "minItems", "maxItems"}:
+        elements = F.when(_of_type(value, "array"), F.try_variant_get(value, "$", "array<variant>"))
+        for word, test in (("minItems", F.size(elements) < rule.get("minItems", 0)), ("maxItems", F.size(elements) > rule.get("maxItems", 0))):
+            if word in rule:
+                wrong(elements.isNotNull() & test, f"beyond the {word}")
+        if "items" in rule:
+            each = F.transform(elements, lambda e: F.array_compact(F.array(*_value_problems(e, rule["items"], f"{at}[]"), F.lit(None).cast("string"))))
+            said = F.array_join(F.array_distinct(F.flatten(each)), "; ")
+            checks.append(F.when(said != "", said))
+    if rule.keys() & {"properties", "required", "additionalProperties"}:
+        keys = F.json_object_keys(F.to_json(value))
+        checks += [F.when(_of_type(value, "object"), check) for check in _object_problems(value, keys, rule, at)]
+    return checks
+
+
+def schema_errors(arguments: Column, schema: dict) -> Column:
+    """Messages for what the JSON text lacks; empty if it fits. Knows ``type``, ``properties``,
+    ``required``, ``additionalProperties``, ``enum``, ``minimum``, ``maximum``, ``minLength``,
+    ``maxLength``, ``items``, ``minItems`` and ``maxItems`` at every depth (``a.b``, ``a[]``); any
+    other keyword is an error where the query is built."""
+    if unknown := set(schema) - _KEYWORDS:
+        raise ValueError(f"schema keywords that are not known: {sorted(unknown)}")
+    value = F.try_parse_json(arguments)
+    checks = [F.when(~F.schema_of_variant(value).rlike(_TYPES["object"]), F.lit("not an object"))]
+    checks += _object_problems(value, F.json_object_keys(arguments), schema, "")
     return F.when(value.isNull(), F.array(F.lit("not JSON"))).otherwise(F.array_compact(F.array(*checks)))
 
 
@@ -73,47 +115,97 @@ def call_errors(name: Column, arguments: Column, schemas: dict[str, dict]) -> Co
 
 
 def topological_levels(calls: DataFrame) -> DataFrame:
-    """``call_id, level`` of calls (``call_id``, ``after``): how many calls come before along the references.
+    """``call_id, level`` of every call: the greatest number of calls that come before it, one after another.
 
-    Identifiers are unique and not null. A reference to no call, or to none, makes a first call. The
-    level is null for calls in a cycle of references and for those that come after one.
+    ``calls`` (``call_id``, ``after``) have a row for each reference, or one whose ``after`` is null;
+    identifiers are not null. References to no call are left out, repeated ones count once. The level
+    is null for calls in a cycle of references and for those that come after one. Null references
+    join nothing. Rounds: log2 of the longest chain of single references, plus the greatest number of
+    calls with several references along one way.
     """
-    known = calls.select(F.col("call_id").alias("after"), F.lit(True).alias("exists"))
-    state = calls.join(known, "after", "left").select(
+    nodes = calls.select("call_id").distinct()
+    references = calls.where("after IS NOT NULL").select("call_id", "after").distinct()
+    references = references.join(nodes.select(F.col("call_id").alias("after")), "after", "left_semi")
+    references = stage(references, "references")
+    before = references.groupBy("call_id").agg(F.count(F.lit(1)).alias("n"), F.min("after").alias("up"))
+    before = before.select("call_id", "n", F.when(F.col("n") == 1, F.col("up")).alias("up"))
+    # A call with one reference points up; any other is an anchor: at level 0, or one that waits for several.
+    state = nodes.join(before, "call_id", "left").select(
         "call_id",
-        F.when(F.col("exists"), F.col("after")).alias("up"),
-        F.when(F.col("exists"), 1).otherwise(0).cast("bigint").alias("level"),
+        F.coalesce("up", "call_id").alias("up"),
+        F.when(F.col("up").isNotNull(), 1).otherwise(0).cast("bigint").alias("steps"),
+        F.col("up").isNull().alias("found"),
+        F.coalesce(F.col("n") > 1, F.lit(False)).alias("waits"),
     )
     state = stage(state, "levels")
-    rounds = max(1, state.count().bit_length() + 1)
-    for _ in range(rounds):
-        if state.where("up IS NOT NULL").limit(1).count() == 0:
+    for _ in range(max(1, state.count().bit_length() + 1)):
+        if state.where("NOT found").limit(1).count() == 0:
             break
-        above = state.select(F.col("call_id").alias("up"), F.col("up").alias("next"), F.col("level").alias("more"))
-        moved = state.where("up IS NOT NULL").join(above, "up").select(
-            "call_id", F.col("next").alias("up"), (F.col("level") + F.col("more")).alias("level")
+        above = state.select(
+            F.col("call_id").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"), F.col("found").alias("known"), F.col("waits").alias("late")
         )
-        state = stage(state.where("up IS NULL").unionByName(moved), "levels")
-    return state.select("call_id", F.when(F.col("up").isNull(), F.col("level")).alias("level"))
+        moved = state.where("NOT found").join(above, "up").select(
+            "call_id", F.col("next").alias("up"), (F.col("steps") + F.col("more")).alias("steps"),
+            F.col("known").alias("found"), F.col("late").alias("waits"),
+        )
+        state = stage(state.where("found").unionByName(moved), "levels")
+    direct = state.where("NOT (found AND waits)").select("call_id", F.when(F.col("found"), F.col("steps")).alias("level"))
+    late = state.where("found AND waits")
+    if late.limit(1).count() == 0:
+        return direct
+    settled = _settle(references, state)
+    return direct.unionByName(
+        late.join(settled.select(F.col("call_id").alias("up"), "level"), "up", "left").select("call_id", (F.col("level") + F.col("steps")).alias("level"))
+    )
+
+
+def _settle(references: DataFrame, state: DataFrame) -> DataFrame:
+    """``call_id, level`` of the calls that wait for several others, as far as none of those is in a cycle."""
+    waiting = state.where("waits AND up = call_id").select("call_id")
+    ends = state.select(F.col("call_id").alias("after"), F.col("up").alias("anchor"), "steps", "found", "waits")
+    # What each waits for: an anchor and the calls from there on. The level is known once the anchor's is.
+    ways = references.join(waiting, "call_id", "left_semi").join(ends, "after").select(
+        "call_id", F.when(F.col("waits"), F.col("anchor")).alias("anchor"), (F.col("steps") + 1).alias("more"),
+        F.when(F.col("found") & ~F.col("waits"), 0).cast("bigint").alias("base"), "found",
+    )
+    ways = stage(ways.where("found OR anchor IS NULL").drop("found"), "ways")
+    settled = None
+    while True:
+        level = F.when(F.count("base") == F.count(F.lit(1)), F.max(F.col("base") + F.col("more")))
+        fresh = stage(ways.groupBy("call_id").agg(level.alias("level")).where("level IS NOT NULL"), "settled")
+        settled = fresh if settled is None else settled.unionByName(fresh)
+        if fresh.limit(1).count() == 0:
+            return settled
+        ways = ways.join(fresh.select("call_id"), "call_id", "left_anti")
+        known = fresh.select(F.col("call_id").alias("anchor"), F.col("level").alias("found"))
+        still = ways.where("base IS NULL AND anchor IS NOT NULL").join(known, "anchor", "left")
+        still = still.withColumn("base", F.col("found")).drop("found")
+        ways = stage(ways.where("base IS NOT NULL OR anchor IS NULL").unionByName(still), "ways")
 
 
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """One row per identifier: ``call_id, name, status, level, valid, errors, n_calls, n_results, record``.
 
-    ``calls`` have ``call_id``, ``name``, ``arguments`` (JSON) and ``after``; ``results`` have ``call_id``
-    and ``content``; other columns are not looked at. The status is ``answered``, ``unanswered``,
+    ``calls`` have ``call_id``, ``name``, ``arguments`` (JSON) and ``after``, an identifier or an array of
+    them; ``results`` have ``call_id`` and ``content``; other columns are not looked at. The status is ``answered``, ``unanswered``,
     ``orphan_result`` (no such call), ``cyclic`` or ``no_identifier`` (a null identifier; such rows stay
     apart). Rows that repeat an identifier are one row with their count; of texts that differ, the
-    smallest counts and the call is not valid. Null names are unknown tools, null arguments no JSON.
+    smallest counts and the call is not valid; of references that differ all count, and it is not valid either. Null names are unknown tools, null arguments no JSON.
     Empty tables give what the other one gives.
     """
     keyed = calls.where("call_id IS NOT NULL")
-    levels = topological_levels(keyed.groupBy("call_id").agg(F.max("after").alias("after")))
+    several = calls.schema["after"].dataType.typeName() == "array"
+    levels = topological_levels(keyed.select("call_id", F.explode_outer("after").alias("after") if several else "after"))
+    named = F.array_sort(F.array_distinct(F.coalesce("after", F.array()))) if several else F.coalesce("after", F.lit(""))
 
     def fields(n: Column | str) -> list[Column]:
         return [
             F.min("name").alias("name"), F.min("arguments").alias("arguments"), F.count(F.lit(1)).alias("n_calls"),
-            (F.coalesce(F.min("arguments") != F.max("arguments"), F.lit(False)) | F.coalesce(F.min("name") != F.max("name"), F.lit(False))).alias("conflict"),
+            (
+                F.coalesce(F.min("arguments") != F.max("arguments"), F.lit(False))
+                | F.coalesce(F.min("name") != F.max("name"), F.lit(False))
+                | (F.min(named) != F.max(named))
+            ).alias("conflict"),
         ]
 
     sides = keyed.groupBy("call_id").agg(*fields("call_id"))
@@ -196,7 +288,8 @@ def chat_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     own_calls = calls.select(
         identifier(F.col("turn")).alias("call_id"), F.col("role").alias("name"), F.to_json(F.struct("text", "turn")).alias("arguments")
     )
-    return own_calls.join(placed, "call_id", "left"), results
+    known = own_calls.where("call_id IS NOT NULL").join(placed, "call_id", "left")
+    return known.unionByName(own_calls.where("call_id IS NULL"), allowMissingColumns=True), results
 
 
 def format_chat(conversations: DataFrame, schemas: dict[str, dict] | None = None) -> DataFrame:

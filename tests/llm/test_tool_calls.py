@@ -1,6 +1,7 @@
 """Linking, order, schemas and canonical lines on small tables; SQL covers the whole one."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,6 +29,72 @@ def test_levels(spark):
     assert levels(spark, []) == {}
 
 
+def brute(pairs):
+    """Longest ways by the definition; None in and after cycles."""
+    calls = {c for c, _ in pairs}
+    before = {c: {a for x, a in pairs if x == c and a in calls} for c in calls}
+    levels = {}
+    while True:
+        ready = [c for c in calls if c not in levels and before[c] <= levels.keys()]
+        if not ready:
+            return {c: levels.get(c) for c in calls}
+        for c in ready:
+            levels[c] = max((levels[a] + 1 for a in before[c]), default=0)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_levels_of_graphs(spark, seed):
+    rng = random.Random(seed)
+    name = lambda i: f"c{i}"
+    pairs = [(name(i), None) for i in range(60)]
+    for i in range(1, 60):
+        for _ in range(rng.choice([0, 1, 1, 1, 2, 3])):
+            pairs.append((name(i), name(rng.randrange(max(0, i - 9), i))))
+    pairs += [("late", name(i)) for i in range(0, 60, 7)] + [("late", "gone"), ("late", name(0))]
+    if seed % 2:
+        i = rng.randrange(20, 50)
+        pairs += [(name(i), name(i + 5)), (name(i + 5), name(i))]
+    assert levels(spark, pairs) == brute(pairs)
+
+
+NESTED = {
+    "properties": {
+        "where": {"type": "object", "properties": {"x": {"type": "integer"}}, "required": ["x"], "additionalProperties": False},
+        "tags": {"type": "array", "minItems": 1, "maxItems": 3, "items": {"type": "string", "minLength": 2}},
+        "rows": {"type": "array", "items": {"type": "object", "properties": {"n": {"type": "number", "maximum": 5}}, "required": ["n"]}},
+    }
+}
+
+
+@pytest.mark.parametrize(
+    "arguments,want",
+    [
+        ('{"where": {"x": 1}, "tags": ["ab"], "rows": [{"n": 1}, {"n": 5}]}', []), ("{}", []),
+        ('{"where": {"x": "1", "y": 2}}', ["where.x: not of type integer", "where: unknown: y"]), ('{"where": {}}', ["where.x: missing"]),
+        ('{"where": 3, "tags": 4}', ["where: not of type object", "tags: not of type array"]), ('{"tags": []}', ["tags: beyond the minItems"]),
+        ('{"tags": ["ab", "c", 1, "d"]}', ["tags: beyond the maxItems", "tags[]: beyond the minLength; tags[]: not of type string"]),
+        ('{"rows": [{"n": 9}, {}, 1]}', ["rows[].n: beyond the maximum; rows[].n: missing; rows[]: not of type object"]),
+    ],
+)
+def test_nested_schemas(spark, arguments, want):
+    frame = spark.createDataFrame([(arguments,)], "arguments string")
+    assert frame.select(schema_errors(F.col("arguments"), NESTED)).first()[0] == want
+
+
+def test_unknown_keywords_are_refused(spark):
+    for schema in ({"pattern": "x"}, {"properties": {"a": {"oneOf": []}}}, {"properties": {"a": {"items": {"format": "date"}}}}):
+        with pytest.raises(ValueError, match="not known"):
+            schema_errors(F.col("arguments"), schema)
+
+
+def test_several_references(spark):
+    calls = [("a", "t", "{}", None), ("b", "t", "{}", ["a"]), ("c", "t", "{}", ["a", "b", "gone"]), ("d", "t", "{}", ["a"]), ("d", "t", "{}", ["c"]), ("e", "t", "{}", [])]
+    frame = spark.createDataFrame(calls, "call_id string, name string, arguments string, after array<string>")
+    got = {r.call_id: r for r in link_tool_calls(frame, spark.createDataFrame([], RESULTS), {"t": {}}).collect()}
+    assert {c: r.level for c, r in got.items()} == {"a": 0, "b": 1, "c": 2, "d": 3, "e": 0}
+    assert got["d"].errors == "calls differ" and got["c"].valid
+
+
 @pytest.mark.parametrize(
     "tool,arguments,want",
     [
