@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from posefold.llm.common import filtered, slices, stage, text_or_empty
 
-FEATURE_BITS = 20
+FEATURE_BITS = 18
 LONG_WORD = 64
 FIT_ROWS = 20_000
 SMOOTHING = 1.0

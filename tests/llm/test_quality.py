@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
-from posefold.llm.quality import classify, dual_coordinate_descent, indicators, log_count_ratio, shape, words_of
+from posefold.llm.quality import FEATURE_BITS, classify, dual_coordinate_descent, indicators, log_count_ratio, shape, words_of
 
 
 @pytest.mark.parametrize("word,want", [("The", "Aa"), ("THE!!", "AA!!"), ("a***", "a**"), ("|", "|"), ("x9,", "a9,"), ("aA1b2c3d4e5,f", "aA9a9a9a9a9,a")])
@@ -112,7 +112,7 @@ def test_scores_order_documents_as_the_plain_fit_does(spark):
     sf = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     rows = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
-    margins = brute(rows, labels, 20)
+    margins = brute(rows, labels, FEATURE_BITS)
     got = {r.doc_id: r for r in QUERIES["op8_quality"](spark, sf).collect()}
     assert got.keys() == margins.keys()
     ids = sorted(got)
