@@ -208,6 +208,11 @@ def near_duplicates(
     whatever their names; an empty table gives no rows.
     """
     rows = stage(fingerprints(documents, words, id_column, text_column), "fingerprints")
+    return fingerprint_classes(rows, radius, tile).withColumnRenamed("id", id_column)
+
+
+def fingerprint_classes(rows: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """``id, fingerprint, component_id`` of every row of ``rows`` (``id, fp``, staged)."""
     distinct = rows.groupBy("fp").agg(F.min("id").alias("least"))
     classes = components(links(distinct.select("fp"), radius, tile), "near-duplicates")
     classed = stage(
@@ -219,7 +224,7 @@ def near_duplicates(
     least = classed.groupBy("component").agg(F.min("least").alias("component_id"))
     named = classed.join(least, "component").select("fp", "component_id")
     return rows.join(named, "fp").select(
-        F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
