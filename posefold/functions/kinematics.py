@@ -285,41 +285,37 @@ class FunctionKinematics:
 
 
 def _call_rows(fn: Callable, values: pd.Series, arms: pd.Series) -> list:
-    present = [i for i, value in enumerate(values) if value is not None]
+    present = np.flatnonzero(values.notna().to_numpy())
     out: list = [None] * len(values)
-    if not present:
+    if not len(present):
         return out
-    joints = np.stack([np.asarray(values.iloc[i], dtype=np.float64) for i in present])
-    sides = arms.to_numpy()[present]
-    try:
-        poses = np.asarray(fn(joints, sides), dtype=np.float64)
-        if poses.ndim != 2 or len(poses) != len(present):
-            raise ValueError("adapter returned another number of rows")
-        poses = list(poses)
-    except Exception:
-        poses = [_call_one(fn, joints[k : k + 1], sides[k : k + 1]) for k in range(len(present))]
-    for i, pose in zip(present, poses):
-        out[i] = _canonical(pose) if _usable(pose) else None
+    joints = np.stack(values.to_numpy()[present]).astype(np.float64)
+    poses = _call_halves(fn, joints, arms.to_numpy()[present])
+    norms = np.linalg.norm(poses[:, 3:], axis=1)
+    usable = np.isfinite(poses).all(axis=1) & (norms > np.finfo(np.float64).eps)
+    present, poses, norms = present[usable], poses[usable], norms[usable]
+    # A unit quaternion whose scalar part is not negative.
+    poses[:, 3:] /= (norms * np.where(poses[:, 3] < 0, -1.0, 1.0))[:, None]
+    for i, pose in zip(present.tolist(), poses):
+        out[i] = pose
     return out
 
 
-def _canonical(pose: np.ndarray) -> np.ndarray:
-    """The same pose with a unit quaternion whose scalar part is not negative."""
-    scale = np.linalg.norm(pose[3:]) * (-1.0 if pose[3] < 0 else 1.0)
-    return np.r_[pose[:3], pose[3:] / scale]
-
-
-def _call_one(fn: Callable, joints: np.ndarray, arm: np.ndarray) -> np.ndarray | None:
+def _call_halves(fn: Callable, joints: np.ndarray, arms: np.ndarray) -> np.ndarray:
+    """A pose of seven values for every row, not finite where ``fn`` fails. Where it raises on rows it is called on each
+    half of them, so the calls grow with the rows that raise and not with those beside them."""
     try:
-        return np.asarray(fn(joints, arm), dtype=np.float64).reshape(-1)
+        poses = np.array(fn(joints, arms), dtype=np.float64)
+        if len(joints) == 1:
+            poses = poses.reshape(1, -1)
+        if poses.ndim != 2 or len(poses) != len(joints):
+            raise ValueError("adapter returned another number of rows")
+        return poses if poses.shape[1] == 7 else np.full((len(joints), 7), np.nan)
     except Exception:
-        return None
-
-
-def _usable(pose: np.ndarray | None) -> bool:
-    if pose is None or pose.shape != (7,) or not np.isfinite(pose).all():
-        return False
-    return float(np.linalg.norm(pose[3:])) > np.finfo(np.float64).eps
+        if len(joints) == 1:
+            return np.full((1, 7), np.nan)
+        half = len(joints) // 2
+        return np.concatenate([_call_halves(fn, joints[part], arms[part]) for part in (slice(half), slice(half, None))])
 
 
 def joint_limit_flags(joints: Sequence[str], model: ChainModel = SIX_JOINT_ARM) -> list[Column]:

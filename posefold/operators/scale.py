@@ -12,6 +12,8 @@ from pyspark.sql.window import Window
 
 BROADCAST_ROW_LIMIT = 200_000
 SALTS = 64
+#: Rows of a scan that a task is meant to have.
+TASK_ROWS = 250_000
 _LOCAL_ROOTS: dict[str, str] = {}
 _HELD: list[list[str]] = []
 
@@ -54,13 +56,20 @@ def tidy(spark: SparkSession):
             folder.getFileSystem(conf).delete(folder, True)
 
 
-def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that has fewer splits than there are cores, as one small file does.
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan whose rows lie in few of its splits, as those of one file or of few row groups do.
 
-    A large table has more splits than cores and passes through without a shuffle.
+    Splits are cut by bytes, and a row group belongs to one of them, however many there are. So rows are counted by split.
+    A scan that is dealt evenly, with no more than ``TASK_ROWS`` rows in a split, passes through without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    counted = df.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    found = counted.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    rows, most = found["rows"] or 0, found["most"] or 0
+    tasks = max(cores, -(-rows // TASK_ROWS))
+    if most * tasks <= 2 * rows:
+        return df
+    return df.repartition(tasks, *df.columns)
 
 
 def fits_in_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:

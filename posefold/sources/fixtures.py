@@ -44,7 +44,7 @@ def _vector_count(spark: SparkSession, sf_dir: str) -> int:
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
-    rows = spread_small_scan(rows, "event_id")
+    rows = spread_small_scan(rows)
     return rows.withColumn("vec_id", F.expr(f"event_id % {_vector_count(spark, sf_dir)}"))
 
 

@@ -128,3 +128,26 @@ def test_identity_changes_with_any_constant():
     assert ChainKinematics().model_name.endswith(SIX_JOINT_ARM.digest)
     with pytest.raises(ValueError):
         FunctionKinematics(len, frame="world")
+
+
+def test_function_adapter_is_called_on_halves():
+    """One row that raises costs some calls, not one call for every row beside it."""
+    import pandas as pd
+
+    from posefold.functions.kinematics import _call_rows
+
+    calls = []
+
+    def model(joints, arms):
+        calls.append(len(joints))
+        if (joints[:, 0] == 700).any():
+            raise ValueError("out of reach")
+        poses = np.zeros((len(joints), 7))
+        poses[:, 0], poses[:, 3] = joints[:, 0], np.where(joints[:, 0] == 3, np.nan, -2.0)
+        return poses
+
+    values = pd.Series([None if i == 5 else np.full(6, float(i)) for i in range(1000)])
+    got = _call_rows(model, values, pd.Series(["left"] * 1000))
+    assert [i for i, pose in enumerate(got) if pose is None] == [3, 5, 700]
+    assert all(pose.tolist() == [i, 0, 0, 1, 0, 0, 0] for i, pose in enumerate(got) if pose is not None)
+    assert len(calls) < 30

@@ -120,3 +120,15 @@ def test_tidy_removes_what_was_staged(spark):
         folder = Path(held.inputFiles()[0].removeprefix("file://")).parent
         assert held.count() == 5 and folder.exists()
     assert not folder.exists()
+
+
+def test_scan_of_few_filled_splits_is_spread(spark):
+    """Rows in one of many splits, as those of a single row group: no split keeps more than its share."""
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(4000, numPartitions=1).withColumn("k", F.lit(None).cast("string"))
+    rows = one.unionByName(spark.range(0, numPartitions=cores).withColumn("k", F.lit("x")))
+    spread = scale.spread_small_scan(rows)
+    part = F.spark_partition_id()
+    assert spread.groupBy(part.alias("p")).count().agg(F.max("count")).first()[0] < 2 * 4000 / cores
+    assert sorted(r.id for r in spread.collect()) == list(range(4000))
+    assert scale.spread_small_scan(spark.range(0)).count() == 0
