@@ -999,7 +999,7 @@ def job_recovery_in_place(spark, sf):
 def job_release(spark, sf):
     """The release of the fully missing files; refused where a file is mixed, and on a stale audit."""
     messages, stored = _scanned_messages(spark, sf)
-    files = audit.file_audit(audit.topic_audit(audit.score_messages(messages)))
+    files = cut_lineage(audit.file_audit(audit.topic_audit(audit.score_messages(messages))), "files")
     sources = fixtures.source_table(spark, sf)
     output = _folder(spark, "release")
     jobs.run_release(messages, files, sources, output, source_files=[stored])

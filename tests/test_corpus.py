@@ -348,3 +348,22 @@ def test_release_refuses_a_stale_audit(spark, corpus, tmp_path):
     late = late.withColumn("source_uri", F.when(F.col("sequence") == 50, chosen).otherwise(F.col("source_uri")))
     with pytest.raises(gates.Refused, match="rows_are_as_audited"):
         jobs.run_release(late, files, source_rows(spark), str(tmp_path / "stale"))
+
+
+def test_release_audits_once(spark, monkeypatch):
+    """The audit behind the files is run once for the gate, the choice and the promise."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def looked_at(n):
+        seen.add(1)
+        return n
+
+    row = ("fx://a", 4, 4, 4, 0, 4, 0)
+    names = ("messages", "invalid_pose", "missing_pose", "intact_pose", "recoverable_invalid_pose", "unrecoverable_invalid_pose")
+    files = spark.createDataFrame([row], "source_uri string, " + ", ".join(f"{n} bigint" for n in names))
+    files = files.withColumn("messages", looked_at("messages"))
+    monkeypatch.setattr(jobs, "run_recovery", lambda chosen, sources, output, audited, **_: audited.collect())
+    empty = spark.createDataFrame([], "source_uri string, topic string")
+    assert [tuple(r) for r in jobs.run_release(empty, files, None, "")] == [("fx://a", 4)]
+    assert seen.value == 1
