@@ -46,6 +46,8 @@ _FRAME, _TIMES, _COUNT = "<II", "<BQQq", "<H"
 #: Bytes of a chunk, of a split and of one read.
 CHUNK = 1 << 18
 SPLIT = 32 << 20
+#: Rows of a batch, which small files share.
+BATCH = 4096
 LIST = "_records.json"
 
 
@@ -258,7 +260,13 @@ class RecordReader(DataSourceReader):
         return [*splits, Split(held)]
 
     def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
-        schema = to_arrow_schema(C.ARM_MESSAGES)
+        schema, held = to_arrow_schema(C.ARM_MESSAGES), []
+
+        def batch() -> pa.RecordBatch:
+            uri, topic, log, publish, sequence, pose, position, error = zip(*held)
+            columns = (uri, topic, log, publish, sequence, (None,) * len(held), pose, position, error)
+            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, schema)], schema=schema)
+
         for path, begin, end in partition.ranges:
             system, inner = _open(path)
             with system.open_input_file(inner) as file:
@@ -267,10 +275,12 @@ class RecordReader(DataSourceReader):
                     raise ValueError(f"{path} is no record file")
                 source_uri = file.read(struct.unpack_from(_COUNT, head, len(MAGIC))[0]).decode()
                 for rows in read_split(file, source_uri, begin, end, self._wanted()):
-                    if rows:
-                        uri, topic, log, publish, sequence, pose, position, error = zip(*rows)
-                        columns = (uri, topic, log, publish, sequence, (None,) * len(rows), pose, position, error)
-                        yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, schema)], schema=schema)
+                    held += rows
+                    if len(held) >= BATCH:
+                        yield batch()
+                        held.clear()
+        if held:
+            yield batch()
 
 
 class RecordWriter(DataSourceWriter):
@@ -341,10 +351,12 @@ def register(spark: SparkSession) -> None:
 
 
 def write_records(messages: DataFrame, path: str) -> None:
-    """Messages as record files. A message without a source is written under an empty name; rows are sorted inside
-    each task only, so a source may have a file from every task."""
+    """Messages as record files. A message without a source is written under an empty name. Rows are dealt by ranges of
+    sources and times, so a source has one file, or one from each of the neighbouring tasks that share it: files grow
+    with the sources, not with sources times tasks."""
     register(messages.sparkSession)
-    messages.sortWithinPartitions("source_uri").write.format(FORMAT).mode("append").option("path", path).save()
+    order = ("source_uri", "log_time_ns", "sequence")
+    messages.repartitionByRange(*order).sortWithinPartitions(*order).write.format(FORMAT).mode("append").option("path", path).save()
 
 
 def read_records(spark: SparkSession, path: str, split_bytes: int = SPLIT) -> DataFrame:

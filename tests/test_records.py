@@ -95,3 +95,13 @@ def test_damage(tmp_path, spark):
     assert [r[-1] for r in got] == ["chunk: the rest cannot be followed"] + [None] * 20
     assert read(sound[: len(chunk(first)) + 60])[-1][-1] is not None
     assert Path(tmp_path).exists()
+
+
+def test_files_grow_with_sources(spark, tmp_path):
+    """A source lies in one file, or in one from each neighbouring task, however many tasks the rows come from."""
+    made = [message(TOPICS[i % 4], None, JOINTS, n=i, source=f"fx://{i % 40}") for i in range(800)]
+    folder = str(tmp_path / "rec")
+    write_records(messages(spark, made).repartition(8), folder)
+    shared = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert 40 <= len(records.listed_files(folder)) <= 40 + shared < 8 * 40
+    assert read_records(spark, folder).count() == 800
