@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posefold.llm.bpe import piece_encoder
+from posefold.llm.bpe import RUN_ROWS, piece_encoder
 from posefold.llm.common import slices, stage, text_or_empty
 
 SEQUENCE_TOKENS = 1024
@@ -81,7 +81,7 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = piece_encoder(tokenizer), int(end_id).to_bytes(4, "little")
-        for batch in slices(batches):
+        for batch in slices(batches, RUN_ROWS):
             out = []
             for doc_id, ids in zip(batch.column("id").to_pylist(), encoder.encode(batch.column("body").to_pylist())):
                 ids += end

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posefold.llm.bpe import STABLE, is_byte_level, load, piece_encoder
+from posefold.llm.bpe import RUN_ROWS, STABLE, is_byte_level, load, piece_encoder
 from posefold.llm.common import slices, text_or_empty
 
 CHUNK_CHARS = 16_384
@@ -94,7 +94,7 @@ def count_tokens(
 
     def short(batches):
         encoder = piece_encoder(tokenizer)
-        for batch in slices(batches):
+        for batch in slices(batches, RUN_ROWS):
             counts = [len(ids) // 4 for ids in encoder.encode(batch.column("body").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("n_bytes"), pa.array(counts, pa.int64())],

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from posefold.llm.bpe import load, piece_encoder
+from posefold.llm.bpe import RUN_ROWS, load, piece_encoder
 from posefold.llm.common import slices, text_or_empty
 from posefold.llm.elias_fano import EliasFano
 from posefold.operators.scale import checkpoint_root, lookup_join
@@ -96,7 +96,7 @@ def write_tokens(
                          doc_ids=pa.list_(pa.int64()))
             return pa.RecordBatch.from_arrays([pa.array([row[k]], kind) for k, kind in kinds.items()], list(kinds))
 
-        for batch in slices(batches):
+        for batch in slices(batches, RUN_ROWS):
             for doc_id, code in zip(batch.column("id").to_pylist(), encoder.encode(batch.column("body").to_pylist())):
                 narrow = np.append(np.frombuffer(code, "<u4"), np.uint32(end_id)).astype(f"<u{width}")
                 if ends and total + len(narrow) > segment_tokens:
