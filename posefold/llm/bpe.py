@@ -29,9 +29,9 @@ SPACED = re.compile(r"(?<=\S) ")
 STOPPED = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+[,.]")
 #: Words kept by a worker: two generations of at most so many, of so many characters at most. A worker's
 #: memory is bounded by it; longer words are encoded whenever they occur.
-GENERATION, WORD_CHARS = 690_000, 64
-#: Characters of texts that are split and looked up together, and rows that callers give at once.
-RUN_CHARS, RUN_ROWS = 4_000_000, 2_048
+GENERATION, WORD_CHARS = 400_000, 64
+#: Characters of texts that are split and looked up together.
+RUN_CHARS = 1_000_000
 #: Texts of at most so many characters are remembered, so many at most: copies often come in numbers.
 COPY_CHARS, COPIES = 8_192, 4_096
 #: Words encoded side by side, longer texts gain nothing from the library; and such texts in one call.
@@ -127,7 +127,7 @@ class PieceEncoder:
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of every text, in order; texts are taken some million characters at a time."""
+        """The ids of every text, in order; texts are taken a million characters at a time."""
         known = {text: self._copies[text] for text in texts if text in self._copies}
         held: dict[str, None] = {}
         chars = 0
