@@ -11,31 +11,26 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from itertools import chain
+from itertools import chain, filterfalse
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 import numpy as np
 import public_tokenizers
-import pyarrow as pa
-import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Places between a non-space character and white space: proven cuts.
 STABLE = re.compile(r"(?<=\S)(?=[ \t-\r])")
-#: The proven cuts that are before a space, which goes with the cut.
-SPACED = re.compile(r"(?<=\S) ")
 #: Letters are a word of their own, and so is the comma or full stop that ends the piece.
 STOPPED = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+[,.]")
-#: Words kept by a worker: two generations of at most so many, of so many characters at most. A worker's
-#: memory is bounded by it; longer words are encoded whenever they occur.
-GENERATION, WORD_CHARS = 400_000, 64
-#: Characters of texts that are split and looked up together.
-RUN_CHARS = 1_000_000
+#: Words kept by a worker: two generations of at most so many. A worker's memory is bounded by it.
+GENERATION = 500_000
+#: Words that are split and looked up together.
+WORDS = 100_000
 #: Texts of at most so many characters are remembered, so many at most: copies often come in numbers.
 COPY_CHARS, COPIES = 8_192, 4_096
-#: Words encoded side by side, longer texts gain nothing from the library; and such texts in one call.
-GROUP, CALL = 100, 50
+#: Words encoded in one call; longer texts gain nothing from the library.
+GROUP = 100
 _LOADED: dict[str, "PieceEncoder"] = {}
 
 
@@ -71,8 +66,8 @@ class PieceEncoder:
             self._bytes_of[number] = len(token.encode()) if token in added else len(token)
         self._stops = dict(zip(",.", self._ids([",", "."])))
         self._copies: dict[str, bytes] = {}
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        self._young: dict[str, bytes | None] = {}
+        self._old: dict[str, bytes | None] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -82,10 +77,10 @@ class PieceEncoder:
         """Ids of every word with a space before it. Words are encoded side by side where the cuts
         between them are proven, and told apart by the bytes that the ids stand for."""
         out = []
-        for at in range(0, len(words), GROUP * CALL):
-            some = words[at : at + GROUP * CALL]
-            ids = b"".join(self._ids([" " + " ".join(some[i : i + GROUP]) for i in range(0, len(some), GROUP)]))
-            ends = np.cumsum([1 + len(word.encode()) for word in some])
+        for at in range(0, len(words), GROUP):
+            group = words[at : at + GROUP]
+            ids = self._ids(["".join([" " + word for word in group])])[0]
+            ends = np.cumsum([1 + len(word.encode()) for word in group])
             stops = np.searchsorted(np.cumsum(self._bytes_of[np.frombuffer(ids, "<u4")]), ends, "left") + 1
             begin = 0
             for stop in (stops * 4).tolist():
@@ -93,91 +88,70 @@ class PieceEncoder:
                 begin = stop
         return out
 
-    def _known(self, words: list[str]) -> list[bytes | None]:
-        """Ids of every one of some distinct words, with a space before it; new ones are put into the
-        young generation. Those that are empty or end in white space get none: a cut after them is not proven."""
-        found = list(map(self._young.get, words))
-        new = [i for i, ids in enumerate(found) if ids is None]
-        if len(self._young) + len(new) > GENERATION:
+    def _learn(self, split: list[list[str]]) -> None:
+        """Put the words that are new into the young generation. Those that are empty or end in
+        white space get none: a cut after them is not proven."""
+        unknown = set(filterfalse(self._young.__contains__, chain.from_iterable(split)))
+        if len(self._young) + len(unknown) > GENERATION:
             self._old, self._young = self._young, {}
+            unknown = set(chain.from_iterable(split))
         young, old = self._young, self._old
-        fresh: dict[str, bytes | None] = {}
-        stopped = []
-        for i in new:
-            word = words[i]
+        fresh, stopped = set(), []
+        for word in unknown:
             if word in old:
-                found[i] = young[word] = old[word]
-            elif word.isalpha():
-                fresh[word] = None
+                young[word] = old[word]
             elif not word or word[-1].isspace():
-                continue
+                young[word] = None
             elif STOPPED.fullmatch(word):
                 base = word[:-1]
-                fresh[base] = young.get(base, old.get(base))
+                if base in old:
+                    young.setdefault(base, old[base])
+                elif base not in young:
+                    fresh.add(base)
                 stopped.append(word)
             else:
-                fresh[word] = None
-        unseen = [word for word, ids in fresh.items() if ids is None]
-        fresh.update(zip(unseen, self._pieces(unseen)))
-        fresh.update((word, fresh[word[:-1]] + self._stops[word[-1]]) for word in stopped)
-        young.update((word, ids) for word, ids in fresh.items() if len(word) <= WORD_CHARS)
-        for i in new:
-            if found[i] is None:
-                found[i] = fresh.get(words[i])
-        return found
+                fresh.add(word)
+        fresh = list(fresh)
+        young.update(zip(fresh, self._pieces(fresh)))
+        young.update((word, young[word[:-1]] + self._stops[word[-1]]) for word in stopped)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of every text, in order; texts are taken a million characters at a time."""
+        """The ids of every text, in order; texts are taken some hundred thousand words at a time."""
         known = {text: self._copies[text] for text in texts if text in self._copies}
-        held: dict[str, None] = {}
-        chars = 0
+        held: dict[str, list[str]] = {}
+        words = 0
 
         def settle() -> None:
-            known.update(zip(held, self._encode(list(held))))
+            known.update(zip(list(held), self._encode(list(held.values()))))
             held.clear()
 
         for text in texts:
             if text not in known and text not in held:
-                held[text] = None
-                chars += len(text)
-                if chars >= RUN_CHARS:
+                held[text] = text.split(" ")
+                words += len(held[text])
+                if words >= WORDS:
                     settle()
-                    chars = 0
+                    words = 0
         settle()
         if len(self._copies) > COPIES:
             self._copies.clear()
         self._copies.update((text, ids) for text, ids in known.items() if len(text) <= COPY_CHARS)
         return [known[text] for text in texts]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        """Arrow numbers the words of all texts, each is looked up once and dealt out by its number."""
-        heads, rests = [], []
-        for text in texts:
-            head, space, rest = text.partition(" ")
-            heads.append(head)
-            rests.append(rest if space else None)
-        # A cut after such a head is not proven; its words are not looked at here.
-        doubtful = {i for i, head in enumerate(heads) if rests[i] is not None and (not head or head[-1].isspace())}
-        for i in doubtful:
-            heads[i], rests[i] = "", None
-        words = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
-        numbered = words.flatten().dictionary_encode()
-        ids = pa.array(self._known(numbered.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
-        dealt = pa.ListArray.from_arrays(words.offsets, ids.take(numbered.indices))
-        joined = pc.binary_join(dealt, pa.scalar(b"", pa.large_binary())).to_pylist()
-        doubtful = sorted(doubtful.union(i for i, own in enumerate(joined) if own is None))
-        out = [head + (own or b"") for head, own in zip(self._ids(heads), joined)]
-        for i, own in zip(doubtful, self._by_proven_cuts([texts[i] for i in doubtful])):
-            out[i] = own
+    def _encode(self, split: list[list[str]]) -> list[bytes]:
+        heads = [words.pop(0) for words in split]
+        self._learn(split)
+        of = self._young.__getitem__
+        out = []
+        for head, ids, words in zip(heads, self._ids(heads), split):
+            if words and (not head or head[-1].isspace()):
+                out.append(self._by_proven_cuts(" ".join([head, *words])))
+                continue
+            try:
+                out.append(ids + b"".join(map(of, words)))
+            except TypeError:
+                out.append(self._by_proven_cuts(" ".join([head, *words])))
         return out
 
-    def _by_proven_cuts(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts with several spaces in a row or white space before one: a run of white space goes
-        with the word after it, or is the text's end."""
-        split = [SPACED.split(text) for text in texts]
-        heads = self._ids([words.pop(0) for words in split])
-        ends = [words and (not words[-1] or words[-1][-1].isspace()) for words in split]
-        tails = self._ids([" " + words.pop() if end else "" for words, end in zip(split, ends)])
-        distinct = list(set(chain.from_iterable(split)))
-        of = dict(zip(distinct, self._known(distinct))).__getitem__
-        return [head + b"".join(map(of, words)) + tail for head, words, tail in zip(heads, split, tails)]
+    def _by_proven_cuts(self, text: str) -> bytes:
+        return b"".join(self._ids(STABLE.split(text)))
